@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 # Characters Python's str.strip() removes (ASCII whitespace + \x1c-\x1f + the
 # Unicode spaces). Java regex syntax.
-_WS = (r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
-       r"\x{202f}\x{205f}\x{3000}")
+WS_CLASS = (r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}"
+            r"\x{2029}\x{202f}\x{205f}\x{3000}")
+_WS = WS_CLASS
 STRIP_RE = rf"^[{_WS}]+|[{_WS}]+\z"
 
 # strptime field shapes: %Y four digits, %m 1-2 digits, %d 1-2 digits or a
