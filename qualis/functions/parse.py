@@ -42,24 +42,50 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def by_name(fn):
+    """Memoise an expression builder for named-column input.
+
+    Building a Column costs one JVM round trip per node (a date parse has a
+    few hundred); the result is an immutable expression, so the same column
+    name can reuse it across DataFrames and queries.
+    """
+    cache: dict[str, Column] = {}
+
+    def wrapper(col):
+        if isinstance(col, str):
+            if col not in cache:
+                cache[col] = fn(col)
+            return cache[col]
+        return fn(col)
+
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
+@by_name
 def py_strip(col: Column | str) -> Column:
     """Python ``str.strip()``: Spark's trim only removes spaces."""
     return F.regexp_replace(_c(col), STRIP_RE, "")
 
 
+@by_name
 def parse_date(col: Column | str) -> Column:
     """multi-format date parse; NULL when no format gives a valid date."""
-    s = py_strip(col)
+    return parse_date_stripped(py_strip(col))
+
+
+def parse_date_stripped(s: Column) -> Column:
+    """F1 on already stripped text: per format one shape test and one rewrite
+    to Y-M-D (1-digit month/day and a space-padded day allowed), then a
+    calendar-checked cast."""
     branches = []
     for pat, gy, gm, gd in DATE_SHAPES:
-        y = F.regexp_extract(s, pat, gy)
-        m = F.lpad(F.regexp_extract(s, pat, gm), 2, "0")
-        d = F.lpad(F.trim(F.regexp_extract(s, pat, gd)), 2, "0")
-        txt = F.concat_ws("-", y, m, d)
-        branches.append(F.when(s.rlike(pat) & (y != F.lit("0000")), txt.try_cast("date")))
+        ymd = F.replace(F.regexp_replace(s, pat, f"${gy}-${gm}-${gd}"), F.lit(" "), F.lit(""))
+        branches.append(F.when(s.rlike(pat) & ~ymd.startswith("0000"), ymd.try_cast("date")))
     return F.coalesce(*branches)
 
 
+@by_name
 def is_iso_date(col: Column | str) -> Column:
     """strict ISO shape on the unstripped text plus a valid calendar date.
     NULL input gives NULL (never TRUE)."""
@@ -68,9 +94,13 @@ def is_iso_date(col: Column | str) -> Column:
             & c.try_cast("date").isNotNull())
 
 
+@by_name
 def parse_float(col: Column | str) -> Column:
     """Python float() on text; decimal comma and suffixes are rejected."""
-    s = py_strip(col)
+    return parse_float_stripped(py_strip(col))
+
+
+def parse_float_stripped(s: Column) -> Column:
     low = F.lower(s)
     special = (F.when(low.contains("nan"), F.lit(float("nan")))
                .when(low.startswith("-"), F.lit(float("-inf")))
@@ -79,6 +109,7 @@ def parse_float(col: Column | str) -> Column:
             .when(s.rlike(FLOAT_SHAPE), F.regexp_replace(s, "_", "").try_cast("double")))
 
 
+@by_name
 def fmt_g(col: Column | str) -> Column:
     """F8: Python ``format(x, 'g')`` (6 significant digits, zeros stripped)."""
     x = _c(col).cast("double")

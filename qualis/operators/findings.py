@@ -7,6 +7,7 @@ so numbering never funnels the findings through one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +30,15 @@ def rules_table(spark: SparkSession, rules: Rules) -> DataFrame:
 
 
 def records(tables: dict[str, DataFrame], rules: Rules, layout: C.Layout | None = None) -> DataFrame:
-    """Union of every table's records (no ids yet)."""
+    """Union of every table's records with rule/message texts (no ids yet)."""
     if layout is None:
         tables, layout = C.align(tables, rules)
-    per_table = C.table_records(tables, layout, rules)
-    out = per_table[TABLES[0]]
+    raw, insts = C.table_records(tables, layout, rules)
+    out = raw[TABLES[0]]
     for t in TABLES[1:]:
-        out = out.unionByName(per_table[t])
-    return out
+        out = out.unionByName(raw[t])
+    spark = out.sparkSession
+    return C.resolve(out, C.definitions_table(spark, insts))
 
 
 def number(recs: DataFrame, spark: SparkSession, rules: Rules) -> DataFrame:
@@ -56,7 +58,8 @@ def findings(tables: dict[str, DataFrame], rules: Rules) -> DataFrame:
     (_layer, _block, _row, _step, _seq)."""
     spark = next(iter(tables.values())).sparkSession
     C.assert_file_level_schema(tables, rules)
-    recs = records(tables, rules)
+    # Records feed both the per-block counts and the numbered output: compute once.
+    recs = records(tables, rules).persist(StorageLevel.MEMORY_AND_DISK)
     return number(recs, spark, rules).select(*ERROR_COLUMNS, *ORDER_COLUMNS, "_seq")
 
 
