@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from qualis.functions import parse as P
 from qualis.operators import checks as C
 from qualis.rules import TABLES, Rules
+from qualis.session import cut
 from qualis.sources.rowindex import block_sequence
 
 ERROR_COLUMNS = ["error_id", "check_id", "check_layer", "severity", "table", "row_ref", "column",
@@ -53,14 +54,20 @@ def number(recs: DataFrame, spark: SparkSession, rules: Rules) -> DataFrame:
             .withColumn("detected_at", F.lit(rules.run_ts)))
 
 
-def findings(tables: dict[str, DataFrame], rules: Rules) -> DataFrame:
+def findings(tables: dict[str, DataFrame], rules: Rules, materialize: bool = True) -> DataFrame:
     """All findings with the 12 report columns plus the internal order columns
     (_layer, _block, _row, _step, _seq)."""
     spark = next(iter(tables.values())).sparkSession
     C.assert_file_level_schema(tables, rules)
     # Records feed both the per-block counts and the numbered output: compute once.
     recs = records(tables, rules).persist(StorageLevel.MEMORY_AND_DISK)
-    return number(recs, spark, rules).select(*ERROR_COLUMNS, *ORDER_COLUMNS, "_seq")
+    out = number(recs, spark, rules).select(*ERROR_COLUMNS, *ORDER_COLUMNS, "_seq")
+    if not materialize:
+        return out
+    # Findings feed the score, cleaning and every report: write them once.
+    out = cut(out)
+    recs.unpersist()
+    return out
 
 
 def report(f: DataFrame) -> DataFrame:

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualis.functions import parse as P
+from qualis.operators import clean as CL
 from qualis.operators import findings as FD
+from qualis.operators import master as MS
 from qualis.operators import score as SC
-from qualis.plans.oracle import Oracle
+from qualis.plans.oracle import Oracle, clean_base
+from qualis.sources.fixture import SALES_COLUMNS
 from qualis.plans import sqlfn as S
 from qualis.rules import Rules
 from qualis.sources import fixture as FX
+from qualis.session import cut
 from qualis.sources.readers import load_fixture
 
 
@@ -50,11 +53,11 @@ class _Ctx:
         self.spark, self.sf_dir = spark, sf_dir
         self.rules = fixture_rules()
         # The fixture is derived by joins + ranking and read by several branches
-        # of every query: keep it (memory, spilling to disk; lost blocks are
-        # recomputed deterministically from the parquet inputs).
-        self.tables = {t: df.persist(StorageLevel.MEMORY_AND_DISK)
-                       for t, df in load_fixture(spark, sf_dir).items()}
+        # of every query: land it once (like the files of a real landing area).
+        self.tables = {t: cut(df) for t, df in load_fixture(spark, sf_dir).items()}
         self._findings: DataFrame | None = None
+        self._cleaning: CL.CleaningResult | None = None
+        self._findings_clean: DataFrame | None = None
 
     @property
     def findings(self) -> DataFrame:
@@ -62,6 +65,18 @@ class _Ctx:
             self._findings = FD.findings(self.tables, self.rules)
         return self._findings
 
+    @property
+    def cleaning(self) -> CL.CleaningResult:
+        if self._cleaning is None:
+            self._cleaning = CL.clean(self.tables, self.findings, self.rules)
+        return self._cleaning
+
+    @property
+    def findings_clean(self) -> DataFrame:
+        if self._findings_clean is None:
+            self._findings_clean = FD.findings(self.cleaning.cleaned, self.rules)
+        return self._findings_clean
+
 
 # ----------------------------------------------------------------------- spark
 def q_findings(spark, sf):
@@ -112,6 +127,43 @@ def q_fn_parse_float(spark, sf):
                     P.fmt_g(P.parse_float("discount")).alias("d_text"))
 
 
+def q_cleaned_sales(spark, sf):
+    return Ctx(spark, sf).cleaning.cleaned["sales"].select(*SALES_COLUMNS, "quality_flag")
+
+
+def q_fix_log(spark, sf):
+    return Ctx(spark, sf).cleaning.fix_log.select(*CL.FIXLOG_COLUMNS)
+
+
+def q_escalations(spark, sf):
+    return Ctx(spark, sf).cleaning.escalations.select(*CL.FIXLOG_COLUMNS)
+
+
+def q_cleaning_counts(spark, sf):
+    return Ctx(spark, sf).cleaning.counts
+
+
+def q_cleaning_totals(spark, sf):
+    return CL.totals(Ctx(spark, sf).cleaning)
+
+
+def q_rows_before_after(spark, sf):
+    return Ctx(spark, sf).cleaning.rows
+
+
+def q_clean_master(spark, sf):
+    return MS.build_master(Ctx(spark, sf).cleaning.cleaned)
+
+
+def q_findings_clean(spark, sf):
+    return FD.report(Ctx(spark, sf).findings_clean)
+
+
+def q_score_clean(spark, sf):
+    c = Ctx(spark, sf)
+    return SC.score(c.findings_clean, c.cleaning.cleaned, c.rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "findings": q_findings,
     "score_raw": q_score_raw,
@@ -123,6 +175,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_profile": q_table_profile,
     "fn_parse_date": q_fn_parse_date,
     "fn_parse_float": q_fn_parse_float,
+    "cleaned_sales": q_cleaned_sales,
+    "fix_log": q_fix_log,
+    "escalations": q_escalations,
+    "cleaning_counts": q_cleaning_counts,
+    "cleaning_totals": q_cleaning_totals,
+    "rows_before_after": q_rows_before_after,
+    "clean_master": q_clean_master,
+    "findings_clean": q_findings_clean,
+    "score_clean": q_score_clean,
 }
 
 
@@ -185,4 +246,31 @@ def oracle_sql() -> dict[str, str]:
             {S.fmt_g('q')} AS q_text, {S.fmt_g('d')} AS d_text FROM (SELECT *,
             {S.parse_float('quantity')} AS q, {S.parse_float('discount')} AS d FROM sales)"""),
     }
+    cb = clean_base(o)
+    wc = lambda body: Oracle.with_(cb, body)
+    flcols = 'table, row_ref, check_id, "column", original_value, fixed_value, note'.replace("table", '"table"', 1)
+    mcols = ", ".join(MS.MASTER_ORDER + ["active_status"])
+    out.update({
+        "cleaned_sales": wc(f"SELECT {', '.join(SALES_COLUMNS)}, quality_flag FROM cs"),
+        "fix_log": wc(f"SELECT {flcols} FROM fix_log"),
+        "escalations": wc(f"SELECT {flcols} FROM escalations"),
+        "cleaning_counts": wc("SELECT metric, check_id, n FROM clean_counts"),
+        "cleaning_totals": wc("""SELECT
+              CAST(COALESCE(sum(n) FILTER (WHERE metric = 'dropped'), 0) AS BIGINT) AS total_dropped,
+              CAST(COALESCE(sum(n) FILTER (WHERE metric = 'fixed'), 0) AS BIGINT) AS total_fixed,
+              CAST(COALESCE(sum(n) FILTER (WHERE metric = 'flagged'), 0) AS BIGINT) AS total_flagged,
+              CAST(COALESCE(sum(n) FILTER (WHERE metric = 'escalated'), 0) AS BIGINT) AS total_escalated,
+              (SELECT count(*) FROM findings f WHERE f."table" = 'sales' AND f.check_id <> 'UNI_001'
+                 AND NOT EXISTS (SELECT 1 FROM sv WHERE sv.sale_id = f.row_ref)) AS unresolved_findings
+            FROM clean_counts"""),
+        "rows_before_after": wc("""SELECT 'sales' AS "table", (SELECT count(*) FROM sales) AS rows_before,
+              (SELECT count(*) FROM cs) AS rows_after
+            UNION ALL SELECT 'customers', (SELECT count(*) FROM customers), (SELECT count(*) FROM cc)
+            UNION ALL SELECT 'products', (SELECT count(*) FROM products), (SELECT count(*) FROM cp)
+            UNION ALL SELECT 'targets', (SELECT count(*) FROM targets), (SELECT count(*) FROM targets)"""),
+        "clean_master": wc(f"SELECT {mcols} FROM clean_master"),
+        "findings_clean": wc(f"SELECT {cols} FROM c2_findings"),
+        "score_clean": wc(_score_sql(rules, "c2_findings",
+                                     {"s": "cs", "c": "cc", "p": "cp", "t": "targets"})),
+    })
     return out

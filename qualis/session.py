@@ -45,3 +45,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="qualis-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def cut(df):
+    """Materialise ``df`` into the shared checkpoint folder and return a
+    DataFrame that reads it back: later plans start from a scan instead of the
+    whole upstream lineage, and a lost executor never re-runs that lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
