@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from qualis.functions import parse as P
 from qualis.operators import clean as CL
 from qualis.operators import findings as FD
+from qualis.operators import inject as IJ
+from qualis.operators import reports as RP
+from qualis.operators import verify as VF
 from qualis.operators import master as MS
 from qualis.operators import score as SC
-from qualis.plans.oracle import Oracle, clean_base
+from qualis.plans.oracle import Oracle, clean_base, fixture_ctes, inject_ctes
 from qualis.sources.fixture import SALES_COLUMNS
 from qualis.plans import sqlfn as S
 from qualis.rules import Rules
@@ -58,6 +61,8 @@ class _Ctx:
         self._findings: DataFrame | None = None
         self._cleaning: CL.CleaningResult | None = None
         self._findings_clean: DataFrame | None = None
+        self._injected = None
+        self._findings_injected: DataFrame | None = None
 
     @property
     def findings(self) -> DataFrame:
@@ -71,6 +76,26 @@ class _Ctx:
             self._cleaning = CL.clean(self.tables, self.findings, self.rules)
         return self._cleaning
 
+    # -- injected baseline (N1-N13, V1-V3) --------------------------------
+    @property
+    def injected(self):
+        if self._injected is None:
+            base = {t: cut(df) for t, df in load_fixture(self.spark, self.sf_dir, clean=True).items()}
+            dirty, manifest = IJ.inject(base)
+            dirty = {t: cut(df) for t, df in dirty.items()}
+            manifest = cut(manifest)
+            expected = manifest.unionByName(VF.natural_duplicates(base["sales"]))
+            rules = Rules(audit_date=IJ.INJECT_AUDIT_DATE).with_overrides(date_min=IJ.INJECT_DATE_MIN)
+            self._injected = (base, dirty, manifest, expected, rules)
+        return self._injected
+
+    @property
+    def findings_injected(self) -> DataFrame:
+        if self._findings_injected is None:
+            _, dirty, _, _, rules = self.injected
+            self._findings_injected = FD.findings(dirty, rules)
+        return self._findings_injected
+
     @property
     def findings_clean(self) -> DataFrame:
         if self._findings_clean is None:
@@ -164,6 +189,140 @@ def q_score_clean(spark, sf):
     return SC.score(c.findings_clean, c.cleaning.cleaned, c.rules)
 
 
+def q_inject_manifest(spark, sf):
+    return Ctx(spark, sf).injected[2]
+
+
+def q_inject_counts(spark, sf):
+    return IJ.manifest_counts(Ctx(spark, sf).injected[2])
+
+
+def q_inject_self_check(spark, sf):
+    _, dirty, manifest, _, _ = Ctx(spark, sf).injected
+    return IJ.self_check(dirty, manifest)
+
+
+def q_inject_dirty_sales(spark, sf):
+    return Ctx(spark, sf).injected[1]["sales"].select(*SALES_COLUMNS, "_row_id")
+
+
+def q_detect_summary(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.detection_summary(c.findings_injected, c.injected[3])
+
+
+def q_detect_by_class(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.by_class(c.findings_injected, c.injected[3])
+
+
+def q_detect_matched(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.expected_keys(c.injected[3]).intersectAll(c.findings_injected.select(*VF.KEY))
+
+
+def q_detect_missed(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.missed(c.findings_injected, c.injected[3])
+
+
+def q_detect_unexpected(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.unexpected(c.findings_injected, c.injected[3])
+
+
+def q_baseline_check(spark, sf):
+    """V7: the clean baseline yields no findings beyond its natural key copies."""
+    c = Ctx(spark, sf)
+    base, _, _, _, rules = c.injected
+    f = FD.findings(base, rules)
+    rows = SC.total_rows(base)
+    nat = VF.natural_duplicates(base["sales"]).agg(F.count(F.lit(1)).alias("natural_duplicates"))
+    return rows.crossJoin(f.agg(F.count(F.lit(1)).alias("baseline_findings"))).crossJoin(nat)
+
+
+def q_cleaning_balance(spark, sf):
+    c = Ctx(spark, sf)
+    _, dirty, _, _, rules = c.injected
+    res = CL.clean(dirty, c.findings_injected, rules)
+    return VF.cleaning_balance(c.findings_injected, res)
+
+
+def q_residual_classes(spark, sf):
+    c = Ctx(spark, sf)
+    return VF.residual_classes(c.findings_clean, c.rules)
+
+
+def q_idempotence(spark, sf):
+    """V5: cleaning the cleaned tables again drops and fixes nothing."""
+    c = Ctx(spark, sf)
+    again = CL.clean(c.cleaning.cleaned, c.findings_clean, c.rules)
+    t = CL.totals(again)
+    return t.select("total_dropped", "total_fixed")
+
+
+def q_master_integrity(spark, sf):
+    return VF.master_integrity(MS.build_master(Ctx(spark, sf).cleaning.cleaned))
+
+
+def q_errors_summary(spark, sf):
+    c = Ctx(spark, sf)
+    return RP.errors_summary(c.findings, c.findings_clean, spark, c.rules)
+
+
+def q_findings_per_check(spark, sf):
+    return RP.findings_per_check(Ctx(spark, sf).findings)
+
+
+def q_residual_split(spark, sf):
+    return RP.residual_split(Ctx(spark, sf).cleaning)
+
+
+def q_before_after(spark, sf):
+    c = Ctx(spark, sf)
+    return RP.before_after(SC.score(c.findings, c.tables, c.rules),
+                           SC.score(c.findings_clean, c.cleaning.cleaned, c.rules))
+
+
+def q_data_dictionary(spark, sf):
+    c = Ctx(spark, sf)
+    return RP.column_profile(c.tables, c.rules)
+
+
+def q_findings_head_per_layer(spark, sf):
+    """First 3 findings of every layer (detection order)."""
+    f = Ctx(spark, sf).findings
+    return RP.head_per_group(f, "check_layer", "_seq", 3).select(*FD.ERROR_COLUMNS)
+
+
+def q_fix_examples(spark, sf):
+    """First 2 repairs per check."""
+    fl = Ctx(spark, sf).cleaning.fix_log
+    return RP.head_per_group(fl, "check_id", "_seq", 2).select(*CL.FIXLOG_COLUMNS)
+
+
+def q_flagged_master(spark, sf):
+    """Master rows that carry a quality flag."""
+    m = MS.build_master(Ctx(spark, sf).cleaning.cleaned)
+    return m.where(F.length("quality_flag") > 0)
+
+
+def q_sample_rows(spark, sf):
+    """P5: sales rows named by the first finding of selected classes."""
+    c = Ctx(spark, sf)
+    picks = RP.head_per_group(c.findings.where(F.col("check_id").isin("COM_001", "SCH_002", "BIZ_003",
+                                                                      "BIZ_005", "REL_001")),
+                              "check_id", "_seq", 1).select(F.col("row_ref").alias("sale_id"))
+    return c.tables["sales"].join(picks, "sale_id", "left_semi").select(*SALES_COLUMNS)
+
+
+def q_clean_baseline_rows(spark, sf):
+    """Sales rows referenced by no finding (the clean part of the data)."""
+    c = Ctx(spark, sf)
+    refs = c.findings.where(F.col("table") == "sales").select(F.col("row_ref").alias("sale_id"))
+    return c.tables["sales"].join(refs, "sale_id", "left_anti").select(*SALES_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "findings": q_findings,
     "score_raw": q_score_raw,
@@ -184,6 +343,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_master": q_clean_master,
     "findings_clean": q_findings_clean,
     "score_clean": q_score_clean,
+    "inject_manifest": q_inject_manifest,
+    "inject_counts": q_inject_counts,
+    "inject_self_check": q_inject_self_check,
+    "inject_dirty_sales": q_inject_dirty_sales,
+    "detect_summary": q_detect_summary,
+    "detect_by_class": q_detect_by_class,
+    "detect_matched": q_detect_matched,
+    "detect_missed": q_detect_missed,
+    "detect_unexpected": q_detect_unexpected,
+    "baseline_check": q_baseline_check,
+    "cleaning_balance": q_cleaning_balance,
+    "residual_classes": q_residual_classes,
+    "idempotence": q_idempotence,
+    "master_integrity": q_master_integrity,
+    "errors_summary": q_errors_summary,
+    "findings_per_check": q_findings_per_check,
+    "residual_split": q_residual_split,
+    "before_after": q_before_after,
+    "data_dictionary": q_data_dictionary,
+    "findings_head_per_layer": q_findings_head_per_layer,
+    "fix_examples": q_fix_examples,
+    "flagged_master": q_flagged_master,
+    "sample_rows": q_sample_rows,
+    "clean_baseline_rows": q_clean_baseline_rows,
 }
 
 
@@ -273,4 +456,117 @@ def oracle_sql() -> dict[str, str]:
         "score_clean": wc(_score_sql(rules, "c2_findings",
                                      {"s": "cs", "c": "cc", "p": "cp", "t": "targets"})),
     })
+    out.update(_report_sql(rules, wc, cols))
+    out.update(_inject_sql(cols))
     return out
+
+
+def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
+    from qualis.operators import reports as RPm
+    reg = ", ".join(f"({S.q(c)}, {S.q(l)}, {S.q(sv)}, {S.q(a)})" for c, l, sv, a, _ in rules.rules_rows())
+    flag = [c for c, a in rules.config["cleaning_actions"].items() if a == "FLAG"]
+    four = {"s": "sales", "c": "customers", "p": "products", "t": "targets"}
+    clean4 = {"s": "cs", "c": "cc", "p": "cp", "t": "targets"}
+    meaning = " ".join(f"WHEN {S.q(k)} THEN {S.q(v)}" for k, v in {**RPm.FIX_NOTE_CHECKS, **RPm.RESIDUAL_CHECKS}.items())
+    # data dictionary / column profile
+    prof = []
+    for t in ("sales", "customers", "products", "targets"):
+        req, opt, types = rules.required(t), rules.optional(t), rules.types(t)
+        cl = list(req) + [c for c in opt if c not in req]
+        for i, c in enumerate(cl):
+            typ = types.get(c, "string")
+            bad = (f"{c} IS NOT NULL AND {S.parse_date(c)} IS NULL" if typ == "date" else
+                   f"{c} IS NOT NULL AND {S.parse_float(c)} IS NULL" if typ == "numeric" else "false")
+            desc = RPm.PK_DESCRIPTIONS.get((t, c), RPm.DESCRIPTIONS.get(c, ""))
+            prof.append(f"""SELECT {S.q(t)} AS "table", {i} AS ord, {S.q(c)} AS "column", {S.q(typ)} AS type,
+                {S.q('required' if c in req else 'optional')} AS required, {S.q(desc)} AS description,
+                count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+                count(*) FILTER (WHERE {bad}) AS unparseable FROM {t}""")
+    stack = lambda sc: f"""SELECT 'Quality score' AS metric, CAST(score AS BIGINT) AS v FROM ({sc})
+        UNION ALL SELECT 'Critical', n_critical FROM ({sc}) UNION ALL SELECT 'Major', n_major FROM ({sc})
+        UNION ALL SELECT 'Minor', n_minor FROM ({sc}) UNION ALL SELECT 'Total issues', total_errors FROM ({sc})"""
+    fl = 'f."table", row_ref, check_id, "column", original_value, fixed_value, note'
+    return {
+        "residual_classes": wc(f"""SELECT check_id, count(*) AS n,
+            check_id IN ({', '.join(S.q(x) for x in flag)}) AS is_flag_class FROM c2_findings GROUP BY check_id"""),
+        "master_integrity": wc(f"""SELECT count(*) AS rows,
+            count(*) FILTER (WHERE gross_revenue IS NULL) AS null_gross,
+            count(*) FILTER (WHERE net_revenue IS NULL) AS null_net,
+            count(*) FILTER (WHERE customer_id IS NOT NULL AND customer_name IS NULL) AS customer_gaps,
+            count(*) FILTER (WHERE product_id IS NOT NULL AND product_name IS NULL) AS product_gaps,
+            count(*) FILTER (WHERE length(quality_flag) > 0) AS flagged_rows,
+            count(*) FILTER (WHERE {S.round_cents(f"{S.parse_float('quantity')} * {S.parse_float('unit_price')}")}
+                             IS DISTINCT FROM gross_revenue) AS revenue_mismatch FROM clean_master"""),
+        "errors_summary": wc(f"""WITH_REG AS (SELECT 1) SELECT r.check_id, g.layer, g.severity, g.cleaning_action,
+              r.found_raw, COALESCE(c.n, 0) AS remaining_after_clean
+            FROM (SELECT check_id, count(*) AS found_raw FROM findings GROUP BY check_id) r
+            JOIN (SELECT * FROM (VALUES {reg}) t(check_id, layer, severity, cleaning_action)) g ON r.check_id = g.check_id
+            LEFT JOIN (SELECT check_id, count(*) AS n FROM c2_findings GROUP BY check_id) c ON r.check_id = c.check_id
+            UNION ALL SELECT 'TOTAL', '', '', '', (SELECT count(*) FROM findings),
+              (SELECT count(*) FROM c2_findings WHERE check_id IN (SELECT check_id FROM findings))""")
+        .replace("WITH_REG AS (SELECT 1) ", ""),
+        "findings_per_check": wc("SELECT check_id, cleaning_action, count(*) AS found FROM findings "
+                                 "GROUP BY check_id, cleaning_action"),
+        "residual_split": wc(f"""SELECT CASE WHEN check_id IN ({', '.join(S.q(x) for x in RPm.FIX_NOTE_CHECKS)})
+              THEN 'documented_fix' ELSE 'residual' END AS kind, check_id, n,
+              CASE check_id {meaning} ELSE '' END AS meaning FROM clean_counts WHERE metric = 'flagged'"""),
+        "before_after": wc(f"""SELECT b.metric, b.v AS before, a.v AS after
+            FROM ({stack(_score_sql(rules, 'findings', four))}) b
+            JOIN ({stack(_score_sql(rules, 'c2_findings', clean4))}) a ON a.metric = b.metric"""),
+        "data_dictionary": wc("\nUNION ALL\n".join(prof)),
+        "findings_head_per_layer": wc(f"""SELECT {cols} FROM (SELECT *, row_number() OVER
+            (PARTITION BY check_layer ORDER BY _seq) AS rk FROM findings) WHERE rk <= 3"""),
+        "fix_examples": wc(f"""SELECT {fl} FROM (SELECT *, row_number() OVER (PARTITION BY check_id ORDER BY _seq)
+            AS rk FROM fix_log) f WHERE rk <= 2"""),
+        "flagged_master": wc(f"SELECT {', '.join(MS.MASTER_ORDER + ['active_status'])} FROM clean_master "
+                             "WHERE length(quality_flag) > 0"),
+        "sample_rows": wc(f"""SELECT {', '.join(SALES_COLUMNS)} FROM sales WHERE sale_id IN (
+            SELECT row_ref FROM (SELECT row_ref, row_number() OVER (PARTITION BY check_id ORDER BY _seq) AS rk
+              FROM findings WHERE check_id IN ('COM_001', 'SCH_002', 'BIZ_003', 'BIZ_005', 'REL_001')) WHERE rk = 1)"""),
+        "clean_baseline_rows": wc(f"""SELECT {', '.join(SALES_COLUMNS)} FROM sales s WHERE NOT EXISTS (
+            SELECT 1 FROM findings f WHERE f."table" = 'sales' AND f.row_ref = s.sale_id)"""),
+    }
+
+
+def _inject_sql(cols: str) -> dict[str, str]:
+    irules = Rules(audit_date=IJ.INJECT_AUDIT_DATE).with_overrides(date_min=IJ.INJECT_DATE_MIN)
+    io = Oracle(irules)
+    src = {"sales": "isales", "customers": "icustomers", "products": "iproducts", "targets": "targets"}
+    base = fixture_ctes(clean=True) + inject_ctes(io) + io.finding_ctes(src, "i_")
+    wi = lambda body: Oracle.with_(base, body)
+    e = """SELECT "table", row_ref, error_class AS check_id FROM iexpected"""
+    d = """SELECT "table", row_ref, check_id FROM i_findings"""
+    bsrc = {t: t for t in ("sales", "customers", "products", "targets")}
+    return {
+        "inject_manifest": wi('SELECT "table", row_ref, error_class, "column", detail FROM imanifest'),
+        "inject_counts": wi("SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class"),
+        "inject_self_check": wi("""SELECT x.error_class, x.in_data, COALESCE(m.n, 0) AS in_manifest,
+              CASE WHEN x.in_data = COALESCE(m.n, 0) THEN 'OK' ELSE 'MISMATCH' END AS status
+            FROM (SELECT 'COM_001' AS error_class, count(*) FILTER (WHERE customer_id IS NULL) AS in_data FROM isales
+              UNION ALL SELECT 'REL_001', count(*) FILTER (WHERE customer_id IS NOT NULL AND NOT EXISTS (
+                SELECT 1 FROM icustomers c WHERE c.customer_id = isales.customer_id)) FROM isales
+              UNION ALL SELECT 'UNI_001', count(*) - count(DISTINCT sale_id) FROM isales) x
+            LEFT JOIN (SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class) m
+              ON x.error_class = m.error_class"""),
+        "inject_dirty_sales": wi(f"SELECT {', '.join(SALES_COLUMNS)}, _row_id FROM isales"),
+        "detect_summary": wi(f"""SELECT *, CASE WHEN missed = 0 AND unexpected = 0 AND matched = expected
+              THEN 'VERIFIED' ELSE 'FAILED' END AS verdict FROM (SELECT
+              (SELECT count(*) FROM ({e})) AS expected, (SELECT count(*) FROM ({d})) AS detected,
+              (SELECT count(*) FROM ({e} INTERSECT ALL {d})) AS matched,
+              (SELECT count(*) FROM ({e} EXCEPT ALL {d})) AS missed,
+              (SELECT count(*) FROM ({d} EXCEPT ALL {e})) AS unexpected)"""),
+        "detect_by_class": wi("""SELECT COALESCE(i.check_id, d.check_id) AS check_id, COALESCE(i.n, 0) AS injected,
+              COALESCE(d.n, 0) AS detected, CASE WHEN COALESCE(i.n, 0) = COALESCE(d.n, 0) THEN 'OK'
+              ELSE 'MISMATCH' END AS status
+            FROM (SELECT error_class AS check_id, count(*) AS n FROM iexpected GROUP BY error_class) i
+            FULL OUTER JOIN (SELECT check_id, count(*) AS n FROM i_findings GROUP BY check_id) d
+              ON i.check_id = d.check_id"""),
+        "detect_matched": wi(f"{e} INTERSECT ALL {d}"),
+        "detect_missed": wi(f"{e} EXCEPT ALL {d}"),
+        "detect_unexpected": wi(f"{d} EXCEPT ALL {e}"),
+        "baseline_check": Oracle.with_(fixture_ctes(clean=True) + inject_ctes(io) + io.finding_ctes(bsrc, "b_"),
+            """SELECT CAST((SELECT count(*) FROM sales) + (SELECT count(*) FROM customers)
+                 + (SELECT count(*) FROM products) + (SELECT count(*) FROM targets) AS BIGINT) AS total_row_count,
+               (SELECT count(*) FROM b_findings) AS baseline_findings,
+               (SELECT count(*) FROM natural_dups) AS natural_duplicates"""),
+    }

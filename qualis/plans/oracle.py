@@ -23,15 +23,17 @@ def _ref(table: str) -> str:
     return f"COALESCE({PRIMARY_KEY[table]}, 'row:' || CAST(_row_id AS VARCHAR))"
 
 
-def fixture_ctes() -> list[str]:
+def fixture_ctes(clean: bool = False) -> list[str]:
     cols = FX.SALES_COLUMNS
     nulls = lambda cs: ", ".join(f"NULLIF({c}, '') AS {c}" for c in cs)
     iso = "strftime(d, '%Y-%m-%d')"
     v = lambda c: f"CAST({c} AS VARCHAR)"
+    slot = "-1" if clean else "(l.l_orderkey * 31 + l.l_partkey * 17 + l.l_suppkey * 7 + l.l_linenumber) % 1000"
+    bad = "false" if clean else "true"
     return [
-        """li AS (SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_discount,
+        f"""li AS (SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_discount,
             l.l_returnflag, CAST(l.l_shipdate AS DATE) AS d, o.o_custkey, r.r_name, p.p_retailprice,
-            (l.l_orderkey * 31 + l.l_partkey * 17 + l.l_suppkey * 7 + l.l_linenumber) % 1000 AS slot
+            {slot} AS slot
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
           JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
           JOIN region r ON n.n_regionkey = r.r_regionkey JOIN part p ON l.l_partkey = p.p_partkey)""",
@@ -66,23 +68,25 @@ def fixture_ctes() -> list[str]:
             l_suppkey, copy_no, {', '.join(cols)}) - 1 AS _row_id FROM sales_txt)""",
         """cu AS (SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name FROM customer c
             JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
-        """cu2 AS (SELECT *, 0 AS copy_no FROM cu UNION ALL SELECT *, 1 AS copy_no FROM cu WHERE c_custkey % 50 = 3)""",
+        f"""cu2 AS (SELECT *, 0 AS copy_no FROM cu UNION ALL SELECT *, 1 AS copy_no FROM cu
+            WHERE {bad} AND c_custkey % 50 = 3)""",
         f"""customers AS (SELECT NULLIF('C-' || {v('c_custkey')}, '') AS customer_id,
             NULLIF(CASE WHEN copy_no = 1 THEN c_name || ' (dup)' ELSE c_name END, '') AS customer_name,
             CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'B2B' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'B2C'
                  ELSE 'Enterprise' END AS customer_segment,
             NULLIF(n_name, '') AS country,
-            NULLIF(CASE WHEN c_custkey % 97 = 0 THEN '' WHEN c_custkey % 97 = 1 THEN '05.03.2021'
+            NULLIF(CASE WHEN {bad} AND c_custkey % 97 = 0 THEN '' WHEN {bad} AND c_custkey % 97 = 1 THEN '05.03.2021'
                  ELSE '2021-03-' || lpad({v('c_custkey % 28 + 1')}, 2, '0') END, '') AS signup_date,
             row_number() OVER (ORDER BY c_custkey, copy_no) - 1 AS _row_id FROM cu2)""",
-        """pa2 AS (SELECT p_partkey, p_name, p_type, p_retailprice, 0 AS copy_no FROM part
-            UNION ALL SELECT p_partkey, p_name, p_type, p_retailprice, 1 AS copy_no FROM part WHERE p_partkey % 50 = 4)""",
+        f"""pa2 AS (SELECT p_partkey, p_name, p_type, p_retailprice, 0 AS copy_no FROM part
+            UNION ALL SELECT p_partkey, p_name, p_type, p_retailprice, 1 AS copy_no FROM part
+            WHERE {bad} AND p_partkey % 50 = 4)""",
         f"""products AS (SELECT NULLIF('P-' || {v('p_partkey')}, '') AS product_id, NULLIF(p_name, '') AS product_name,
             NULLIF(p_type, '') AS category, {v('CAST(p_retailprice AS DECIMAL(12,2))')} AS standard_price,
-            CASE WHEN copy_no = 1 OR p_partkey % 100 = 7 THEN 'inactive' ELSE 'active' END AS active_status,
+            CASE WHEN {bad} AND (copy_no = 1 OR p_partkey % 100 = 7) THEN 'inactive' ELSE 'active' END AS active_status,
             row_number() OVER (ORDER BY p_partkey, copy_no) - 1 AS _row_id FROM pa2)""",
         f"""targets AS (SELECT '2000-' || lpad({v('n.n_nationkey % 12 + 1')}, 2, '0') AS month, r.r_name AS region,
-            NULLIF(CASE WHEN n.n_nationkey = 3 THEN '' WHEN n.n_nationkey = 4 THEN 'n/a'
+            NULLIF(CASE WHEN {bad} AND n.n_nationkey = 3 THEN '' WHEN {bad} AND n.n_nationkey = 4 THEN 'n/a'
                  ELSE {v('n.n_nationkey * 1000 + 50000')} END, '') AS target_revenue,
             row_number() OVER (ORDER BY n.n_nationkey) - 1 AS _row_id
             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)""",
@@ -334,3 +338,92 @@ def clean_ctes(o: Oracle) -> list[str]:
 def clean_base(o: Oracle) -> list[str]:
     return (o.base() + clean_ctes(o)
             + o.finding_ctes({"sales": "cs", "customers": "cc", "products": "cp", "targets": "targets"}, "c2_"))
+
+
+def inject_ctes(o: Oracle, seed: int = 42) -> list[str]:
+    """Clean baseline -> injected tables (isales, icustomers, iproducts) and the
+    manifest (imanifest), with the engine's integer hash and variant lists."""
+    from qualis.operators import inject as IJ
+    plan = IJ.InjectionPlan(seed=seed)
+
+    def h(pos: str, sd: int, mod: int = 1000003, mult: int = 2654435761) -> str:
+        return f"((({pos}) % {mod}) * {mult} + {sd * 40503}) % {mod}"
+
+    cls = "CASE " + " ".join(f"WHEN _b >= {lo} AND _b < {hi} THEN {Q(n)}" for n, lo, hi in plan.ranges()) + " END"
+
+    def pick(vals: list, k: str = "_k") -> str:
+        return f"(CASE ({k}) % {len(vals)} " + " ".join(
+            f"WHEN {i} THEN {Q(str(v))}" for i, v in enumerate(vals)) + " END)"
+
+    opt = pick(IJ.OPTIONAL_SALES)
+    qp = "(CASE WHEN _k % 2 = 0 THEN 'quantity' ELSE 'unit_price' END)"
+    d = "CAST(sale_date AS DATE)"
+    fmts = ["'%d.%m.%Y'", "'%Y/%m/%d'", "'%d-%m-%Y'"]
+    new = {
+        "sale_date": f"""CASE _cls WHEN 'SCH_002' THEN (CASE _k % 3 WHEN 0 THEN strftime({d}, {fmts[0]})
+                 WHEN 1 THEN strftime({d}, {fmts[1]}) ELSE strftime({d}, {fmts[2]}) END)
+                 WHEN 'COM_003' THEN NULL
+                 WHEN 'BIZ_004' THEN strftime(DATE '2030-01-01' + CAST(_k % 365 AS INTEGER), '%Y-%m-%d')
+                 ELSE sale_date END""",
+        "customer_id": """CASE _cls WHEN 'COM_001' THEN NULL
+                 WHEN 'REL_001' THEN 'C-' || CAST(_row_id + 90000000 AS VARCHAR) ELSE customer_id END""",
+        "product_id": f"""CASE _cls WHEN 'COM_002' THEN NULL
+                 WHEN 'REL_002' THEN 'P-' || CAST(_row_id + 90000000 AS VARCHAR)
+                 WHEN 'REL_003' THEN 'P-I' || CAST(_k % {IJ.N_INACTIVE} + 1 AS VARCHAR) ELSE product_id END""",
+        "quantity": f"""CASE WHEN _cls = 'COM_004' AND {qp} = 'quantity' THEN NULL
+                 WHEN _cls = 'BIZ_001' THEN {pick(IJ.BAD_QUANTITIES)}
+                 WHEN _cls = 'BIZ_007' THEN CAST(350 + _k % 351 AS VARCHAR) ELSE quantity END""",
+        "unit_price": f"""CASE WHEN _cls = 'COM_004' AND {qp} = 'unit_price' THEN NULL
+                 WHEN _cls = 'BIZ_002' THEN printf('%.2f', -(1.0::DOUBLE + CAST(_k % 7901 AS DOUBLE) / 100.0))
+                 ELSE unit_price END""",
+        "discount": f"""CASE WHEN _cls = 'COM_005' AND {opt} = 'discount' THEN NULL
+                 WHEN _cls = 'BIZ_003' THEN (CASE WHEN _k % 5 = 0 THEN '-0.1'
+                      ELSE printf('%.2f', 0.55::DOUBLE + CAST(_k % 41 AS DOUBLE) / 100.0) END)
+                 ELSE discount END""",
+        "region": f"""CASE WHEN _cls = 'COM_005' AND {opt} = 'region' THEN NULL
+                 WHEN _cls = 'BIZ_005' THEN {pick(IJ.BAD_REGIONS)} ELSE region END""",
+        "sales_channel": f"""CASE WHEN _cls = 'COM_005' AND {opt} = 'sales_channel' THEN NULL
+                 WHEN _cls = 'BIZ_006' THEN {pick(IJ.BAD_CHANNELS)} ELSE sales_channel END""",
+    }
+    col = f"""CASE WHEN _cls IN ('SCH_002', 'COM_003', 'BIZ_004') THEN 'sale_date'
+              WHEN _cls IN ('COM_001', 'REL_001') THEN 'customer_id'
+              WHEN _cls IN ('COM_002', 'REL_002', 'REL_003') THEN 'product_id'
+              WHEN _cls = 'COM_004' THEN {qp} WHEN _cls = 'COM_005' THEN {opt}
+              WHEN _cls IN ('BIZ_001', 'BIZ_007') THEN 'quantity' WHEN _cls = 'BIZ_002' THEN 'unit_price'
+              WHEN _cls = 'BIZ_003' THEN 'discount' WHEN _cls = 'BIZ_005' THEN 'region'
+              WHEN _cls = 'BIZ_006' THEN 'sales_channel' WHEN _cls = 'UNI_001' THEN 'sale_id' END"""
+    value = "COALESCE(CASE _col " + " ".join(f"WHEN {Q(c)} THEN {c}" for c in new) + " END, '<empty>')"
+    scols = ", ".join(FX.SALES_COLUMNS)
+    rc, rp = plan.master_rates["UNI_002"], plan.master_rates["UNI_003"]
+    return [
+        f"""sb AS (SELECT *, {h('_row_id', seed)} % 10000 AS _b, {h('_row_id', seed + 1, 999983, 40503)} AS _k
+             FROM sales)""",
+        f"""sc AS (SELECT *, {cls} AS _cls FROM sb)""",
+        "si AS (SELECT sale_id, " + ", ".join(f"{v} AS {c}" for c, v in new.items())
+        + f", _row_id, _cls, _k, {col} AS _col FROM sc)",
+        f"""imanifest AS (
+             SELECT 'sales' AS "table", sale_id AS row_ref, _cls AS error_class, _col AS "column",
+               CASE WHEN _cls = 'UNI_001' THEN 'duplicate sale_id ' || sale_id
+                    ELSE _col || ' -> ''' || {value} || '''' END AS detail FROM si WHERE _cls IS NOT NULL
+             UNION ALL
+             SELECT 'customers', customer_id, 'UNI_002', 'customer_id', 'duplicate customer_id ' || customer_id
+               FROM customers WHERE {h('_row_id', seed + 7)} % 10000 < {rc}
+             UNION ALL
+             SELECT 'products', product_id, 'UNI_003', 'product_id', 'duplicate product_id ' || product_id
+               FROM products WHERE {h('_row_id', seed + 7)} % 10000 < {rp})""",
+        f"""isales AS (SELECT {scols}, row_number() OVER (ORDER BY _row_id, _copy) - 1 AS _row_id FROM (
+             SELECT *, 0 AS _copy FROM si UNION ALL SELECT *, 1 AS _copy FROM si WHERE _cls = 'UNI_001'))""",
+        f"""icustomers AS (SELECT * EXCLUDE (_row_id, _copy), row_number() OVER (ORDER BY _row_id, _copy) - 1
+             AS _row_id FROM (SELECT *, 0 AS _copy FROM customers UNION ALL SELECT *, 1 AS _copy FROM customers
+             WHERE {h('_row_id', seed + 7)} % 10000 < {rc}))""",
+        f"""ip0 AS (SELECT * EXCLUDE (_row_id, _copy), row_number() OVER (ORDER BY _row_id, _copy) - 1
+             AS _row_id FROM (SELECT *, 0 AS _copy FROM products UNION ALL SELECT *, 1 AS _copy FROM products
+             WHERE {h('_row_id', seed + 7)} % 10000 < {rp}))""",
+        f"""iproducts AS (SELECT * FROM ip0 UNION ALL
+             SELECT 'P-I' || CAST(i AS VARCHAR), 'Inactive product ' || CAST(i AS VARCHAR), 'Inactive', '10.00',
+               'inactive', (SELECT count(*) FROM ip0) + i - 1 FROM range(1, {IJ.N_INACTIVE + 1}) t(i))""",
+        """natural_dups AS (SELECT 'sales' AS "table", sale_id AS row_ref, 'UNI_001' AS error_class,
+             'sale_id' AS "column", 'natural duplicate' AS detail FROM (SELECT sale_id, row_number() OVER
+             (PARTITION BY sale_id ORDER BY _row_id) AS k FROM sales WHERE sale_id IS NOT NULL) WHERE k > 1)""",
+        """iexpected AS (SELECT * FROM imanifest UNION ALL SELECT * FROM natural_dups)""",
+    ]

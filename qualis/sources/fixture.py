@@ -36,7 +36,7 @@ def _in(slot: Column, *vals: int) -> Column:
     return slot.isin(*vals)
 
 
-def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     li = rd("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                "l_discount", "l_returnflag", "l_shipdate")
@@ -52,7 +52,8 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(p, F.col("l_partkey") == p.p_partkey))
     slot = (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_suppkey") * 7
             + F.col("l_linenumber")) % 1000
-    j = j.withColumn("slot", slot)
+    # clean=True: the baseline without placed defects (every slot clean).
+    j = j.withColumn("slot", F.lit(-1).cast("long") if clean else slot)
     # Slots 41 and 42 are emitted twice: copy 1 is a duplicate sale.
     rows = (j.withColumn("copy_no", F.lit(0))
             .unionByName(j.where(F.col("slot").isin(41, 42)).withColumn("copy_no", F.lit(1))))
@@ -106,14 +107,15 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seq.select(*SALES_COLUMNS, "_row_id")
 
 
-def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey",
                                                                  "c_mktsegment")
     n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey)
     rows = (j.withColumn("copy_no", F.lit(0))
-            .unionByName(j.where(F.col("c_custkey") % 50 == 3).withColumn("copy_no", F.lit(1))))
+            .unionByName(j.where((F.col("c_custkey") % 50 == 3) & F.lit(not clean)).withColumn("copy_no", F.lit(1))))
     k = F.col("c_custkey")
+    bad = F.lit(not clean)
     seg = F.col("c_mktsegment")
     out = rows.select(
         "c_custkey", "copy_no",
@@ -123,18 +125,18 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(seg.isin("BUILDING", "MACHINERY"), "B2B").when(seg == "HOUSEHOLD", "B2C")
         .otherwise("Enterprise").alias("customer_segment"),
         F.col("n_name").alias("country"),
-        F.when(k % 97 == 0, "").when(k % 97 == 1, "05.03.2021")
+        F.when(bad & (k % 97 == 0), "").when(bad & (k % 97 == 1), "05.03.2021")
         .otherwise(F.concat(F.lit("2021-03-"), F.lpad(_s(k % 28 + 1), 2, "0"))).alias("signup_date"),
     )
     seq = block_sequence(out, ["c_custkey", "copy_no"], [F.floor(k / BLOCK_WIDTH)])
     return seq.select(*CUSTOMER_COLUMNS, "_row_id")
 
 
-def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_type",
                                                              "p_retailprice")
     rows = (p.withColumn("copy_no", F.lit(0))
-            .unionByName(p.where(F.col("p_partkey") % 50 == 4).withColumn("copy_no", F.lit(1))))
+            .unionByName(p.where((F.col("p_partkey") % 50 == 4) & F.lit(not clean)).withColumn("copy_no", F.lit(1))))
     k = F.col("p_partkey")
     out = rows.select(
         "p_partkey", "copy_no",
@@ -142,14 +144,14 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         _s(F.col("p_retailprice").cast("decimal(12,2)")).alias("standard_price"),
-        F.when((F.col("copy_no") == 1) | (k % 100 == 7), "inactive").otherwise("active")
+        F.when(F.lit(not clean) & ((F.col("copy_no") == 1) | (k % 100 == 7)), "inactive").otherwise("active")
         .alias("active_status"),
     )
     seq = block_sequence(out, ["p_partkey", "copy_no"], [F.floor(k / BLOCK_WIDTH)])
     return seq.select(*PRODUCT_COLUMNS, "_row_id")
 
 
-def targets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def targets_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
     r = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
     k = F.col("n_nationkey")
@@ -157,13 +159,15 @@ def targets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_nationkey",
         F.concat(F.lit("2000-"), F.lpad(_s(k % 12 + 1), 2, "0")).alias("month"),
         F.col("r_name").alias("region"),
-        F.when(k == 3, "").when(k == 4, "n/a").otherwise(_s(k * 1000 + 50000)).alias("target_revenue"),
+        F.when(F.lit(not clean) & (k == 3), "").when(F.lit(not clean) & (k == 4), "n/a")
+        .otherwise(_s(k * 1000 + 50000)).alias("target_revenue"),
     )
     seq = block_sequence(out, ["n_nationkey"], [F.lit(0)])
     return seq.select(*TARGET_COLUMNS, "_row_id")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four raw text tables (empty strings still present)."""
-    return {"sales": sales_raw(spark, sf_dir), "customers": customers_raw(spark, sf_dir),
-            "products": products_raw(spark, sf_dir), "targets": targets_raw(spark, sf_dir)}
+def raw_tables(spark: SparkSession, sf_dir: str, clean: bool = False) -> dict[str, DataFrame]:
+    """The four raw text tables (empty strings still present); ``clean`` gives
+    the defect-free baseline of the same rows."""
+    return {"sales": sales_raw(spark, sf_dir, clean), "customers": customers_raw(spark, sf_dir, clean),
+            "products": products_raw(spark, sf_dir, clean), "targets": targets_raw(spark, sf_dir, clean)}

@@ -87,9 +87,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return m.select(F.explode("errors").alias("e")).select("e.*")
 
 
-def load_fixture(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def load_fixture(spark: SparkSession, sf_dir: str, clean: bool = False) -> dict[str, DataFrame]:
     """The dirty fixture tables as the engine sees them (text, '' -> NULL)."""
-    return {t: empty_to_null(df) for t, df in FX.raw_tables(spark, sf_dir).items()}
+    return {t: empty_to_null(df) for t, df in FX.raw_tables(spark, sf_dir, clean).items()}
 
 
 def read_landing(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
