@@ -62,16 +62,35 @@ def by_name(fn):
     return wrapper
 
 
+# The same whitespace set as literal characters, for the regex-free trim.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+                 + "\u2028\u2029\u202f\u205f\u3000")
+
+
+# float() trims the same set minus the information separators \x1c-\x1f.
+FLOAT_WHITESPACE = PY_WHITESPACE.replace("\x1c\x1d\x1e\x1f", "")
+
+
 @by_name
 def py_strip(col: Column | str) -> Column:
-    """Python ``str.strip()``: Spark's trim only removes spaces."""
-    return F.regexp_replace(_c(col), STRIP_RE, "")
+    """Python ``str.strip()``: Spark's trim only removes spaces. ``btrim`` with
+    the whitespace set is a character scan, no regex."""
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
+
+
+def _iso_shaped(s: Column) -> Column:
+    """dddd-dd-dd without a regex: fixed length, dashes in place, digits only."""
+    return ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+            & (F.translate(s, "0123456789", "") == "--"))
 
 
 @by_name
 def parse_date(col: Column | str) -> Column:
     """multi-format date parse; NULL when no format gives a valid date."""
-    return parse_date_stripped(py_strip(col))
+    s = py_strip(col)
+    # Fast path: strict ISO text is the first format and the common case.
+    return F.when(_iso_shaped(s) & (F.substring(s, 1, 4) != "0000"), s.try_cast("date")) \
+        .otherwise(parse_date_stripped(s))
 
 
 def parse_date_stripped(s: Column) -> Column:
@@ -90,14 +109,18 @@ def is_iso_date(col: Column | str) -> Column:
     """strict ISO shape on the unstripped text plus a valid calendar date.
     NULL input gives NULL (never TRUE)."""
     c = _c(col)
-    return (c.rlike(ISO_SHAPE) & (F.substring(c, 1, 4) != F.lit("0000"))
-            & c.try_cast("date").isNotNull())
+    return _iso_shaped(c) & (F.substring(c, 1, 4) != F.lit("0000")) & c.try_cast("date").isNotNull()
 
 
 @by_name
 def parse_float(col: Column | str) -> Column:
     """Python float() on text; decimal comma and suffixes are rejected."""
-    return parse_float_stripped(py_strip(col))
+    s = F.btrim(_c(col), F.lit(FLOAT_WHITESPACE))
+    # Fast path: only digits, sign, point and exponent letters (no underscore,
+    # no letters that Java's parser would accept but Python's would not): the
+    # plain cast decides exactly like float().
+    plain = (F.length(s) > 0) & (F.translate(s, "0123456789.+-eE", "") == "")
+    return F.when(plain, s.try_cast("double")).otherwise(parse_float_stripped(s))
 
 
 def parse_float_stripped(s: Column) -> Column:

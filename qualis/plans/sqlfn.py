@@ -47,8 +47,11 @@ def parse_float_stripped(s: str) -> str:
             f"WHEN regexp_matches({s}, {q(FLOAT_SHAPE)}) THEN try_cast(replace({s}, '_', '') AS DOUBLE) END")
 
 
+FLOAT_WS_CLASS = WS_CLASS.replace("\\x{1c}-\\x{1f}", "")
+
+
 def parse_float(x: str) -> str:
-    return parse_float_stripped(strip(x))
+    return parse_float_stripped(f"regexp_replace({x}, '^[{FLOAT_WS_CLASS}]+|[{FLOAT_WS_CLASS}]+\\z', '', 'g')")
 
 
 def fmt_g(x: str) -> str:
