@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,8 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df):
-    """Materialise ``df`` into the shared checkpoint folder and return a
-    DataFrame that reads it back: later plans start from a scan instead of the
-    whole upstream lineage, and a lost executor never re-runs that lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    return a DataFrame that reads it back.
+
+    Later plans start from a scan (with column pruning and filter pushdown)
+    instead of the whole upstream lineage, and a lost executor never re-runs
+    that lineage. Unlike ``DataFrame.checkpoint``, the data is computed once.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/qualis-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
