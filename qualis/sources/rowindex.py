@@ -42,8 +42,9 @@ def positions_after_removal(removed_ids: DataFrame, wanted_ids: DataFrame, id_co
     rem = removed_ids.select(F.col(id_col).alias("_id"), F.lit(1).alias("_gone"))
     want = wanted_ids.select(F.col(id_col).alias("_id"), F.lit(0).alias("_gone"))
     u = rem.unionByName(want).withColumn("_b", F.floor(F.col("_id") / F.lit(width)))
-    per_block = rem.groupBy(F.floor(F.col("_id") / F.lit(width)).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_nb"))
+    # Every block that holds a wanted or removed id, with its removed count
+    # (0 for blocks without removals, so later blocks still see the prefix).
+    per_block = u.groupBy("_b").agg(F.sum("_gone").alias("_nb"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select("_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_prev"))
     running = Window.partitionBy("_b").orderBy("_id", "_gone").rowsBetween(Window.unboundedPreceding, 0)
