@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from qualis.sources import fixture as FX
+from qualis.sources.rowindex import block_sequence
 
 
 class DataLoadError(RuntimeError):
@@ -40,11 +41,40 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     id inside the split) taken directly after the scan.
     """
     df = (spark.read.schema(all_text_schema(columns)).option("header", True)
-          .option("escape", '"').option("nullValue", None).option("emptyValue", "")
+          .option("escape", '"').option("emptyValue", "")
+          # raw stays raw: no trimming of cell text
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .csv(path))
     return df
 
 
+def with_text_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
+    """IO5 for text formats (CSV/JSON lines): dense position in file order.
+
+    Taken directly after the scan: (file path, start of the split, id inside
+    the split). Splits are ranked per (file, split) - bounded by the split
+    size - and shifted by the rows of all earlier splits; the data is neither
+    sorted globally nor collected.
+    """
+    scanned = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_blk"),
+                        F.monotonically_increasing_id().alias("_mid"))
+    return (block_sequence(scanned, ["_file", "_blk", "_mid"], [F.col("_file"), F.col("_blk")], out=out)
+            .drop("_file", "_blk", "_mid"))
+
+
+def header_problems(spark: SparkSession, path: str, required: list[str], sep: str = ",") -> DataFrame:
+    """P1/SCH_001 for many-file landings: (file, missing column) for every file
+    whose own header lacks a required column. Empty = the gate passes."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+    first = (lines.where(F.col("_blk") == 0).groupBy("file")
+             .agg(F.min_by("value", "_mid").alias("header")))
+    req = F.array(*[F.lit(c) for c in required])
+    return (first.select("file", F.explode(F.array_except(req, F.split("header", sep))).alias("missing_column")))
+
+
 def read_any_text(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """IO2: typed formats (parquet/orc/json) cast to text on read."""
     df = spark.read.format(fmt).load(path)
