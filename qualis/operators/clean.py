@@ -101,8 +101,9 @@ def _flag_text(flags: DataFrame) -> DataFrame:
 def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
           materialize: bool = True) -> CleaningResult:
     # Q14: a pass rewrites quality_flag, it never merges an earlier one.
-    sales, customers, products = tables["sales"].drop("quality_flag", "_pos"), tables["customers"], \
-        tables["products"]
+    # Positions of an earlier pass are recomputed here.
+    sales = tables["sales"].drop("quality_flag", "_pos")
+    customers, products = tables["customers"].drop("_pos"), tables["products"].drop("_pos")
 
     # K1/K2/K3: mechanical keep-first on every keyed table.
     cust_kept, cust_dups = K.keep_first(customers, "customer_id")
@@ -115,9 +116,14 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
     recs = findings.where((F.col("table") == "sales") & (F.col("check_id") != "UNI_001")).select(
         "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq")
     keys = survivors.where(F.col("sale_id").isNotNull()).select(
-        F.col("sale_id").alias("row_ref"), F.col("_row_id").alias("_tgt"))
-    resolved = recs.join(keys, "row_ref")
-    unresolved = recs.join(keys, "row_ref", "left_anti")
+        F.col("sale_id").alias("row_ref"), F.col("_row_id").alias("_tgt"), *SALES_COLUMNS)
+    # One join brings each finding its target row and that row's current cell
+    # text, so the per-cell repair state needs no second pass over the sales.
+    resolved = (recs.join(keys, "row_ref")
+                .withColumn("_v0", _cell_value(SALES_COLUMNS)).drop(*SALES_COLUMNS))
+    if materialize:
+        resolved = cut(resolved)      # findings-sized; read by three consumers below
+    unresolved = recs.join(keys.select("row_ref"), "row_ref", "left_anti")
 
     # Per repaired cell: first repair of each kind and the business check in play.
     fixes = resolved.where(F.col("cleaning_action") == "FIX")
@@ -126,18 +132,20 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
         F.max(is_date).alias("_has_date"),
         F.min(F.when(is_date, F.col("_seq"))).alias("_first_date"),
         F.max(F.when(~is_date, F.col("check_id"))).alias("_biz"),
-        F.min(F.when(~is_date, F.col("_seq"))).alias("_first_biz"))
-    cells = (cells.join(survivors.select(F.col("_row_id").alias("_tgt"), *SALES_COLUMNS), "_tgt")
-             .withColumn("_v0", _cell_value(SALES_COLUMNS)).drop(*SALES_COLUMNS)
+        F.min(F.when(~is_date, F.col("_seq"))).alias("_first_biz"),
+        F.max("_v0").alias("_v0"))                     # the same text on every finding of the cell
+    cells = (cells
              .withColumn("_dval", F.when(F.col("_has_date"), _date_fix(F.col("_v0"))))
              .withColumn("_va", F.coalesce(F.col("_dval"), F.col("_v0")))
              .withColumn("_bval", _business_fix(F.col("_biz"), F.col("_va"), rules))
              .withColumn("_final", F.when(F.col("_biz").isNotNull(), F.coalesce(F.col("_bval"), F.col("_va")))
                          .otherwise(F.col("_va")))
              )
+    if materialize:
+        cells = cut(cells)            # one row per repaired cell
 
     # Outcome of every resolved finding.
-    fx = fixes.join(cells, ["_tgt", "column"])
+    fx = fixes.drop("_v0").join(cells, ["_tgt", "column"])
     date_rec = F.col("check_id") == "SCH_002"
     ok = F.when(date_rec, F.col("_dval").isNotNull()).otherwise(F.col("_bval").isNotNull())
     original = F.when(date_rec, F.when(F.col("_seq") == F.col("_first_date"), F.col("_v0"))
@@ -155,7 +163,6 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
     outcomes = fx.unionByName(other)
     if materialize:
         outcomes = cut(outcomes)
-        cells = cut(cells)
 
     fix_log = outcomes.where(F.col("outcome") == "FIX").select(
         F.lit("sales").alias("table"), "row_ref", "check_id", F.coalesce("column", F.lit("")).alias("column"),
