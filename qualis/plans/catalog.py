@@ -323,6 +323,21 @@ def q_clean_baseline_rows(spark, sf):
     return c.tables["sales"].join(refs, "sale_id", "left_anti").select(*SALES_COLUMNS)
 
 
+def q_master_head(spark, sf):
+    """The first 6 master rows in file order (a head listing; the limit is the feature)."""
+    m = MS.build_master(Ctx(spark, sf).cleaning.cleaned, keep_internal=True)
+    return m.orderBy("_row_id").limit(6).select(*MS.MASTER_ORDER, "active_status")
+
+
+def q_rerun_identical(spark, sf):
+    """A second, independent run gives the same findings (multiset both ways)."""
+    c = Ctx(spark, sf)
+    again = FD.findings({t: cut(df) for t, df in load_fixture(spark, sf).items()}, c.rules)
+    a, b = FD.report(c.findings), FD.report(again)
+    return (a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_first"))
+            .crossJoin(b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_second"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "findings": q_findings,
     "score_raw": q_score_raw,
@@ -367,6 +382,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_master": q_flagged_master,
     "sample_rows": q_sample_rows,
     "clean_baseline_rows": q_clean_baseline_rows,
+    "master_head": q_master_head,
+    "rerun_identical": q_rerun_identical,
 }
 
 
@@ -523,6 +540,8 @@ def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
         "sample_rows": wc(f"""SELECT {', '.join(SALES_COLUMNS)} FROM sales WHERE sale_id IN (
             SELECT row_ref FROM (SELECT row_ref, row_number() OVER (PARTITION BY check_id ORDER BY _seq) AS rk
               FROM findings WHERE check_id IN ('COM_001', 'SCH_002', 'BIZ_003', 'BIZ_005', 'REL_001')) WHERE rk = 1)"""),
+        "master_head": wc(f"""SELECT {', '.join(MS.MASTER_ORDER + ['active_status'])} FROM clean_master
+            ORDER BY _row_id LIMIT 6"""),
         "clean_baseline_rows": wc(f"""SELECT {', '.join(SALES_COLUMNS)} FROM sales s WHERE NOT EXISTS (
             SELECT 1 FROM findings f WHERE f."table" = 'sales' AND f.row_ref = s.sale_id)"""),
     }

@@ -111,8 +111,18 @@ MANIFEST_SCHEMA = ("seed long, generated_for string, scope_note string, total_in
                    "column:string,detail:string>>")
 
 
+ERROR_SCHEMA = "table string, row_ref string, error_class string, column string, detail string"
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """IO6: nested manifest -> one row per expected error."""
+    """IO6: manifest -> one row per expected error.
+
+    Accepts the nested single-document form (header + ``errors[]``, as small
+    single-machine tools write it) and the scalable layout of
+    ``sinks.write_manifest`` (a folder with ``errors/`` as JSON lines)."""
+    import os
+    if os.path.isdir(path) and os.path.isdir(os.path.join(path, "errors")):
+        return spark.read.schema(ERROR_SCHEMA).json(os.path.join(path, "errors"))
     m = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
     return m.select(F.explode("errors").alias("e")).select("e.*")
 

@@ -34,3 +34,17 @@ def read_findings_layer(spark: SparkSession, path: str, layer: str) -> DataFrame
 def write_tables(tables: dict[str, DataFrame], landing: str, fmt: str = "parquet") -> dict[str, str]:
     """Land a set of tables (e.g. injected dirty data, IO11)."""
     return {t: write_table(df, f"{landing}/{t}", fmt) for t, df in tables.items()}
+
+
+def write_manifest(manifest: DataFrame, path: str, seed: int, generated_for: str) -> str:
+    """IO11: the manifest as JSON - ``errors/`` holds one entry per line,
+    written in parallel by every task (never gathered into one document or one
+    task), and ``header/`` one line with seed, scope and the total count (an
+    aggregate). ``readers.read_manifest`` reads this layout back."""
+    manifest.select("table", "row_ref", "error_class", "column", "detail") \
+        .write.mode("overwrite").json(f"{path}/errors")
+    header = manifest.agg(F.count(F.lit(1)).alias("total_injected_errors")).select(
+        F.lit(seed).cast("long").alias("seed"), F.lit(generated_for).alias("generated_for"),
+        F.lit("known injected defects only").alias("scope_note"), "total_injected_errors")
+    header.write.mode("overwrite").json(f"{path}/header")
+    return path

@@ -78,3 +78,13 @@ def test_findings_split_by_layer_keeps_schema(spark):
     empty = SK.read_findings_layer(spark, f"{d}/errors", "UNIQUENESS")
     assert empty.count() == 0 and len(empty.columns) == 12
     assert SK.read_findings_layer(spark, f"{d}/errors", "SCHEMA").count() > 0
+
+
+def test_manifest_json_round_trip(spark):
+    from qualis.plans.catalog import Ctx
+    d = tempfile.mkdtemp(prefix="qualis-io-")
+    manifest = Ctx(spark, SF).injected[2]
+    SK.write_manifest(manifest, f"{d}/manifest", 42, "sf0.001")
+    back = R.read_manifest(spark, f"{d}/manifest")
+    assert back.count() == manifest.count()
+    assert back.exceptAll(manifest.select(*back.columns)).count() == 0
