@@ -18,14 +18,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+FANOUT = 4096
+
+
+def prefix_offsets(counts: DataFrame, block_cols: list[str], n_col: str, out: str = "_off",
+                   fanout: int = FANOUT) -> DataFrame:
+    """Exclusive prefix sum of ``n_col`` over blocks in order, in two levels so
+    that no task sees more than ``fanout`` blocks or groups: blocks are ranked
+    inside coarse groups (consecutive runs of ``fanout`` blocks by block order),
+    then the few group totals are summed. The block columns must be ordered
+    lexicographically; the last one must be numeric (it is coarsened)."""
+    *lead, last = block_cols
+    coarse = lead + ["_grp"]
+    c = counts.withColumn("_grp", F.floor(F.col(last) / F.lit(fanout)))
+    inner = Window.partitionBy(*coarse).orderBy(*block_cols).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_o1", F.coalesce(F.sum(n_col).over(inner), F.lit(0)))
+    groups = c.groupBy(*coarse).agg(F.sum(n_col).alias("_gn"))
+    outer = Window.orderBy(*coarse).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(*coarse, F.coalesce(F.sum("_gn").over(outer), F.lit(0)).alias("_o2"))
+    return (c.join(groups, coarse).select(*block_cols, (F.col("_o1") + F.col("_o2")).alias(out)))
+
+
 def block_sequence(df: DataFrame, order_cols: list[Column | str], block_cols: list[Column],
                    out: str = "_row_id", start: int = 0) -> DataFrame:
     blk_names = [f"_blk{i}" for i in range(len(block_cols))]
     d = df.withColumns(dict(zip(blk_names, block_cols)))
     counts = d.groupBy(*blk_names).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*blk_names).rowsBetween(Window.unboundedPreceding, -1)
     # One row per block; AQE broadcasts it when its measured size allows.
-    offsets = counts.select(*blk_names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = prefix_offsets(counts, blk_names, "_n")
     inner = Window.partitionBy(*blk_names).orderBy(*order_cols)
     return (d.join(offsets, blk_names)
             .withColumn(out, F.col("_off") + F.row_number().over(inner) - F.lit(1 - start))
@@ -45,8 +65,7 @@ def positions_after_removal(removed_ids: DataFrame, wanted_ids: DataFrame, id_co
     # Every block that holds a wanted or removed id, with its removed count
     # (0 for blocks without removals, so later blocks still see the prefix).
     per_block = u.groupBy("_b").agg(F.sum("_gone").alias("_nb"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select("_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_prev"))
+    offsets = prefix_offsets(per_block, ["_b"], "_nb", out="_prev")
     running = Window.partitionBy("_b").orderBy("_id", "_gone").rowsBetween(Window.unboundedPreceding, 0)
     return (u.withColumn("_gone_before", F.sum("_gone").over(running))
             .where(F.col("_gone") == 0)

@@ -31,8 +31,9 @@ def audit_landing(spark: SparkSession, landing: str, masters: dict[str, DataFram
                       F.col("_metadata.row_index").alias("_ri")))
 
     def audit_batch(batch: DataFrame, batch_id: int) -> None:
-        # file order inside the drop: (file, row index); blocks = files
-        sales = block_sequence(batch, ["_file", "_ri"], [F.col("_file")]).drop("_file", "_ri")
+        # file order inside the drop: (file, row index); blocks = row ranges of a file
+        sales = block_sequence(batch, ["_file", "_ri"],
+                               [F.col("_file"), F.floor(F.col("_ri") / 65536)]).drop("_file", "_ri")
         tables = {"sales": empty_to_null(sales), **masters}
         f = FD.report(FD.findings(tables, rules)).withColumn("batch_id", F.lit(batch_id))
         (f.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
