@@ -85,3 +85,16 @@ def test_master_findings(found):
     assert _one(found, "SCH_002", table="customers")["invalid_value"] == "01.03.2021"
     # relationship sets come from the first occurrence only (REL_001 on C-9 only)
     assert _one(found, "REL_001")["row_ref"] == "S-4"
+
+
+def test_approx_median_is_opt_in(spark):
+    import copy
+    from qualis.operators.checks import quantity_threshold
+    from qualis.rules import DEFAULT_CONFIG
+    t = tables(spark, [sale(f"S-{i}", qty=str(q)) for i, q in enumerate([1, 2, 3, 10])])
+    exact = quantity_threshold(t["sales"], RULES).first()
+    assert exact._median == 2.5 and exact._thr == 25.0
+    cfg = copy.deepcopy(DEFAULT_CONFIG)
+    cfg["engine"] = {"approx_median_accuracy": 10000}
+    approx = quantity_threshold(t["sales"], Rules(cfg, audit_date="2024-06-30")).first()
+    assert approx._median in (2.0, 3.0)
