@@ -19,7 +19,7 @@ from qualis.operators import reports as RP
 from qualis.operators import verify as VF
 from qualis.operators import master as MS
 from qualis.operators import score as SC
-from qualis.plans.oracle import Oracle, clean_base, fixture_ctes, inject_ctes
+from qualis.plans.oracle import Oracle, clean_base, clean_ctes, fixture_ctes, inject_ctes
 from qualis.sources.fixture import SALES_COLUMNS
 from qualis.plans import sqlfn as S
 from qualis.rules import Rules
@@ -475,6 +475,10 @@ def oracle_sql() -> dict[str, str]:
     })
     out.update(_report_sql(rules, wc, cols))
     out.update(_inject_sql(cols))
+    again = cb + clean_ctes(o, {"sales": "cs", "customers": "cc", "products": "cp", "findings": "c2_findings"}, "r_")
+    out["idempotence"] = Oracle.with_(again, """SELECT
+          CAST(COALESCE(sum(n) FILTER (WHERE metric = 'dropped'), 0) AS BIGINT) AS total_dropped,
+          CAST(COALESCE(sum(n) FILTER (WHERE metric = 'fixed'), 0) AS BIGINT) AS total_fixed FROM r_clean_counts""")
     return out
 
 
@@ -553,6 +557,8 @@ def _inject_sql(cols: str) -> dict[str, str]:
     src = {"sales": "isales", "customers": "icustomers", "products": "iproducts", "targets": "targets"}
     base = fixture_ctes(clean=True) + inject_ctes(io) + io.finding_ctes(src, "i_")
     wi = lambda body: Oracle.with_(base, body)
+    ibase = base + clean_ctes(io, {"sales": "isales", "customers": "icustomers", "products": "iproducts",
+                                   "findings": "i_findings"}, "ic_")
     e = """SELECT "table", row_ref, error_class AS check_id FROM iexpected"""
     d = """SELECT "table", row_ref, check_id FROM i_findings"""
     bsrc = {t: t for t in ("sales", "customers", "products", "targets")}
@@ -580,6 +586,10 @@ def _inject_sql(cols: str) -> dict[str, str]:
             FROM (SELECT error_class AS check_id, count(*) AS n FROM iexpected GROUP BY error_class) i
             FULL OUTER JOIN (SELECT check_id, count(*) AS n FROM i_findings GROUP BY check_id) d
               ON i.check_id = d.check_id"""),
+        "cleaning_balance": Oracle.with_(ibase, """SELECT findings, acted, findings = acted AS balanced FROM (
+              SELECT (SELECT count(*) FROM i_findings) AS findings,
+                (SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) FROM ic_clean_counts
+                 WHERE metric IN ('dropped', 'fixed') OR (metric = 'flagged' AND check_id <> 'BIZ_003')) AS acted)"""),
         "detect_matched": wi(f"{e} INTERSECT ALL {d}"),
         "detect_missed": wi(f"{e} EXCEPT ALL {d}"),
         "detect_unexpected": wi(f"{d} EXCEPT ALL {e}"),

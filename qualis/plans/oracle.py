@@ -246,8 +246,13 @@ def _cell_case(cols: list[str], alias: str = "s") -> str:
     return "CASE f.\"column\" " + " ".join(f"WHEN {Q(c)} THEN {alias}.{c}" for c in cols) + " END"
 
 
-def clean_ctes(o: Oracle) -> list[str]:
-    """Cleaning as ranked records: resolve -> rank repairs per cell -> outcome."""
+def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> list[str]:
+    """Cleaning as ranked records: resolve -> rank repairs per cell -> outcome.
+
+    ``src`` names the input relations (sales, customers, products, findings);
+    every CTE defined here gets the prefix ``p``."""
+    src = src or {"sales": "sales", "customers": "customers", "products": "products", "findings": "findings"}
+    S_, C_, P_, F_ = src["sales"], src["customers"], src["products"], src["findings"]
     r = o.rules
     b = r.business
     max_d = float(b["max_discount"])
@@ -260,78 +265,82 @@ def clean_ctes(o: Oracle) -> list[str]:
     note = (f"CASE check_id WHEN 'SCH_002' THEN 'date normalised to ISO 8601' "
             f"WHEN 'BIZ_003' THEN {Q('discount clipped to [0, ' + fmt_g(max_d) + ']')} "
             f"WHEN 'BIZ_005' THEN 'region mapped' WHEN 'BIZ_006' THEN 'channel mapped' END")
+    esc_note = Q("FIX impossible (no parse / no synonym) -> escalated to DROP")
+    kept_cols = ", ".join(
+        f"COALESCE((SELECT final FROM {p}cell_final c WHERE c.tgt = s._row_id AND c.\"column\" = {Q(c)}), s.{c}) AS {c}"
+        for c in cols)
+    gross = S.round_cents(f"{S.parse_float('s.quantity')} * {S.parse_float('s.unit_price')}")
     return [
-        """sv AS (SELECT * EXCLUDE (_k) FROM (SELECT *, CASE WHEN sale_id IS NULL THEN 1
-             ELSE row_number() OVER (PARTITION BY sale_id ORDER BY _row_id) END AS _k FROM sales) WHERE _k = 1)""",
-        """sdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY sale_id ORDER BY _row_id) AS k
-             FROM sales WHERE sale_id IS NOT NULL) WHERE k > 1)""",
-        """cdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY customer_id ORDER BY _row_id)
-             AS k FROM customers WHERE customer_id IS NOT NULL) WHERE k > 1)""",
-        """pdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY product_id ORDER BY _row_id)
-             AS k FROM products WHERE product_id IS NOT NULL) WHERE k > 1)""",
-        f"""rr AS (SELECT f.check_id, f.row_ref, f."column", f.invalid_value, f.cleaning_action, f._seq,
+        f"""{p}sv AS (SELECT * EXCLUDE (_k) FROM (SELECT *, CASE WHEN sale_id IS NULL THEN 1
+             ELSE row_number() OVER (PARTITION BY sale_id ORDER BY _row_id) END AS _k FROM {S_}) WHERE _k = 1)""",
+        f"""{p}sdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY sale_id ORDER BY _row_id)
+             AS k FROM {S_} WHERE sale_id IS NOT NULL) WHERE k > 1)""",
+        f"""{p}cdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY customer_id
+             ORDER BY _row_id) AS k FROM {C_} WHERE customer_id IS NOT NULL) WHERE k > 1)""",
+        f"""{p}pdup AS (SELECT _row_id FROM (SELECT _row_id, row_number() OVER (PARTITION BY product_id
+             ORDER BY _row_id) AS k FROM {P_} WHERE product_id IS NOT NULL) WHERE k > 1)""",
+        f"""{p}rr AS (SELECT f.check_id, f.row_ref, f."column", f.invalid_value, f.cleaning_action, f._seq,
              s._row_id AS tgt, {_cell_case(cols)} AS v0
-             FROM findings f JOIN sv s ON s.sale_id = f.row_ref
+             FROM {F_} f JOIN {p}sv s ON s.sale_id = f.row_ref
              WHERE f."table" = 'sales' AND f.check_id <> 'UNI_001')""",
-        f"""fx AS (SELECT *, row_number() OVER (PARTITION BY tgt, "column", check_id ORDER BY _seq) AS k,
+        f"""{p}fx AS (SELECT *, row_number() OVER (PARTITION BY tgt, "column", check_id ORDER BY _seq) AS k,
              bool_or(check_id = 'SCH_002') OVER (PARTITION BY tgt, "column") AS has_date,
              bool_or(check_id <> 'SCH_002') OVER (PARTITION BY tgt, "column") AS has_biz,
              strftime({S.parse_date('v0')}, '%Y-%m-%d') AS dval
-             FROM rr WHERE cleaning_action = 'FIX')""",
-        """fx2 AS (SELECT *, CASE WHEN has_date AND dval IS NOT NULL THEN dval ELSE v0 END AS va FROM fx)""",
-        f"""fx3 AS (SELECT *, CASE check_id WHEN 'BIZ_003' THEN {clip} WHEN 'BIZ_005' THEN {reg}
-             WHEN 'BIZ_006' THEN {chan} END AS bval FROM fx2)""",
-        """fx4 AS (SELECT *, max(bval) OVER (PARTITION BY tgt, "column") AS cell_bval FROM fx3)""",
-        """outcomes AS (
+             FROM {p}rr WHERE cleaning_action = 'FIX')""",
+        f"""{p}fx2 AS (SELECT *, CASE WHEN has_date AND dval IS NOT NULL THEN dval ELSE v0 END AS va FROM {p}fx)""",
+        f"""{p}fx3 AS (SELECT *, CASE check_id WHEN 'BIZ_003' THEN {clip} WHEN 'BIZ_005' THEN {reg}
+             WHEN 'BIZ_006' THEN {chan} END AS bval FROM {p}fx2)""",
+        f"""{p}fx4 AS (SELECT *, max(bval) OVER (PARTITION BY tgt, "column") AS cell_bval FROM {p}fx3)""",
+        f"""{p}outcomes AS (
              SELECT tgt, check_id, row_ref, "column", invalid_value, _seq,
                CASE WHEN (check_id = 'SCH_002' AND dval IS NOT NULL) OR (check_id <> 'SCH_002' AND bval IS NOT NULL)
                     THEN 'FIX' ELSE 'ESCALATED' END AS outcome,
                CASE WHEN check_id = 'SCH_002' THEN (CASE WHEN k = 1 THEN v0 ELSE dval END)
                     ELSE (CASE WHEN k = 1 THEN va ELSE bval END) END AS orig,
                CASE WHEN check_id = 'SCH_002' THEN dval ELSE bval END AS fixed
-             FROM fx4
+             FROM {p}fx4
              UNION ALL
              SELECT tgt, check_id, row_ref, "column", invalid_value, _seq, cleaning_action, NULL, NULL
-             FROM rr WHERE cleaning_action <> 'FIX')""",
-        f"""fix_log AS (SELECT 'sales' AS "table", row_ref, check_id, COALESCE("column", '') AS "column",
-             orig AS original_value, fixed AS fixed_value, {note} AS note, _seq FROM outcomes WHERE outcome = 'FIX')""",
-        f"""escalations AS (SELECT 'sales' AS "table", row_ref, check_id, COALESCE("column", '') AS "column",
-             invalid_value AS original_value, '<dropped>' AS fixed_value,
-             {Q('FIX impossible (no parse / no synonym) -> escalated to DROP')} AS note, _seq
-             FROM outcomes WHERE outcome = 'ESCALATED')""",
-        """dropped_rows AS (SELECT DISTINCT tgt FROM outcomes WHERE outcome IN ('DROP', 'ESCALATED'))""",
-        """flag_rows AS (SELECT tgt, string_agg(check_id, ';' ORDER BY _seq) AS quality_flag FROM outcomes
+             FROM {p}rr WHERE cleaning_action <> 'FIX')""",
+        f"""{p}fix_log AS (SELECT 'sales' AS "table", row_ref, check_id, COALESCE("column", '') AS "column",
+             orig AS original_value, fixed AS fixed_value, {note} AS note, _seq FROM {p}outcomes
+             WHERE outcome = 'FIX')""",
+        f"""{p}escalations AS (SELECT 'sales' AS "table", row_ref, check_id, COALESCE("column", '') AS "column",
+             invalid_value AS original_value, '<dropped>' AS fixed_value, {esc_note} AS note, _seq
+             FROM {p}outcomes WHERE outcome = 'ESCALATED')""",
+        f"""{p}dropped_rows AS (SELECT DISTINCT tgt FROM {p}outcomes WHERE outcome IN ('DROP', 'ESCALATED'))""",
+        f"""{p}flag_rows AS (SELECT tgt, string_agg(check_id, ';' ORDER BY _seq) AS quality_flag FROM {p}outcomes
              WHERE outcome = 'FLAG' OR (outcome = 'FIX' AND check_id = 'BIZ_003') GROUP BY tgt)""",
-        """cell_final AS (SELECT DISTINCT tgt, "column",
-             CASE WHEN has_biz THEN COALESCE(cell_bval, va) ELSE va END AS final FROM fx4)""",
-        "cs_raw AS (SELECT " + ", ".join(
-            f"COALESCE((SELECT final FROM cell_final c WHERE c.tgt = s._row_id AND c.\"column\" = {Q(c)}), s.{c}) AS {c}"
-            for c in cols) + """, COALESCE(fl.quality_flag, '') AS quality_flag, s._row_id AS _old
-             FROM sv s LEFT JOIN flag_rows fl ON fl.tgt = s._row_id
-             WHERE s._row_id NOT IN (SELECT tgt FROM dropped_rows))""",
-        """cs AS (SELECT * EXCLUDE (_old), row_number() OVER (ORDER BY _old) - 1 AS _row_id FROM cs_raw)""",
-        """cc AS (SELECT * EXCLUDE (_row_id), row_number() OVER (ORDER BY _row_id) - 1 AS _row_id FROM customers
-             WHERE _row_id NOT IN (SELECT _row_id FROM cdup))""",
-        """cp AS (SELECT * EXCLUDE (_row_id), row_number() OVER (ORDER BY _row_id) - 1 AS _row_id FROM products
-             WHERE _row_id NOT IN (SELECT _row_id FROM pdup))""",
-        """clean_counts AS (
-             SELECT 'dropped' AS metric, check_id, count(*) AS n FROM outcomes
+        f"""{p}cell_final AS (SELECT DISTINCT tgt, "column",
+             CASE WHEN has_biz THEN COALESCE(cell_bval, va) ELSE va END AS final FROM {p}fx4)""",
+        f"""{p}cs_raw AS (SELECT {kept_cols}, COALESCE(fl.quality_flag, '') AS quality_flag, s._row_id AS _old
+             FROM {p}sv s LEFT JOIN {p}flag_rows fl ON fl.tgt = s._row_id
+             WHERE s._row_id NOT IN (SELECT tgt FROM {p}dropped_rows))""",
+        f"""{p}cs AS (SELECT * EXCLUDE (_old), row_number() OVER (ORDER BY _old) - 1 AS _row_id FROM {p}cs_raw)""",
+        f"""{p}cc AS (SELECT * EXCLUDE (_row_id), row_number() OVER (ORDER BY _row_id) - 1 AS _row_id FROM {C_}
+             WHERE _row_id NOT IN (SELECT _row_id FROM {p}cdup))""",
+        f"""{p}cp AS (SELECT * EXCLUDE (_row_id), row_number() OVER (ORDER BY _row_id) - 1 AS _row_id FROM {P_}
+             WHERE _row_id NOT IN (SELECT _row_id FROM {p}pdup))""",
+        f"""{p}clean_counts AS (
+             SELECT 'dropped' AS metric, check_id, count(*) AS n FROM {p}outcomes
                WHERE outcome IN ('DROP', 'ESCALATED') GROUP BY check_id
-             UNION ALL SELECT 'flagged', check_id, count(*) FROM outcomes
+             UNION ALL SELECT 'flagged', check_id, count(*) FROM {p}outcomes
                WHERE outcome = 'FLAG' OR (outcome = 'FIX' AND check_id = 'BIZ_003') GROUP BY check_id
-             UNION ALL SELECT 'fixed', check_id, count(*) FROM outcomes WHERE outcome = 'FIX' GROUP BY check_id
-             UNION ALL SELECT 'escalated', check_id, count(*) FROM outcomes WHERE outcome = 'ESCALATED' GROUP BY check_id
-             UNION ALL SELECT 'dropped', 'UNI_001', count(*) FROM sdup HAVING count(*) > 0
-             UNION ALL SELECT 'dropped', 'UNI_002', count(*) FROM cdup HAVING count(*) > 0
-             UNION ALL SELECT 'dropped', 'UNI_003', count(*) FROM pdup HAVING count(*) > 0)""",
-        f"""master AS (SELECT s.sale_id, s.sale_date, s.customer_id, c.customer_name, c.customer_segment, c.country,
-             s.product_id, p.product_name, p.category, s.quantity, s.unit_price, s.discount, s.region, s.sales_channel,
-             {S.round_cents(f"{S.parse_float('s.quantity')} * {S.parse_float('s.unit_price')}")} AS gross_revenue,
-             s.quality_flag, p.active_status, s._row_id,
+             UNION ALL SELECT 'fixed', check_id, count(*) FROM {p}outcomes WHERE outcome = 'FIX' GROUP BY check_id
+             UNION ALL SELECT 'escalated', check_id, count(*) FROM {p}outcomes WHERE outcome = 'ESCALATED'
+               GROUP BY check_id
+             UNION ALL SELECT 'dropped', 'UNI_001', count(*) FROM {p}sdup HAVING count(*) > 0
+             UNION ALL SELECT 'dropped', 'UNI_002', count(*) FROM {p}cdup HAVING count(*) > 0
+             UNION ALL SELECT 'dropped', 'UNI_003', count(*) FROM {p}pdup HAVING count(*) > 0)""",
+        f"""{p}master AS (SELECT s.sale_id, s.sale_date, s.customer_id, c.customer_name, c.customer_segment,
+             c.country, s.product_id, p.product_name, p.category, s.quantity, s.unit_price, s.discount, s.region,
+             s.sales_channel, {gross} AS gross_revenue, s.quality_flag, p.active_status, s._row_id,
              COALESCE({S.parse_float('s.discount')}, 0.0::DOUBLE) AS _disc
-             FROM cs s LEFT JOIN cc c ON s.customer_id = c.customer_id LEFT JOIN cp p ON s.product_id = p.product_id)""",
-        f"""clean_master AS (SELECT * EXCLUDE (_disc, _row_id),
-             {S.round_cents('gross_revenue * (1.0 - _disc)')} AS net_revenue, _row_id FROM master)""",
+             FROM {p}cs s LEFT JOIN {p}cc c ON s.customer_id = c.customer_id
+             LEFT JOIN {p}cp p ON s.product_id = p.product_id)""",
+        f"""{p}clean_master AS (SELECT * EXCLUDE (_disc, _row_id),
+             {S.round_cents('gross_revenue * (1.0 - _disc)')} AS net_revenue, _row_id FROM {p}master)""",
     ]
 
 
