@@ -59,8 +59,11 @@ def findings(tables: dict[str, DataFrame], rules: Rules, materialize: bool = Tru
     (_layer, _block, _row, _step, _seq)."""
     spark = next(iter(tables.values())).sparkSession
     C.assert_file_level_schema(tables, rules)
-    # Records feed both the per-block counts and the numbered output: compute once.
+    # Records feed the per-block counts, the offsets and the numbered output,
+    # whose stages run concurrently: fill the cache first so they all read it
+    # instead of each recomputing the record pass.
     recs = records(tables, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    recs.count()
     out = number(recs, spark, rules).select(*ERROR_COLUMNS, *ORDER_COLUMNS, "_seq")
     if not materialize:
         return out
