@@ -61,20 +61,20 @@ def _cell_value(columns: list[str]) -> Column:
     return expr
 
 
-def _date_fix(v: Column) -> Column:
+def _date_fix(v: str) -> Column:
     return F.date_format(P.parse_date(v), "yyyy-MM-dd")
 
 
-def _clip_fix(v: Column, max_d: float) -> Column:
+def _capped(v: str, max_d: float) -> Column:
+    """Discount clipped to [0, max]; unparseable -> 0; NaN stays NaN."""
     d = P.parse_float(v)
-    capped = (F.when(d.isNull(), F.lit(0.0)).when(F.isnan(d), d)
-              .otherwise(F.least(F.greatest(d, F.lit(0.0)), F.lit(max_d))))
-    return P.fmt_g(capped)
+    return (F.when(d.isNull(), F.lit(0.0)).when(F.isnan(d), d)
+            .otherwise(F.least(F.greatest(d, F.lit(0.0)), F.lit(max_d))))
 
 
-def _business_fix(check: Column, v: Column, rules: Rules) -> Column:
-    max_d = float(rules.business["max_discount"])
-    return (F.when(check == "BIZ_003", _clip_fix(v, max_d))
+def _business_fix(check: Column, v: str, rules: Rules) -> Column:
+    """Expects the clipped discount as column ``_cap`` (see ``_capped``)."""
+    return (F.when(check == "BIZ_003", P.fmt_g("_cap"))
             .when(check == "BIZ_005", P.map_lookup(rules.region_synonyms(), P.norm_key(v)))
             .when(check == "BIZ_006", P.map_lookup(rules.channel_synonyms(), P.norm_key(v))))
 
@@ -134,15 +134,17 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
         F.max(F.when(~is_date, F.col("check_id"))).alias("_biz"),
         F.min(F.when(~is_date, F.col("_seq"))).alias("_first_biz"),
         F.max("_v0").alias("_v0"))                     # the same text on every finding of the cell
+    max_d = float(rules.business["max_discount"])
     cells = (cells
-             .withColumn("_dval", F.when(F.col("_has_date"), _date_fix(F.col("_v0"))))
+             .withColumn("_dval", F.when(F.col("_has_date"), _date_fix("_v0")))
              .withColumn("_va", F.coalesce(F.col("_dval"), F.col("_v0")))
-             .withColumn("_bval", _business_fix(F.col("_biz"), F.col("_va"), rules))
+             .withColumn("_cap", _capped("_va", max_d))
+             .withColumn("_bval", _business_fix(F.col("_biz"), "_va", rules))
              .withColumn("_final", F.when(F.col("_biz").isNotNull(), F.coalesce(F.col("_bval"), F.col("_va")))
                          .otherwise(F.col("_va")))
              )
-    if materialize:
-        cells = cut(cells)            # one row per repaired cell
+    # One row per repaired cell, derived from the materialised findings: cheap
+    # to recompute for its two consumers, so it is not written separately.
 
     # Outcome of every resolved finding.
     fx = fixes.drop("_v0").join(cells, ["_tgt", "column"])
