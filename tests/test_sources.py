@@ -52,9 +52,9 @@ def test_header_gate(spark):
 
 def test_input_gate_lists_every_missing_file(spark):
     d = tempfile.mkdtemp(prefix="qualis-io-")
-    open(f"{d}/sales_raw.csv", "w").write("x\n1\n")
+    open(f"{d}/sales.csv", "w").write("x\n1\n")
     with pytest.raises(R.DataLoadError, match="customers.parquet, products.parquet"):
-        R.assert_inputs_present(spark, d, {"sales": "sales_raw.csv", "customers": "customers.parquet",
+        R.assert_inputs_present(spark, d, {"sales": "sales.csv", "customers": "customers.parquet",
                                            "products": "products.parquet"})
 
 
@@ -65,8 +65,8 @@ def test_manifest_scan(spark):
                        "detail": "d"},
                       {"table": "customers", "row_ref": "C-1", "error_class": "UNI_002", "column": "customer_id",
                        "detail": "d"}]}
-    json.dump(doc, open(f"{d}/injected_errors.json", "w"), indent=2)
-    m = R.read_manifest(spark, f"{d}/injected_errors.json")
+    json.dump(doc, open(f"{d}/manifest.json", "w"), indent=2)
+    m = R.read_manifest(spark, f"{d}/manifest.json")
     assert sorted((r.table, r.error_class) for r in m.collect()) == [("customers", "UNI_002"), ("sales", "COM_001")]
 
 
