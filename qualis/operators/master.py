@@ -22,10 +22,22 @@ CUSTOMER_ENRICH = ["customer_id", "customer_name", "customer_segment", "country"
 PRODUCT_ENRICH = ["product_id", "product_name", "category", "active_status"]
 
 
-def build_master(cleaned: dict[str, DataFrame], keep_internal: bool = False) -> DataFrame:
+def many_to_one(df: DataFrame, key: str, what: str) -> DataFrame:
+    """J4 validation: fail the job if a non-NULL key occurs more than once on
+    the master side (the join would multiply sales rows). A per-key count (a
+    partial aggregate over the narrowed master) joined back; the check sits in
+    a filter, so it cannot be pruned away."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    ok = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"{what}: key not unique: "), F.col(key))))
+    return df.join(counts, key, "left").where(ok.otherwise(F.lit(True))).drop("_n")
+
+
+def build_master(cleaned: dict[str, DataFrame], keep_internal: bool = False, validate: bool = True) -> DataFrame:
     sales, customers, products = cleaned["sales"], cleaned["customers"], cleaned["products"]
     cust = customers.select(*[c for c in CUSTOMER_ENRICH if c in customers.columns])
     prod = products.select(*[c for c in PRODUCT_ENRICH if c in products.columns])
+    if validate:
+        cust, prod = many_to_one(cust, "customer_id", "customers"), many_to_one(prod, "product_id", "products")
     m = sales.join(cust, "customer_id", "left").join(prod, "product_id", "left")
     qty, price = P.parse_float("quantity"), P.parse_float("unit_price")
     disc = F.coalesce(P.parse_float("discount"), F.lit(0.0))

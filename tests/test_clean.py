@@ -84,3 +84,11 @@ def test_second_pass_references_new_positions(result, spark):
     # the NULL-id row sits at position 5 of the cleaned table (0,2,5,6,7 before it are kept)
     assert ("SCH_003", "row:4") in refs
     assert ("REL_003", "S-6") in refs
+
+
+def test_master_join_fails_fast_on_duplicate_master_keys(spark):
+    from helpers import tables as mk
+    t = mk(spark, [sale("S-1")], customers=[("C-1", "Ann", "B2B", "DE", "2021-03-01"),
+                                           ("C-1", "Ann2", "B2B", "DE", "2021-03-01")])
+    with pytest.raises(Exception, match="key not unique"):
+        MS.build_master(t).collect()
