@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import sql, superminhash
+from qualis.llm import decontam, packing, ppm, sql, superminhash, toxicity
 from qualis.llm.session import read
 
 
@@ -13,8 +13,28 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.link(read(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.links(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_superminhash": op2_superminhash,
+    "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
+    "op7_ppm_language": op7_ppm_language,
 }
 
 ORACLE_SQL = {k: v for k, v in sql.ORACLES.items() if k in QUERIES}
