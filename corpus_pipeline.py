@@ -2,31 +2,64 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``; all stages but the last
-return the columns of ``documents``.
+return the columns of ``documents``.  Models learn from the stage's own docs
+(and ``labels``).  Null ids, texts and languages pass through every stage by
+the rules of the operators.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from qualis.llm import superminhash
-from qualis.llm.session import cut
+from qualis.llm import decontam, packing, ppm, superminhash, toxicity
+from qualis.llm.session import cut, read
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told (no letter, or no language with a
+    posterior of 0.5) go."""
+    named = ppm.label(docs, ppm.fit(docs))
+    return named.where((F.col("__lang") != ppm.UNKNOWN) & (F.col("__score") >= 0.5)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (the smallest id)."""
-    kept = superminhash.link(docs).where("kept").select("doc_id").distinct()
+    """One document of each near-duplicate group stays (the smallest id; rows
+    that repeat an id are one document)."""
+    kept = cut(superminhash.link(docs).where("kept").select("doc_id").distinct())
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
-STAGES = [("near_dedup", near_dedup)]
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item go."""
+    return decontam.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Power-of-two pieces of the documents that are left."""
+    return packing.pack(docs, with_ids=False)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", keep_known_language),
+    ("near_dedup", near_dedup),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
 
 #: toxicity, language and decontamination are learned or aligned: not SQL
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
