@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import decontam, packing, ppm, sql, superminhash, toxicity
+from qualis.llm import decontam, packing, ppm, quality_rules, sql, superminhash, toxicity
 from qualis.llm.session import read
 
 
+def op1_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(read(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
+
+
 def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.link(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_divergence": op1_divergence,
     "op2_superminhash": op2_superminhash,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,

@@ -25,6 +25,66 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.c) AS component_id, min(r
 FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, len(s.s)
 """
 
+SPACES = r"[\x20\x09-\x0D]"
+OP1 = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format(text='text')} AS w,
+    {WORDS.format(text=LOWER_AZ.format(text='text'))} AS lw FROM documents),
+c AS MATERIALIZED (
+  SELECT doc_id, lang, len(w) AS n,
+    len(regexp_replace(t, '[^a-z]', '', 'g')) AS k1, len(regexp_replace(t, '[^A-Z]', '', 'g')) AS k2,
+    len(regexp_replace(t, '[^0-9]', '', 'g')) AS k3, len(t) - len(regexp_replace(t, '{SPACES}', '', 'g')) AS k4,
+    len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS k5, len(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS k7, len(t) AS k0
+  FROM d),
+k AS MATERIALIZED (
+  SELECT doc_id, lang, n, unnest([1, 2, 3, 4, 5, 6, 7]) AS kind,
+    unnest([k1, k2, k3, k4, k5, k0 - k1 - k2 - k3 - k4 - k5 - k7, k7]) AS x, k0 FROM c),
+win AS MATERIALIZED (
+  SELECT doc_id, i, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS r FROM (
+    SELECT win.doc_id, unnest(range(win.i, win.i + 5)) AS p FROM win
+    JOIN (SELECT doc_id, x FROM win GROUP BY ALL HAVING count(*) > 1) two ON two.doc_id = win.doc_id AND two.x = win.x)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_replace(l, '{SPACES}', '', 'g') <> '' GROUP BY doc_id),
+tok AS MATERIALIZED (
+  SELECT doc_id, lang, x, count(*) AS n FROM (SELECT doc_id, lang, unnest(lw) AS x FROM d) GROUP BY ALL),
+total AS MATERIALIZED (SELECT lang, sum(n) AS n FROM tok WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n) >= 2000),
+top AS MATERIALIZED (
+  SELECT a.lang, a.x, a.n / total.n AS q
+  FROM (SELECT lang, x, sum(n) AS n, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, x) AS r FROM tok
+        WHERE lang IS NOT NULL GROUP BY lang, x) a JOIN total ON total.lang = a.lang WHERE r <= 40),
+bins AS (
+  SELECT c.doc_id, top.lang AS ref, top.q, coalesce(tok.n, 0) AS x, c.n FROM c CROSS JOIN top
+  LEFT JOIN tok ON tok.doc_id = c.doc_id AND tok.x = top.x),
+bins2 AS (
+  SELECT doc_id, ref, q, x / greatest(n, 1) AS p FROM bins UNION ALL
+  SELECT doc_id, ref, 1 - sum(q), (n - sum(x)) / greatest(n, 1) FROM bins GROUP BY doc_id, ref, n),
+wd AS (
+  SELECT doc_id, ref, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS dist FROM bins2 GROUP BY doc_id, ref),
+near AS (SELECT doc_id, min(dist) AS dist, arg_min(ref, (dist, ref)) AS ref FROM wd GROUP BY doc_id),
+kref AS (
+  SELECT k.lang, kind, sum(x) / any_value(s.s) AS q FROM k JOIN (SELECT lang, sum(x) AS s FROM k GROUP BY lang) s
+  ON s.lang = k.lang GROUP BY k.lang, kind),
+cd AS (
+  SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS dist
+  FROM (SELECT k.doc_id, k.x / greatest(k.k0, 1) AS p, kref.q FROM k JOIN near ON near.doc_id = k.doc_id
+        JOIN kref ON kref.lang = near.ref AND kref.kind = k.kind) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, len(regexp_replace(d.t, '{SPACES}', '', 'g'))::BIGINT AS word_chars,
+  c.k5::BIGINT AS n_symbols, coalesce(lines.dup, 0)::BIGINT AS n_dup_lines, coalesce(rep.r, 0)::BIGINT AS n_repeat_words,
+  len(d.w) < 10 OR 100 * coalesce(rep.r, 0) > 20 * len(d.w) AS base_failed,
+  NOT (len(d.w) < 10 OR 100 * coalesce(rep.r, 0) > 20 * len(d.w))
+    AND NOT (len(d.w) >= 40 AND (coalesce(near.dist, 0) > 0.45 OR coalesce(cd.dist, 0) > 0.28)) AS kept
+FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN rep ON rep.doc_id = d.doc_id
+LEFT JOIN near ON near.doc_id = d.doc_id LEFT JOIN cd ON cd.doc_id = d.doc_id
+"""
+
 ORACLES = {
+    "op1_divergence": OP1,
     "op2_superminhash": OP2,
 }
