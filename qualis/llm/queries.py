@@ -4,8 +4,9 @@ from the operator's output) and their DuckDB SQL."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from qualis.llm import decontam, packing, ppm, quality_rules, sql, superminhash, toxicity
+from qualis.llm import bradley_terry, decontam, packing, ppm, preference, quality_rules, sql, superminhash, toxicity
 from qualis.llm.session import read
 
 
@@ -17,6 +18,10 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.link(read(spark, sf_dir, "documents"))
 
 
+def op3_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bradley_terry.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.links(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -33,13 +38,23 @@ def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.identify(read(spark, sf_dir, "documents"))
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = preference.format_arrays(preference.rivals(read(spark, sf_dir, "conversations")))
+    return rows.select(
+        F.col("pair_id").alias("conv_id"), "prompt_turns", "prompt", "chosen", "rejected",
+        preference.mask_text(F.col("chosen_segments")).alias("chosen_mask"),
+        preference.mask_text(F.col("rejected_segments")).alias("rejected_mask"), "usable")
+
+
 QUERIES = {
     "op1_divergence": op1_divergence,
     "op2_superminhash": op2_superminhash,
+    "op3_bradley_terry": op3_bradley_terry,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_ppm_language": op7_ppm_language,
+    "op8_preference": op8_preference,
 }
 
 ORACLE_SQL = {k: v for k, v in sql.ORACLES.items() if k in QUERIES}

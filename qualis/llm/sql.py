@@ -84,7 +84,38 @@ FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN lines ON lines.doc_id = d.doc_id
 LEFT JOIN near ON near.doc_id = d.doc_id LEFT JOIN cd ON cd.doc_id = d.doc_id
 """
 
+_TURN = "'<|im_start|>' || replace(x.role, '<|', '< |') || chr(10) || replace(x.text, '<|', '< |') || '<|im_end|>' || chr(10)"
+_JOIN = "coalesce(array_to_string(list_transform({part}, lambda x: {turn}), ''), '')"
+_MASK = """coalesce(array_to_string(flatten(list_transform({part}, lambda x: [
+  '0:' || (len(replace(x.role, '<|', '< |')) + 13), (CASE WHEN x.role = 'assistant' THEN '1:' ELSE '0:' END)
+  || (len(replace(x.text, '<|', '< |')) + 10), '0:1'])), ','), '')"""
+OP8 = f"""
+WITH t AS MATERIALIZED (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+n AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+last AS MATERIALIZED (SELECT conv_id, max(i) AS i, arg_max(text, i) AS reply FROM n WHERE role = 'assistant' GROUP BY conv_id),
+sides AS MATERIALIZED (
+  SELECT n.conv_id, n.i, n.role, n.text AS c,
+    CASE WHEN n.i = last.i THEN donor.reply ELSE n.text END AS r
+  FROM n LEFT JOIN last ON last.conv_id = n.conv_id LEFT JOIN last donor ON donor.conv_id = n.conv_id + 1
+  WHERE last.i IS NULL OR n.i <= last.i),
+cut AS (
+  SELECT conv_id, coalesce(min(CASE WHEN r IS NULL OR r <> c THEN i END), max(i) + 1) - 1 AS k FROM sides GROUP BY conv_id),
+arr AS (
+  SELECT s.conv_id, any_value(k) AS k, list({{'role': role, 'text': c}} ORDER BY i) FILTER (i <= k) AS p,
+    list({{'role': role, 'text': c}} ORDER BY i) FILTER (i > k) AS c,
+    list({{'role': role, 'text': r}} ORDER BY i) FILTER (i > k AND r IS NOT NULL) AS r
+  FROM sides s JOIN cut ON cut.conv_id = s.conv_id GROUP BY s.conv_id)
+SELECT conv_id, k::BIGINT AS prompt_turns, {_JOIN.format(part='p', turn=_TURN)} AS prompt,
+  {_JOIN.format(part='c', turn=_TURN)} AS chosen, {_JOIN.format(part='r', turn=_TURN)} AS rejected,
+  {_MASK.format(part='c')} AS chosen_mask, {_MASK.format(part='r')} AS rejected_mask,
+  len(coalesce(c, [])) > 0 OR len(coalesce(r, [])) > 0 AS usable FROM arr
+"""
+
 ORACLES = {
     "op1_divergence": OP1,
     "op2_superminhash": OP2,
+    "op8_preference": OP8,
 }
