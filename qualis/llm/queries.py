@@ -6,7 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualis.llm import bradley_terry, decontam, packing, ppm, preference, quality_rules, sql, superminhash, toxicity
+from qualis.llm import (
+    bradley_terry,
+    decontam,
+    html_template,
+    packing,
+    ppm,
+    preference,
+    quality_rules,
+    sql,
+    superminhash,
+    toxicity,
+    warc,
+)
 from qualis.llm.session import read
 
 
@@ -46,6 +58,15 @@ def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
         preference.mask_text(F.col("rejected_segments")).alias("rejected_mask"), "usable")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(read(spark, sf_dir, "pages"))
+
+
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_divergence": op1_divergence,
     "op2_superminhash": op2_superminhash,
@@ -55,6 +76,8 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_ppm_language": op7_ppm_language,
     "op8_preference": op8_preference,
+    "op9_main_text": op9_main_text,
+    "op10_warc_index": op10_warc_index,
 }
 
 ORACLE_SQL = {k: v for k, v in sql.ORACLES.items() if k in QUERIES}

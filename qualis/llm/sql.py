@@ -114,8 +114,19 @@ SELECT conv_id, k::BIGINT AS prompt_turns, {_JOIN.format(part='p', turn=_TURN)}
   len(coalesce(c, [])) > 0 OR len(coalesce(r, [])) > 0 AS usable FROM arr
 """
 
+OP10 = """
+WITH p AS MATERIALIZED (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+  CASE WHEN coalesce(page_id <> first_id, first_id IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN coalesce(page_id <> first_id, first_id IS NOT NULL) THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
+"""
+
 ORACLES = {
     "op1_divergence": OP1,
     "op2_superminhash": OP2,
     "op8_preference": OP8,
+    "op10_warc_index": OP10,
 }
