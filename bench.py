@@ -57,6 +57,7 @@ def main() -> None:
         "findings_clean": cl["total_errors"],
         "master_rows": rows.get("sales"),
     }
+    run.close()
     print(json.dumps(out))
     spark.stop()
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 WS_CLASS = (r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}"
             r"\x{2029}\x{202f}\x{205f}\x{3000}")
 _WS = WS_CLASS
-STRIP_RE = rf"^[{_WS}]+|[{_WS}]+\z"
 
 # strptime field shapes: %Y four digits, %m 1-2 digits, %d 1-2 digits or a
 # space-padded single digit.
@@ -132,6 +131,15 @@ def parse_float_stripped(s: Column) -> Column:
             .when(s.rlike(FLOAT_SHAPE), F.regexp_replace(s, "_", "").try_cast("double")))
 
 
+@by_name
+def to_number(col: Column | str) -> Column:
+    """numeric coercion for the master: unlike ``parse_float`` no digit
+    separators, and a not-a-number text is a missing value."""
+    c = _c(col)
+    x = parse_float(c)
+    return F.when(~c.contains("_") & ~F.isnan(x), x)
+
+
 @by_name
 def fmt_g(col: Column | str) -> Column:
     """F8: Python ``format(x, 'g')`` (6 significant digits, zeros stripped)."""
@@ -170,15 +178,6 @@ def round_cents(col: Column | str) -> Column:
     return F.rint(_c(col) * 100.0) / 100.0
 
 
-def row_ref(table: str, pos_col: str = "_pos") -> Column:
-    """primary key, targets "month/region", else ``row:<position>``."""
-    if table == "targets":
-        return F.concat(F.coalesce(F.col("month"), F.lit("nan")), F.lit("/"),
-                        F.coalesce(F.col("region"), F.lit("nan")))
-    pk = {"sales": "sale_id", "customers": "customer_id", "products": "product_id"}[table]
-    return F.coalesce(F.col(pk), F.concat(F.lit("row:"), F.col(pos_col).cast("string")))
-
-
 def norm_key(col: Column | str) -> Column:
     """synonym lookup key (Python strip + lower)."""
     return F.lower(py_strip(col))

@@ -12,30 +12,35 @@ Semantics (decision table of the rule set):
 - counters count findings, not rows.
 
 Repeated repairs of one cell see the already repaired value. Per cell the
-repair sequence is always "date repairs (schema layer) first, then the one
-business repair of that column", and every handler is idempotent after its
-first success, so the outcome of each finding is evaluated in closed form from
-one per-cell aggregate (first finding of each kind by sequence id) instead of
-a sequential loop. All per-row and per-cell state comes from aggregates that
-combine map-side; findings are joined back to them, where AQE splits a row
-that collects a disproportionate share of findings.
+repair sequence is always "date repairs (schema layer) first, then the business
+repairs of that column". Date repairs and the discount cap are idempotent;
+a synonym map may chain (a target that is itself a key), so its n-th repair is
+looked up in the path that the map spells out from the first value (paths are
+made on the driver from the rules, cycles included). So every finding's outcome
+follows from its rank in the cell, without a sequential loop.
+
+Columns are those the sales table has: whatever else it carries stays, and any
+configured column can be repaired. The wide table is read twice: once for the
+few rows that findings name (a semi join on their keys) and once for the result,
+joined by row id to one table of actions (repairs, flags, drops, new positions).
+Every join has scans or shuffles on both sides, so AQE can split a hot key.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.functions import parse as P
 from qualis.operators import keys as K
-from qualis.rules import Rules, fmt_g
-from qualis.sources.fixture import SALES_COLUMNS
+from qualis.operators.checks import align, bq
+from qualis.rules import Rules, fmt_g, synonym_paths
 from qualis.session import cut
 from qualis.sources.rowindex import positions_after_removal
 
+# Texts of the fix log that must match.
 FIXLOG_COLUMNS = ["table", "row_ref", "check_id", "column", "original_value", "fixed_value", "note"]
 ESCALATION_NOTE = "FIX impossible (no parse / no synonym) -> escalated to DROP"
 FLAG_SEGMENT = 1 << 12
@@ -57,10 +62,38 @@ def _cell_value(columns: list[str]) -> Column:
     """The current text of the cell named by the finding's ``column``."""
     expr = F.lit(None).cast("string")
     for c in reversed(columns):
-        expr = F.when(F.col("column") == c, F.col(c)).otherwise(expr)
+        expr = F.when(F.col("column") == c, F.col(bq(f"_c_{c}"))).otherwise(expr)
     return expr
 
 
+def _ranked(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """``out``: rank from 1 by ``_seq`` inside ``keys``, in two levels: a window sees
+    at most FLAG_SEGMENT rows of a key, or one row per such segment."""
+    d = df.withColumn("_sg", (F.col("_seq") / FLAG_SEGMENT).cast("long"))
+    before = Window.partitionBy(*keys).orderBy("_sg").rowsBetween(Window.unboundedPreceding, -1)
+    segs = (d.groupBy(*keys, "_sg").agg(F.count(F.lit(1)).alias("_n"))
+            .select(*keys, "_sg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_b")))
+    inside = Window.partitionBy(*keys, "_sg").orderBy("_seq")
+    return (d.join(segs, [*keys, "_sg"]).withColumn(out, F.col("_b") + F.row_number().over(inside))
+            .drop("_sg", "_b"))
+
+
+def _mapped(synonyms: dict[str, str], v: Column, n: Column) -> tuple[Column, Column]:
+    """(value after n >= 1 lookups or NULL if the n-th fails, value of the cell then)."""
+    none = F.lit(None).cast("string")
+    paths = synonym_paths(synonyms)
+    if not paths:
+        return none, v
+    pairs = [x for k, (path, turn) in paths.items()
+             for x in (F.lit(k), F.struct(F.array(*map(F.lit, path)).alias("p"), F.lit(turn).alias("t")))]
+    # a missing value reads as the text 'nan', as in the log
+    hit = F.try_element_at(F.create_map(*pairs), F.coalesce(P.norm_key(v), F.lit("nan")))
+    path, turn, size = hit["p"], hit["t"], F.size(hit["p"])
+    at = F.when(n <= size, n).when(turn > 0, turn + F.pmod(n - turn, size - turn + 1)).cast("int")
+    value = F.when(hit.isNotNull() & at.isNotNull(), F.try_element_at(path, at))
+    return value, F.when(n <= 0, v).otherwise(F.coalesce(value, F.element_at(path, -1), v))
+
+
 def _date_fix(v: str) -> Column:
     return F.date_format(P.parse_date(v), "yyyy-MM-dd")
 
@@ -72,11 +105,15 @@ def _capped(v: str, max_d: float) -> Column:
             .otherwise(F.least(F.greatest(d, F.lit(0.0)), F.lit(max_d))))
 
 
-def _business_fix(check: Column, v: str, rules: Rules) -> Column:
-    """Expects the clipped discount as column ``_cap`` (see ``_capped``)."""
-    return (F.when(check == "BIZ_003", P.fmt_g("_cap"))
-            .when(check == "BIZ_005", P.map_lookup(rules.region_synonyms(), P.norm_key(v)))
-            .when(check == "BIZ_006", P.map_lookup(rules.channel_synonyms(), P.norm_key(v))))
+def _business_fix(check: Column, v: Column, n: Column, rules: Rules) -> tuple[Column, Column]:
+    """(value that the n-th business repair writes or NULL if it fails, cell after n
+    repairs); expects the clipped discount as column ``_cap`` (see ``_capped``)."""
+    region, region_cell = _mapped(rules.region_synonyms(), v, n)
+    channel, channel_cell = _mapped(rules.channel_synonyms(), v, n)
+    cap = P.fmt_g("_cap")
+    return (F.when(check == "BIZ_003", cap).when(check == "BIZ_005", region).when(check == "BIZ_006", channel),
+            F.when(check == "BIZ_003", F.when(n <= 0, v).otherwise(cap))
+            .when(check == "BIZ_005", region_cell).when(check == "BIZ_006", channel_cell))
 
 
 def _notes(rules: Rules) -> Column:
@@ -98,73 +135,70 @@ def _flag_text(flags: DataFrame) -> DataFrame:
                                           lambda x: x["_part"]), ";").alias("quality_flag")))
 
 
-def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
-          materialize: bool = True) -> CleaningResult:
+def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> CleaningResult:
     # Q14: a pass rewrites quality_flag, it never merges an earlier one.
-    # Positions of an earlier pass are recomputed here.
-    sales = tables["sales"].drop("quality_flag", "_pos")
-    customers, products = tables["customers"].drop("_pos"), tables["products"].drop("_pos")
+    # Positions of an earlier pass are recomputed here. Absent optional columns
+    # are NULL columns, as for the checks.
+    tables, _ = align({t: df.drop("quality_flag", "_pos") if t == "sales" else df.drop("_pos") if t != "targets" else df
+                       for t, df in tables.items()}, rules)
+    sales, customers, products = tables["sales"], tables["customers"], tables["products"]
+    columns = [c for c in sales.columns if not c.startswith("_")]
 
     # K1/K2/K3: mechanical keep-first on every keyed table.
-    cust_kept, cust_dups = K.keep_first(customers, "customer_id")
-    prod_kept, prod_dups = K.keep_first(products, "product_id")
-    sales_marked = K.mark_duplicates(sales, "sale_id").persist(StorageLevel.MEMORY_AND_DISK)
-    survivors = sales_marked.where(~F.col("_is_dup")).drop("_is_dup")
-    sales_dups = sales_marked.where(F.col("_is_dup")).select("_row_id")
+    sales_dups = cut(K.copies(sales, "sale_id").select("_row_id"))
+    cust_dups = cut(K.copies(customers, "customer_id").select("_row_id"))
+    prod_dups = cut(K.copies(products, "product_id").select("_row_id"))
+    cust_kept = customers.join(cust_dups, "_row_id", "left_anti")
+    prod_kept = products.join(prod_dups, "_row_id", "left_anti")
 
     # Resolve sales findings (except the duplicates' own) to surviving rows.
     recs = findings.where((F.col("table") == "sales") & (F.col("check_id") != "UNI_001")).select(
         "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq")
-    keys = survivors.where(F.col("sale_id").isNotNull()).select(
-        F.col("sale_id").alias("row_ref"), F.col("_row_id").alias("_tgt"), *SALES_COLUMNS)
-    # One join brings each finding its target row and that row's current cell
-    # text, so the per-cell repair state needs no second pass over the sales.
-    resolved = (recs.join(keys, "row_ref")
-                .withColumn("_v0", _cell_value(SALES_COLUMNS)).drop(*SALES_COLUMNS))
-    if materialize:
-        resolved = cut(resolved)      # findings-sized; read by three consumers below
-    unresolved = recs.join(keys.select("row_ref"), "row_ref", "left_anti")
-
-    # Per repaired cell: first repair of each kind and the business check in play.
+    refs = cut(recs.select(F.col("row_ref").alias("sale_id")).distinct())
+    named = cut(sales.join(refs, "sale_id", "left_semi").join(sales_dups, "_row_id", "left_anti")
+                .select(F.col("sale_id").alias("row_ref"), F.col("_row_id").alias("_tgt"),
+                        *[F.col(bq(c)).alias(f"_c_{c}") for c in columns]))
+    resolved = cut(recs.join(named, "row_ref").withColumn("_v0", _cell_value(columns))
+                   .select(*recs.columns, "_tgt", "_v0"))
+    unresolved = recs.join(named.select("row_ref"), "row_ref", "left_anti")
+
+    # Per repaired cell: which repairs it gets, and its value after the date repairs.
     fixes = resolved.where(F.col("cleaning_action") == "FIX")
     is_date = F.col("check_id") == "SCH_002"
     cells = fixes.groupBy("_tgt", "column").agg(
         F.max(is_date).alias("_has_date"),
         F.min(F.when(is_date, F.col("_seq"))).alias("_first_date"),
         F.max(F.when(~is_date, F.col("check_id"))).alias("_biz"),
-        F.min(F.when(~is_date, F.col("_seq"))).alias("_first_biz"),
+        F.count_if(~is_date).alias("_n_biz"),
         F.max("_v0").alias("_v0"))                     # the same text on every finding of the cell
     max_d = float(rules.business["max_discount"])
     cells = (cells
              .withColumn("_dval", F.when(F.col("_has_date"), _date_fix("_v0")))
              .withColumn("_va", F.coalesce(F.col("_dval"), F.col("_v0")))
-             .withColumn("_cap", _capped("_va", max_d))
-             .withColumn("_bval", _business_fix(F.col("_biz"), "_va", rules))
-             .withColumn("_final", F.when(F.col("_biz").isNotNull(), F.coalesce(F.col("_bval"), F.col("_va")))
-                         .otherwise(F.col("_va")))
-             )
-    # One row per repaired cell, derived from the materialised findings: cheap
-    # to recompute for its two consumers, so it is not written separately.
-
-    # Outcome of every resolved finding.
-    fx = fixes.drop("_v0").join(cells, ["_tgt", "column"])
-    date_rec = F.col("check_id") == "SCH_002"
-    ok = F.when(date_rec, F.col("_dval").isNotNull()).otherwise(F.col("_bval").isNotNull())
-    original = F.when(date_rec, F.when(F.col("_seq") == F.col("_first_date"), F.col("_v0"))
-                      .otherwise(F.col("_dval"))) \
-        .otherwise(F.when(F.col("_seq") == F.col("_first_biz"), F.col("_va")).otherwise(F.col("_bval")))
-    fixed = F.when(date_rec, F.col("_dval")).otherwise(F.col("_bval"))
-    fx = fx.select("_tgt", "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq",
-                   F.when(ok, "FIX").otherwise("ESCALATED").alias("outcome"),
-                   F.when(ok, original).otherwise(F.col("invalid_value")).alias("original_value"),
-                   F.when(ok, fixed).otherwise(F.lit("<dropped>")).alias("fixed_value"))
+             .withColumn("_cap", _capped("_va", max_d)))
+    cells = cut(cells.withColumn("_final", F.when(F.col("_biz").isNull(), F.col("_va")).otherwise(
+        _business_fix(F.col("_biz"), F.col("_va"), F.col("_n_biz"), rules)[1])))
+
+    # Outcome of every resolved finding: date repairs from the cell alone, business
+    # repairs by their rank in the cell.
+    own = ["_tgt", "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq"]
+    dates = fixes.where(is_date).drop("_v0").join(cells, ["_tgt", "column"]).select(
+        *own, F.when(F.col("_seq") == F.col("_first_date"), F.col("_v0")).otherwise(F.col("_dval")).alias("_from"),
+        F.col("_dval").alias("_to"))
+    ranked = _ranked(fixes.where(~is_date).drop("_v0"), ["_tgt", "column"], "_n").join(cells, ["_tgt", "column"])
+    check, va, n = F.col("check_id"), F.col("_va"), F.col("_n")
+    business = ranked.select(*own, _business_fix(check, va, n - 1, rules)[1].alias("_from"),
+                             _business_fix(check, va, n, rules)[0].alias("_to"))
+    ok = F.col("_to").isNotNull()
+    fx = dates.unionByName(business).select(
+        *own, F.when(ok, "FIX").otherwise("ESCALATED").alias("outcome"),
+        # a missing original is logged as the text of a missing value
+        F.when(ok, F.coalesce("_from", F.lit("nan"))).otherwise(F.col("invalid_value")).alias("original_value"),
+        F.when(ok, F.col("_to")).otherwise(F.lit("<dropped>")).alias("fixed_value"))
     other = resolved.where(F.col("cleaning_action") != "FIX").select(
-        "_tgt", "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq",
-        F.col("cleaning_action").alias("outcome"),
+        *own, F.col("cleaning_action").alias("outcome"),
         F.lit(None).cast("string").alias("original_value"), F.lit(None).cast("string").alias("fixed_value"))
-    outcomes = fx.unionByName(other)
-    if materialize:
-        outcomes = cut(outcomes)
+    outcomes = cut(fx.unionByName(other))
 
     fix_log = outcomes.where(F.col("outcome") == "FIX").select(
         F.lit("sales").alias("table"), "row_ref", "check_id", F.coalesce("column", F.lit("")).alias("column"),
@@ -173,19 +207,22 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
         F.lit("sales").alias("table"), "row_ref", "check_id", F.coalesce("column", F.lit("")).alias("column"),
         "original_value", "fixed_value", F.lit(ESCALATION_NOTE).alias("note"), "_seq")
 
-    # Per row: dropped? flags? repaired values?
-    drops = outcomes.where(F.col("outcome").isin("DROP", "ESCALATED")).select("_tgt").distinct() \
-        .withColumn("_drop", F.lit(True))
+    # One action row per sales row that changes: dropped, flagged, repaired, renumbered.
     flagged = (F.col("outcome") == "FLAG") | ((F.col("outcome") == "FIX") & (F.col("check_id") == "BIZ_003"))
     flags = _flag_text(outcomes.where(flagged).select("_tgt", "_seq", "check_id"))
+    repaired = [c for c in columns if c in rules.types("sales") or c in ("discount", "region", "sales_channel")]
     finals = cells.groupBy("_tgt").agg(*[F.max(F.when(F.col("column") == c, F.col("_final"))).alias(f"_fix_{c}")
-                                         for c in SALES_COLUMNS])
-    per_row = finals.join(flags, "_tgt", "full").join(drops, "_tgt", "full")
-    cleaned_sales = (survivors.join(per_row.withColumnRenamed("_tgt", "_row_id"), "_row_id", "left")
-                     .where(F.col("_drop").isNull())
-                     .select(*[F.coalesce(F.col(f"_fix_{c}"), F.col(c)).alias(c) for c in SALES_COLUMNS],
-                             F.coalesce(F.col("quality_flag"), F.lit("")).alias("quality_flag"), "_row_id"))
-    removed_sales = sales_dups.unionByName(drops.select(F.col("_tgt").alias("_row_id")))
+                                         for c in repaired])
+    gone = cut(sales_dups.unionByName(outcomes.where(F.col("outcome").isin("DROP", "ESCALATED"))
+                                      .select(F.col("_tgt").alias("_row_id"))).distinct())
+    nameless = sales.where("sale_id IS NULL").select("_row_id").join(gone, "_row_id", "left_anti")
+    actions = cut(finals.join(flags, "_tgt", "full").withColumnRenamed("_tgt", "_row_id")
+                  .join(gone.withColumn("_drop", F.lit(True)), "_row_id", "full")
+                  .join(positions_after_removal(gone, nameless), "_row_id", "full"))
+    cleaned_sales = (sales.join(actions, "_row_id", "left").where(F.col("_drop").isNull())
+                     .select(*[F.coalesce(F.col(bq(f"_fix_{c}")), F.col(bq(c))).alias(c) if c in repaired
+                               else F.col(bq(c)) for c in columns],
+                             F.coalesce(F.col("quality_flag"), F.lit("")).alias("quality_flag"), "_row_id", "_pos"))
 
     # A8 counters (findings, not rows) + mechanical duplicate drops.
     dup_counts = (sales_dups.select(F.lit("UNI_001").alias("check_id"))
@@ -207,15 +244,13 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules,
         pos = positions_after_removal(removed_ids, need)
         return kept.join(pos, "_row_id", "left")
 
+    # The cleaned tables are re-validated, enriched and counted: written once.
     cleaned = {
-        "sales": with_pos(cleaned_sales, removed_sales, "sale_id"),
-        "customers": with_pos(cust_kept, cust_dups.select("_row_id"), "customer_id"),
-        "products": with_pos(prod_kept, prod_dups.select("_row_id"), "product_id"),
+        "sales": cut(cleaned_sales),
+        "customers": cut(with_pos(cust_kept, cust_dups, "customer_id")),
+        "products": cut(with_pos(prod_kept, prod_dups, "product_id")),
         "targets": tables["targets"],
     }
-    if materialize:
-        # The cleaned tables are re-validated, enriched and counted: write once.
-        cleaned = {t: (cut(df) if t != "targets" else df) for t, df in cleaned.items()}
     rows = None
     for t in ("sales", "customers", "products", "targets"):
         r = (tables[t].agg(F.count(F.lit(1)).alias("rows_before"))

@@ -7,7 +7,6 @@ so numbering never funnels the findings through one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,18 +58,14 @@ def findings(tables: dict[str, DataFrame], rules: Rules, materialize: bool = Tru
     (_layer, _block, _row, _step, _seq)."""
     spark = next(iter(tables.values())).sparkSession
     C.assert_file_level_schema(tables, rules)
-    # Records feed the per-block counts, the offsets and the numbered output,
-    # whose stages run concurrently: fill the cache first so they all read it
-    # instead of each recomputing the record pass.
-    recs = records(tables, rules).persist(StorageLevel.MEMORY_AND_DISK)
-    recs.count()
+    # Records feed the per-block counts, the offsets and the numbered output:
+    # written once, so that none of these recomputes the record pass.
+    recs = cut(records(tables, rules))
     out = number(recs, spark, rules).select(*ERROR_COLUMNS, *ORDER_COLUMNS, "_seq")
     if not materialize:
         return out
     # Findings feed the score, cleaning and every report: write them once.
-    out = cut(out)
-    recs.unpersist()
-    return out
+    return cut(out)
 
 
 def report(f: DataFrame) -> DataFrame:

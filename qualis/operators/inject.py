@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualis.functions import parse as P
+from qualis.rules import Rules
 from qualis.sources.rowindex import block_sequence
 
 # The reference demo's injection plan (findings per 2,000 sales
@@ -38,6 +40,7 @@ N_INACTIVE = 5
 INJECT_DATE_MIN = "1992-01-01"
 INJECT_AUDIT_DATE = "2025-12-31"
 
+OUTLIER_FROM = 350  # least injected outlier quantity; the baseline has none
 BUCKETS = 10000
 _P1, _P2 = 1000003, 999983
 
@@ -171,18 +174,73 @@ def manifest_counts(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("error_class").agg(F.count(F.lit(1)).alias("n"))
 
 
-def self_check(dirty: dict[str, DataFrame], manifest: DataFrame) -> DataFrame:
-    """Bookkeeping check - manifest counts vs what the data shows."""
-    s = dirty["sales"]
-    custs = dirty["customers"].where("customer_id IS NOT NULL").select("customer_id").distinct() \
-        .withColumn("_hit", F.lit(True))
-    data = s.join(custs, "customer_id", "left").agg(
-        F.count_if(F.col("customer_id").isNull()).alias("COM_001"),
-        F.count_if(F.col("customer_id").isNotNull() & F.col("_hit").isNull()).alias("REL_001"),
-        (F.count(F.lit(1)) - F.count_distinct("sale_id")).alias("UNI_001"))
-    long = data.select(F.expr("stack(3, 'COM_001', COM_001, 'REL_001', REL_001, 'UNI_001', UNI_001) "
-                              "AS (error_class, in_data)"))
-    return (long.join(manifest_counts(manifest), "error_class", "left")
-            .select("error_class", "in_data", F.coalesce("n", F.lit(0)).alias("in_manifest"),
-                    F.when(F.col("in_data") == F.coalesce("n", F.lit(0)), "OK").otherwise("MISMATCH")
-                    .alias("status")))
+def self_check(base: dict[str, DataFrame], dirty: dict[str, DataFrame], manifest: DataFrame,
+               rules: Rules, plan: InjectionPlan | None = None) -> DataFrame:
+    """Bookkeeping check of every class and of the row totals.
+
+    ``in_data`` is measured on the dirty tables by plain predicates (not by the
+    checks), ``in_manifest`` is what was logged, ``planned`` what the plan's rates
+    give on average; the class counts must be equal and within four standard
+    deviations of the plan. Row totals: base rows plus logged copies (plus the
+    appended inactive products)."""
+    plan = plan or InjectionPlan()
+    s, b = dirty["sales"], rules.business
+    customers = dirty["customers"].where("customer_id IS NOT NULL").select("customer_id").distinct() \
+        .withColumn("_c", F.lit(True))
+    products = dirty["products"].where("product_id IS NOT NULL").groupBy("product_id") \
+        .agg(F.max(F.col("active_status") == "active").alias("_active"))
+    j = s.join(customers, "customer_id", "left").join(products, "product_id", "left")
+    number = lambda c: P.parse_float(c)
+    col, missing = F.col, lambda c: F.col(c).isNull().cast("long")
+    outlier = number("quantity") >= OUTLIER_FROM
+    tests = {
+        "SCH_002": col("sale_date").isNotNull() & ~F.coalesce(P.is_iso_date("sale_date"), F.lit(False)),
+        "COM_001": missing("customer_id"), "COM_002": missing("product_id"), "COM_003": missing("sale_date"),
+        "COM_004": missing("quantity") + missing("unit_price"),
+        "COM_005": missing("discount") + missing("region") + missing("sales_channel"),
+        "REL_001": col("customer_id").isNotNull() & col("_c").isNull(),
+        "REL_002": col("product_id").isNotNull() & col("_active").isNull(), "REL_003": ~col("_active"),
+        "BIZ_001": number("quantity") < float(b["min_quantity"]),
+        "BIZ_002": number("unit_price") < float(b["min_unit_price"]),
+        "BIZ_003": ~number("discount").between(0.0, float(b["max_discount"])),
+        "BIZ_004": P.parse_date("sale_date") > F.lit(rules.audit_date).cast("date"),
+        "BIZ_005": ~col("region").isin(rules.allowed["regions"]),
+        "BIZ_006": ~col("sales_channel").isin(rules.allowed["sales_channels"]),
+        "BIZ_007": outlier,
+    }
+    # copies are injected rows of class UNI_001 with no other defect, so they add to no other class
+    aggs = [F.coalesce(F.sum(t.cast("long")), F.lit(0)).alias(k) for k, t in tests.items()]
+    counted = j.agg(*aggs, F.count(F.lit(1)).alias("ROWS_sales"))
+    for table, key, cid in (("sales", "sale_id", "UNI_001"), ("customers", "customer_id", "UNI_002"),
+                            ("products", "product_id", "UNI_003")):
+        gap = lambda t: t[table].agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("_g"))  # noqa: E731, B023
+        counted = counted.crossJoin(gap(dirty).withColumnRenamed("_g", "_d").crossJoin(gap(base)).select(
+            (col("_d") - col("_g")).alias(cid)))
+    for t in ("customers", "products"):
+        counted = counted.crossJoin(dirty[t].agg(F.count(F.lit(1)).alias(f"ROWS_{t}")))
+    names = [*tests, "UNI_001", "UNI_002", "UNI_003", "ROWS_sales", "ROWS_customers", "ROWS_products"]
+    data = counted.select(F.explode(F.array(*[F.struct(F.lit(n).alias("error_class"), F.col(n).alias("in_data"))
+                                              for n in names])).alias("x")).select("x.*")
+
+    sizes = {t: base[t].agg(F.count(F.lit(1)).alias("_n")) for t in ("sales", "customers", "products")}
+    logged = manifest_counts(manifest)
+    rates = {**{k: ("sales", v) for k, v in plan.rates.items()},
+             "UNI_002": ("customers", plan.master_rates["UNI_002"]), "UNI_003": ("products", plan.master_rates["UNI_003"])}
+    spark = s.sparkSession
+    plan_rows = spark.createDataFrame([(k, t, v) for k, (t, v) in rates.items()], "error_class string, _t string, _rate int")
+    base_rows = None
+    for t, one in sizes.items():
+        one = one.select(F.lit(t).alias("_t"), "_n")
+        base_rows = one if base_rows is None else base_rows.unionByName(one)
+    planned = plan_rows.join(base_rows, "_t").select(
+        "error_class", (col("_n") * col("_rate") / BUCKETS).alias("planned"))
+    totals = base_rows.join(
+        logged.join(spark.createDataFrame([("UNI_001", "sales"), ("UNI_002", "customers"), ("UNI_003", "products")],
+                                          "error_class string, _t string"), "error_class"), "_t", "left") \
+        .select(F.concat(F.lit("ROWS_"), "_t").alias("error_class"),
+                (col("_n") + F.coalesce("n", F.lit(0)) + F.when(col("_t") == "products", N_INACTIVE).otherwise(0)).alias("n"))
+    out = data.join(logged.unionByName(totals), "error_class", "left").join(planned, "error_class", "left")
+    in_manifest = F.coalesce("n", F.lit(0)).cast("long")
+    near = col("planned").isNull() | (F.abs(in_manifest - col("planned")) <= 4 * F.sqrt("planned") + 3)
+    return out.select("error_class", "in_data", in_manifest.alias("in_manifest"), "planned",
+                      F.when((col("in_data") == in_manifest) & near, "OK").otherwise("MISMATCH").alias("status"))

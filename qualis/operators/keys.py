@@ -1,10 +1,12 @@
 """Key operators: keep-first de-duplication and first-occurrence lookups.
 
 No window is partitioned by a business key: a single hot key (say, one id on a
-third of the rows) would land in one task. Instead the first row per key is an
-aggregate (``min`` / ``min_by``, combined map-side), and only keys that really
-repeat are joined back; AQE broadcasts that table when it is small and splits
-skewed partitions when it is not.
+third of the rows) would land in one task. The first row per key is an
+aggregate (``min`` / ``min_by``, combined map-side) that is written once. The
+join back then has a plain scan and a shuffle on either side, which is the only
+shape whose skewed partitions AQE splits (a join directly on the aggregate
+would keep the aggregate's partitioning). Only narrow rows (key, row id) take
+part, and only keys that repeat.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualis.session import cut
+
 
 def repeated_keys(df: DataFrame, key: str, order_col: str = "_row_id") -> DataFrame:
     """(key, _first) for every non-null key that occurs more than once."""
@@ -22,21 +26,11 @@ def repeated_keys(df: DataFrame, key: str, order_col: str = "_row_id") -> DataFr
             .select(key, "_first"))
 
 
-def mark_duplicates(df: DataFrame, key: str, out: str = "_is_dup",
-                    order_col: str = "_row_id") -> DataFrame:
-    """Adds ``out``: TRUE on the 2nd+ occurrence of a non-null key (file order)."""
-    rep = repeated_keys(df, key, order_col)
-    return (df.join(rep, key, "left")
-            .withColumn(out, F.coalesce(F.col("_first").isNotNull() & (F.col(order_col) != F.col("_first")),
-                                        F.lit(False)))
-            .drop("_first"))
-
-
-def keep_first(df: DataFrame, key: str, order_col: str = "_row_id") -> tuple[DataFrame, DataFrame]:
-    """(survivors, removed copies). NULL keys are never duplicates."""
-    marked = mark_duplicates(df, key, "_is_dup", order_col)
-    return (marked.where(~F.col("_is_dup")).drop("_is_dup"),
-            marked.where(F.col("_is_dup")).drop("_is_dup"))
+def copies(df: DataFrame, key: str, carry: tuple[str, ...] = (), order_col: str = "_row_id") -> DataFrame:
+    """(key, order_col, *carry) of the 2nd+ occurrences of a non-null key (file order)."""
+    rep = cut(repeated_keys(df, key, order_col))
+    return (df.select(key, order_col, *carry).join(rep, key)
+            .where(F.col(order_col) != F.col("_first")).drop("_first"))
 
 
 def first_value(df: DataFrame, key: str, value: str, order_col: str = "_row_id",

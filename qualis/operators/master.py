@@ -1,11 +1,10 @@
 """Clean master dataset (K13/J4): cleaned sales enriched with the first
 occurrence of each customer and product, plus revenue.
 
-Both joins are many-to-one by construction (the masters were de-duplicated on
-their key). A NULL foreign key enriches to NULL (SQL equality). The master
-sides are narrowed to the few enrichment columns before the join; AQE turns
-the joins into broadcasts when the masters are small and keeps sort-merge with
-skew splitting when a hot key carries a large share of the sales.
+Both joins are many-to-one; that is checked beforehand by a count per key, so the
+enrichment joins have plain scans on both sides and AQE can split a hot foreign
+key (or the NULL keys). A NULL foreign key enriches to NULL (SQL equality). The
+master sides are narrowed to the enrichment columns; all sales columns stay.
 """
 
 from __future__ import annotations
@@ -22,14 +21,12 @@ CUSTOMER_ENRICH = ["customer_id", "customer_name", "customer_segment", "country"
 PRODUCT_ENRICH = ["product_id", "product_name", "category", "active_status"]
 
 
-def many_to_one(df: DataFrame, key: str, what: str) -> DataFrame:
-    """J4 validation: fail the job if a non-NULL key occurs more than once on
-    the master side (the join would multiply sales rows). A per-key count (a
-    partial aggregate over the narrowed master) joined back; the check sits in
-    a filter, so it cannot be pruned away."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    ok = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"{what}: key not unique: "), F.col(key))))
-    return df.join(counts, key, "left").where(ok.otherwise(F.lit(True))).drop("_n")
+def assert_unique(df: DataFrame, key: str, what: str) -> None:
+    """Stop if a non-NULL key occurs more than once on the master side (the
+    join would multiply sales rows)."""
+    twice = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
+    for r in twice.collect():
+        raise ValueError(f"{what}: key not unique: {r[key]}")
 
 
 def build_master(cleaned: dict[str, DataFrame], keep_internal: bool = False, validate: bool = True) -> DataFrame:
@@ -37,10 +34,13 @@ def build_master(cleaned: dict[str, DataFrame], keep_internal: bool = False, val
     cust = customers.select(*[c for c in CUSTOMER_ENRICH if c in customers.columns])
     prod = products.select(*[c for c in PRODUCT_ENRICH if c in products.columns])
     if validate:
-        cust, prod = many_to_one(cust, "customer_id", "customers"), many_to_one(prod, "product_id", "products")
+        assert_unique(cust, "customer_id", "customers")
+        assert_unique(prod, "product_id", "products")
     m = sales.join(cust, "customer_id", "left").join(prod, "product_id", "left")
-    qty, price = P.parse_float("quantity"), P.parse_float("unit_price")
-    disc = F.coalesce(P.parse_float("discount"), F.lit(0.0))
+    if "discount" not in m.columns:
+        m = m.withColumn("discount", F.lit(None).cast("string"))
+    qty, price = P.to_number("quantity"), P.to_number("unit_price")
+    disc = F.coalesce(P.to_number("discount"), F.lit(0.0))
     m = m.withColumn("gross_revenue", P.round_cents(qty * price))
     m = m.withColumn("net_revenue", P.round_cents(F.col("gross_revenue") * (F.lit(1.0) - disc)))
     present = [c for c in MASTER_ORDER if c in m.columns]

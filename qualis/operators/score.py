@@ -46,7 +46,7 @@ def score(findings: DataFrame, tables: dict[str, DataFrame], rules: Rules) -> Da
                 + F.col("n_minor") * F.lit(w["MINOR"]))
     rows = F.col("total_row_count")
     per = F.when(rows <= 0, F.raise_error(F.lit(
-        "total_row_count must be positive - scoring an empty dataset is undefined"))).otherwise(
+        "no rows were checked, so there is nothing to score"))).otherwise(
         F.col("weighted_error_points") / rows * F.lit(norm))
     s = P.round_half_up(F.greatest(F.lit(0.0), F.lit(100.0) - F.col("error_points_per_1000_rows")))
     return (j.withColumn("weighted_error_points", weighted)

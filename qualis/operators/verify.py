@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualis.operators import keys as K
 from qualis.operators.clean import CleaningResult
 from qualis.rules import Rules
 
@@ -23,11 +22,13 @@ def expected_keys(manifest: DataFrame) -> DataFrame:
 
 
 def natural_duplicates(sales: DataFrame) -> DataFrame:
-    """Manifest rows for key copies already present in a baseline."""
-    return (K.mark_duplicates(sales, "sale_id").where("_is_dup")
-            .select(F.lit("sales").alias("table"), F.col("sale_id").alias("row_ref"),
-                    F.lit("UNI_001").alias("error_class"), F.lit("sale_id").alias("column"),
-                    F.lit("natural duplicate").alias("detail")))
+    """Manifest rows for key copies already present in a baseline: each key once
+    less than it occurs, from counts alone (not from the engine's keep-first)."""
+    counts = sales.where("sale_id IS NOT NULL").groupBy("sale_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return counts.select(F.lit("sales").alias("table"), F.col("sale_id").alias("row_ref"),
+                         F.lit("UNI_001").alias("error_class"), F.lit("sale_id").alias("column"),
+                         F.lit("natural duplicate").alias("detail"),
+                         F.explode(F.sequence(F.lit(2), F.col("n"))).alias("_k")).drop("_k")
 
 
 def detection_summary(findings: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def residual_classes(findings_clean: DataFrame, rules: Rules) -> DataFrame:
 def master_integrity(master: DataFrame) -> DataFrame:
     """Gaps in the clean master and revenue recomputation."""
     from qualis.functions import parse as P
-    gross = P.round_cents(P.parse_float("quantity") * P.parse_float("unit_price"))
+    gross = P.round_cents(P.to_number("quantity") * P.to_number("unit_price"))
     return master.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("gross_revenue").isNull()).alias("null_gross"),

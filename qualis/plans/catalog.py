@@ -6,9 +6,10 @@ grows with the scale factor; nothing runs on made-up input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualis.functions import parse as P
@@ -22,9 +23,11 @@ from qualis.operators import score as SC
 from qualis.plans.oracle import Oracle, clean_base, clean_ctes, fixture_ctes, inject_ctes
 from qualis.sources.fixture import SALES_COLUMNS
 from qualis.plans import sqlfn as S
-from qualis.rules import Rules
+from qualis.rules import LAYERS, Rules
 from qualis.sources import fixture as FX
-from qualis.session import cut
+from qualis.session import checkpoint_dir, cut
+from qualis.sources import readers as RD
+from qualis.sources import sinks as SK
 from qualis.sources.readers import load_fixture
 
 
@@ -33,31 +36,40 @@ def fixture_rules() -> Rules:
     return Rules(audit_date=FX.FIXTURE_AUDIT_DATE).with_overrides(date_min=FX.FIXTURE_DATE_MIN)
 
 
-_CTX: dict[tuple[int, str], "Ctx"] = {}
+def extended_rules() -> Rules:
+    """Rules of the extended fixture: one more date column, a chain of synonyms
+    whose last target is no key itself."""
+    r = fixture_rules()
+    r.config["column_types"]["sales"]["ship_date"] = "date"
+    r.config["optional_columns"]["sales"].append("ship_date")
+    r.config["allowed_values"]["region_synonyms"] = dict(FX.EXTRA_SYNONYMS)
+    return Rules(r.config, r.audit_date, r.run_ts)
 
 
-def Ctx(spark: SparkSession, sf_dir: str) -> "_Ctx":  # noqa: N802
-    """Shared building blocks per (session, scale factor).
+_CTX: dict[tuple[str, str, bool], "_Ctx"] = {}
 
-    Queries of one session reuse the same persisted fixture and findings, so a
+
+def Ctx(spark: SparkSession, sf_dir: str, extended: bool = False) -> "_Ctx":  # noqa: N802
+    """Shared building blocks per (application, scale factor, fixture).
+
+    Queries of one application reuse the same written fixture and findings, so a
     registered query only adds its own small plan on top.
     """
-    key = (id(spark), sf_dir)
-    ctx = _CTX.get(key)
-    if ctx is None or ctx.spark.sparkContext._jsc is None:
-        ctx = _CTX[key] = _Ctx(spark, sf_dir)
-    return ctx
+    key = (spark.sparkContext.applicationId, sf_dir, extended)
+    if key not in _CTX:
+        _CTX[key] = _Ctx(spark, sf_dir, extended)
+    return _CTX[key]
 
 
 class _Ctx:
     """Lazy building blocks for queries over one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, extended: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
-        self.rules = fixture_rules()
+        self.rules = extended_rules() if extended else fixture_rules()
         # The fixture is derived by joins + ranking and read by several branches
         # of every query: land it once (like the files of a real landing area).
-        self.tables = {t: cut(df) for t, df in load_fixture(spark, sf_dir).items()}
+        self.tables = {t: cut(df) for t, df in load_fixture(spark, sf_dir, extended=extended).items()}
         self._findings: DataFrame | None = None
         self._cleaning: CL.CleaningResult | None = None
         self._findings_clean: DataFrame | None = None
@@ -198,8 +210,8 @@ def q_inject_counts(spark, sf):
 
 
 def q_inject_self_check(spark, sf):
-    _, dirty, manifest, _, _ = Ctx(spark, sf).injected
-    return IJ.self_check(dirty, manifest)
+    base, dirty, manifest, _, rules = Ctx(spark, sf).injected
+    return IJ.self_check(base, dirty, manifest, rules)
 
 
 def q_inject_dirty_sales(spark, sf):
@@ -286,7 +298,7 @@ def q_before_after(spark, sf):
 
 def q_data_dictionary(spark, sf):
     c = Ctx(spark, sf)
-    return RP.column_profile(c.tables, c.rules)
+    return RP.data_dictionary(c.tables, c.rules)
 
 
 def q_findings_head_per_layer(spark, sf):
@@ -338,6 +350,155 @@ def q_rerun_identical(spark, sf):
             .crossJoin(b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_second"))))
 
 
+# -- verifier meta checks (T08, T09): tampered data must be told from the manifest
+def _tampered(spark, sf, column: str, value: Column, pick: DataFrame) -> DataFrame:
+    """Findings after one cell of the injected sales is overwritten."""
+    c = Ctx(spark, sf)
+    _, dirty, _, _, rules = c.injected
+    one = pick.agg(F.min("_row_id").alias("_hit"))
+    sales = dirty["sales"].crossJoin(F.broadcast(one))  # one row
+    sales = sales.withColumn(column, F.when(F.col("_row_id") == F.col("_hit"), value).otherwise(F.col(column))).drop("_hit")
+    return FD.findings({**dirty, "sales": cut(sales)}, rules)
+
+
+def q_detect_repaired(spark, sf):
+    """The first unknown customer is repaired in the data: one miss, no false alarm."""
+    c = Ctx(spark, sf)
+    _, dirty, _, expected, _ = c.injected
+    known = dirty["customers"].agg(F.min("customer_id")).first()[0]
+    unknown = dirty["sales"].where("customer_id IS NOT NULL").join(
+        dirty["customers"].select("customer_id").distinct(), "customer_id", "left_anti")
+    found = _tampered(spark, sf, "customer_id", F.lit(known), unknown)
+    return VF.missed(found, expected).withColumn("kind", F.lit("missed")).unionByName(
+        VF.unexpected(found, expected).withColumn("kind", F.lit("unexpected")))
+
+
+def q_detect_added(spark, sf):
+    """The first row without a finding gets an unknown region: one false alarm, no miss."""
+    c = Ctx(spark, sf)
+    _, dirty, _, expected, _ = c.injected
+    named = expected.where(F.col("table") == "sales").select(F.col("row_ref").alias("sale_id")).distinct()
+    found = _tampered(spark, sf, "region", F.lit("Narnia"), dirty["sales"].join(named, "sale_id", "left_anti"))
+    return VF.missed(found, expected).withColumn("kind", F.lit("missed")).unionByName(
+        VF.unexpected(found, expected).withColumn("kind", F.lit("unexpected")))
+
+
+# -- sources and gates over a CSV landing of the fixture -----------------------
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    (df.write.option("header", True).option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def _csv_landing(spark, sf) -> str:
+    """All sales as CSV under two headers: every second row in the usual order, the
+    others in reverse order without discount and with a note of two lines."""
+    s, path = Ctx(spark, sf).tables["sales"], _scratch(spark, "csv")
+    odd = F.col("_row_id") % 2 == 1
+    _write_csv(s.where(~odd).select(*SALES_COLUMNS), f"{path}/a")
+    note = F.concat(F.lit('a "quoted"\nnote, '), F.col("_row_id").cast("string"))
+    _write_csv(s.where(odd).select(note.alias("order_note"), *[c for c in reversed(SALES_COLUMNS) if c != "discount"]),
+               f"{path}/b")
+    return path
+
+
+def q_csv_scan(spark, sf):
+    """IO1: columns bound by header name, absent column NULL, extra column kept."""
+    df = RD.read_csv_text(spark, f"{_csv_landing(spark, sf)}/*", SALES_COLUMNS)
+    return RD.empty_to_null(df).select(*SALES_COLUMNS, "order_note")
+
+
+def q_text_positions(spark, sf):
+    """IO5: positions of CSV rows in file order are the positions they were written with."""
+    path = _scratch(spark, "csv")
+    s = Ctx(spark, sf).tables["sales"]
+    _write_csv(s.repartitionByRange(8, "_row_id").sortWithinPartitions("_row_id")
+               .select(*SALES_COLUMNS, F.col("_row_id").alias("written")), path)
+    df = RD.with_text_positions(RD.read_csv_text(spark, path, SALES_COLUMNS))
+    return df.select(F.col("written").cast("long").alias("written"), "_row_id")
+
+
+def q_parquet_positions(spark, sf):
+    """IO2/IO5: a parquet table read as text, numbered by file and row index."""
+    path = _scratch(spark, "parquet")
+    s = Ctx(spark, sf).tables["sales"]
+    s.repartitionByRange(8, "_row_id").sortWithinPartitions("_row_id") \
+        .select(F.col("_row_id").alias("written"), F.col("sale_date").try_cast("date").alias("sale_date")).write.parquet(path)
+    return RD.read_any_text(spark, path, "parquet").select(F.col("written").cast("long").alias("written"), "sale_date", "_row_id")
+
+
+def q_header_gate(spark, sf):
+    """P1/SCH_001: columns that some file's own header lacks."""
+    return RD.header_problems(spark, f"{_csv_landing(spark, sf)}/*", SALES_COLUMNS).select("missing_column").distinct()
+
+
+def q_input_gate(spark, sf):
+    """IO4: rows of the inputs that a landing holds, and the names that it lacks."""
+    path = _scratch(spark, "landing")
+    SK.write_tables({t: df for t, df in Ctx(spark, sf).tables.items() if t != "targets"}, path)
+    names = {t: t for t in ("sales", "customers", "products", "targets")}
+    gone = RD.missing_inputs(spark, path, names)
+    out = None
+    for t in names:
+        n = spark.range(0).agg(F.count(F.lit(1)).alias("rows")) if t in gone else \
+            spark.read.parquet(f"{path}/{t}").agg(F.count(F.lit(1)).alias("rows"))
+        one = n.select(F.lit(t).alias("name"), F.lit(t not in gone).alias("present"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_manifest_scan(spark, sf):
+    """IO6/IO11: the injected manifest written as JSON and read back."""
+    path = _scratch(spark, "manifest")
+    SK.write_manifest(Ctx(spark, sf).injected[2], path, 42, "fixture")
+    return RD.read_manifest(spark, path)
+
+
+def q_findings_by_layer_files(spark, sf):
+    """IO9: findings written as one folder per layer and read back layer by layer."""
+    path = _scratch(spark, "errors")
+    SK.write_findings_by_layer(Ctx(spark, sf).findings, path)
+    out = None
+    for layer in LAYERS:
+        one = SK.read_findings_layer(spark, path, layer)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# -- extended fixture: extra columns, odd numbers, synonym chains ---------------
+def q_ext_findings(spark, sf):
+    return FD.report(Ctx(spark, sf, True).findings)
+
+
+def q_clean_extra_columns(spark, sf):
+    """Every sales column survives cleaning; any configured date is repaired."""
+    return Ctx(spark, sf, True).cleaning.cleaned["sales"].select(*FX.sales_columns(True), "quality_flag")
+
+
+def q_ext_fix_log(spark, sf):
+    return Ctx(spark, sf, True).cleaning.fix_log.select(*CL.FIXLOG_COLUMNS)
+
+
+def q_ext_escalations(spark, sf):
+    return Ctx(spark, sf, True).cleaning.escalations.select(*CL.FIXLOG_COLUMNS)
+
+
+def q_ext_master(spark, sf):
+    return MS.build_master(Ctx(spark, sf, True).cleaning.cleaned)
+
+
+def q_ext_master_integrity(spark, sf):
+    return VF.master_integrity(q_ext_master(spark, sf))
+
+
+def q_ext_errors_summary(spark, sf):
+    c = Ctx(spark, sf, True)
+    return RP.errors_summary(c.findings, c.findings_clean, spark, c.rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "findings": q_findings,
     "score_raw": q_score_raw,
@@ -384,6 +545,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_baseline_rows": q_clean_baseline_rows,
     "master_head": q_master_head,
     "rerun_identical": q_rerun_identical,
+    "detect_repaired": q_detect_repaired,
+    "detect_added": q_detect_added,
+    "csv_scan": q_csv_scan,
+    "text_positions": q_text_positions,
+    "parquet_positions": q_parquet_positions,
+    "header_gate": q_header_gate,
+    "input_gate": q_input_gate,
+    "manifest_scan": q_manifest_scan,
+    "findings_by_layer_files": q_findings_by_layer_files,
+    "ext_findings": q_ext_findings,
+    "clean_extra_columns": q_clean_extra_columns,
+    "ext_fix_log": q_ext_fix_log,
+    "ext_escalations": q_ext_escalations,
+    "ext_master": q_ext_master,
+    "ext_master_integrity": q_ext_master_integrity,
+    "ext_errors_summary": q_ext_errors_summary,
 }
 
 
@@ -473,8 +650,25 @@ def oracle_sql() -> dict[str, str]:
         "score_clean": wc(_score_sql(rules, "c2_findings",
                                      {"s": "cs", "c": "cc", "p": "cp", "t": "targets"})),
     })
-    out.update(_report_sql(rules, wc, cols))
+    reports = _report_sql(rules, wc, cols)
+    out.update(reports)
     out.update(_inject_sql(cols))
+    out.update(_source_sql(fx, cols, w))
+    xo = Oracle(extended_rules(), extended=True)
+    xc = clean_base(xo)
+    wx = lambda body: Oracle.with_(xc, body)
+    xreports = _report_sql(xo.rules, wx, cols)
+    out.update({
+        "ext_findings": Oracle.with_(xo.base(), f"SELECT {cols} FROM findings"),
+        "clean_extra_columns": wx(f"SELECT {', '.join(xo.columns)}, quality_flag FROM cs"),
+        "ext_fix_log": wx(f"SELECT {flcols} FROM fix_log"),
+        "ext_escalations": wx(f"SELECT {flcols} FROM escalations"),
+        "ext_master": wx(f"SELECT {mcols}, {', '.join(FX.EXTRA_COLUMNS)} FROM clean_master"),
+        "ext_master_integrity": xreports["master_integrity"],
+        "ext_errors_summary": xreports["errors_summary"],
+    })
+    out["rerun_identical"] = w("""SELECT (SELECT count(*) FROM (SELECT * FROM findings EXCEPT ALL SELECT * FROM findings))
+          AS only_first, (SELECT count(*) FROM (SELECT * FROM findings EXCEPT ALL SELECT * FROM findings)) AS only_second""")
     again = cb + clean_ctes(o, {"sales": "cs", "customers": "cc", "products": "cp", "findings": "c2_findings"}, "r_")
     out["idempotence"] = Oracle.with_(again, """SELECT
           CAST(COALESCE(sum(n) FILTER (WHERE metric = 'dropped'), 0) AS BIGINT) AS total_dropped,
@@ -482,6 +676,24 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
+def _source_sql(fx, cols: str, w) -> dict[str, str]:
+    ctes = fixture_ctes()
+    four = " UNION ALL ".join(f"SELECT {S.q(t)} AS name, {str(t != 'targets').lower()} AS present, "
+                              + (f"count(*) AS rows FROM {t}" if t != "targets" else "0 AS rows")
+                              for t in ("sales", "customers", "products", "targets"))
+    scan = ", ".join("CASE WHEN _row_id % 2 = 0 THEN discount END AS discount" if c == "discount" else c for c in SALES_COLUMNS)
+    return {
+        "csv_scan": fx(ctes, f"""SELECT {scan}, CASE WHEN _row_id % 2 = 1 THEN 'a "quoted"' || chr(10) || 'note, '
+              || CAST(_row_id AS VARCHAR) END AS order_note FROM sales"""),
+        "text_positions": fx(ctes, "SELECT _row_id AS written, _row_id FROM sales"),
+        "parquet_positions": fx(ctes, """SELECT _row_id AS written, CASE WHEN regexp_matches(sale_date, '^\\s*\\d{4}-\\d{2}-\\d{2}$')
+              THEN strftime(try_cast(trim(sale_date) AS DATE), '%Y-%m-%d') END AS sale_date, _row_id FROM sales"""),
+        "header_gate": fx(ctes, "SELECT DISTINCT 'discount' AS missing_column FROM sales WHERE _row_id % 2 = 1"),
+        "input_gate": fx(ctes, f"SELECT * FROM ({four})"),
+        "findings_by_layer_files": w(f"SELECT {cols} FROM findings"),
+    }
+
+
 def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
     from qualis.operators import reports as RPm
     reg = ", ".join(f"({S.q(c)}, {S.q(l)}, {S.q(sv)}, {S.q(a)})" for c, l, sv, a, _ in rules.rules_rows())
@@ -503,6 +715,8 @@ def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
                 {S.q('required' if c in req else 'optional')} AS required, {S.q(desc)} AS description,
                 count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
                 count(*) FILTER (WHERE {bad}) AS unparseable FROM {t}""")
+    for i, (c, text) in enumerate(RPm.DERIVED):
+        prof.append(f"""SELECT 'clean_master', {i}, {S.q(c)}, 'derived', '', {S.q(text)}, NULL, NULL, NULL""")
     stack = lambda sc: f"""SELECT 'Quality score' AS metric, CAST(score AS BIGINT) AS v FROM ({sc})
         UNION ALL SELECT 'Critical', n_critical FROM ({sc}) UNION ALL SELECT 'Major', n_major FROM ({sc})
         UNION ALL SELECT 'Minor', n_minor FROM ({sc}) UNION ALL SELECT 'Total issues', total_errors FROM ({sc})"""
@@ -516,7 +730,7 @@ def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
             count(*) FILTER (WHERE customer_id IS NOT NULL AND customer_name IS NULL) AS customer_gaps,
             count(*) FILTER (WHERE product_id IS NOT NULL AND product_name IS NULL) AS product_gaps,
             count(*) FILTER (WHERE length(quality_flag) > 0) AS flagged_rows,
-            count(*) FILTER (WHERE {S.round_cents(f"{S.parse_float('quantity')} * {S.parse_float('unit_price')}")}
+            count(*) FILTER (WHERE {S.round_cents(f"{S.to_number('quantity')} * {S.to_number('unit_price')}")}
                              IS DISTINCT FROM gross_revenue) AS revenue_mismatch FROM clean_master"""),
         "errors_summary": wc(f"""WITH_REG AS (SELECT 1) SELECT r.check_id, g.layer, g.severity, g.cleaning_action,
               r.found_raw, COALESCE(c.n, 0) AS remaining_after_clean
@@ -524,7 +738,7 @@ def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
             JOIN (SELECT * FROM (VALUES {reg}) t(check_id, layer, severity, cleaning_action)) g ON r.check_id = g.check_id
             LEFT JOIN (SELECT check_id, count(*) AS n FROM c2_findings GROUP BY check_id) c ON r.check_id = c.check_id
             UNION ALL SELECT 'TOTAL', '', '', '', (SELECT count(*) FROM findings),
-              (SELECT count(*) FROM c2_findings WHERE check_id IN (SELECT check_id FROM findings))""")
+              (SELECT count(*) FROM c2_findings)""")
         .replace("WITH_REG AS (SELECT 1) ", ""),
         "findings_per_check": wc("SELECT check_id, cleaning_action, count(*) AS found FROM findings "
                                  "GROUP BY check_id, cleaning_action"),
@@ -551,6 +765,50 @@ def _report_sql(rules: Rules, wc, cols: str) -> dict[str, str]:
     }
 
 
+def _tamper(base: list[str], o: Oracle, replaced: str) -> list[str]:
+    src = {"sales": "tsales", "customers": "icustomers", "products": "iproducts", "targets": "targets"}
+    return base + [f"tsales AS (SELECT * REPLACE ({replaced}) FROM isales)"] + o.finding_ctes(src, "t_")
+
+
+def _self_check_sql(rules: Rules) -> str:
+    b, plan = rules.business, IJ.InjectionPlan()
+    num = S.parse_float
+    tests = {
+        "SCH_002": f"sale_date IS NOT NULL AND NOT COALESCE({S.is_iso('sale_date')}, false)",
+        "COM_001": "customer_id IS NULL", "COM_002": "product_id IS NULL", "COM_003": "sale_date IS NULL",
+        "REL_001": "customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM icustomers WHERE customer_id IS NOT NULL)",
+        "REL_002": "product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM iproducts WHERE product_id IS NOT NULL)",
+        "REL_003": "product_id IN (SELECT product_id FROM iproducts GROUP BY product_id HAVING NOT bool_or(active_status = 'active'))",
+        "BIZ_001": f"{num('quantity')} < {float(b['min_quantity'])}", "BIZ_002": f"{num('unit_price')} < {float(b['min_unit_price'])}",
+        "BIZ_003": f"NOT ({num('discount')} BETWEEN 0 AND {float(b['max_discount'])})",
+        "BIZ_004": f"{S.parse_date('sale_date')} > DATE {S.q(rules.audit_date)}",
+        "BIZ_005": f"region NOT IN ({', '.join(map(S.q, rules.allowed['regions']))})",
+        "BIZ_006": f"sales_channel NOT IN ({', '.join(map(S.q, rules.allowed['sales_channels']))})",
+        "BIZ_007": f"{num('quantity')} >= {IJ.OUTLIER_FROM}",
+    }
+    rows = [f"SELECT {S.q(k)} AS error_class, count(*) FILTER (WHERE {v}) AS in_data FROM isales" for k, v in tests.items()]
+    rows += ["SELECT 'COM_004', count(*) * 2 - count(quantity) - count(unit_price) FROM isales",
+             "SELECT 'COM_005', count(*) * 3 - count(discount) - count(region) - count(sales_channel) FROM isales"]
+    rates = {**{k: ("sales", v) for k, v in plan.rates.items()},
+             "UNI_002": ("customers", plan.master_rates["UNI_002"]), "UNI_003": ("products", plan.master_rates["UNI_003"])}
+    totals = []
+    for t, key, cid, more in (("sales", "sale_id", "UNI_001", 0), ("customers", "customer_id", "UNI_002", 0),
+                              ("products", "product_id", "UNI_003", IJ.N_INACTIVE)):
+        rows += [f"SELECT {S.q(cid)}, (SELECT count(*) - count(DISTINCT {key}) FROM i{t}) "
+                 f"- (SELECT count(*) - count(DISTINCT {key}) FROM {t})",
+                 f"SELECT 'ROWS_{t}', (SELECT count(*) FROM i{t})"]
+        totals.append(f"SELECT 'ROWS_{t}', (SELECT count(*) FROM {t}) + {more} + "
+                      f"(SELECT count(*) FROM imanifest WHERE error_class = {S.q(cid)})")
+    planned = " UNION ALL ".join(f"SELECT {S.q(k)} AS error_class, (SELECT count(*) FROM {t}) * {v} / {IJ.BUCKETS} AS planned"
+                                 for k, (t, v) in rates.items())
+    logged = "SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class UNION ALL " + " UNION ALL ".join(totals)
+    return f"""SELECT x.error_class, CAST(x.in_data AS BIGINT) AS in_data, COALESCE(m.n, 0) AS in_manifest, p.planned,
+          CASE WHEN x.in_data = COALESCE(m.n, 0) AND (p.planned IS NULL
+            OR abs(COALESCE(m.n, 0) - p.planned) <= 4 * sqrt(p.planned) + 3) THEN 'OK' ELSE 'MISMATCH' END AS status
+        FROM ({' UNION ALL '.join(rows)}) x LEFT JOIN ({logged}) m ON m.error_class = x.error_class
+        LEFT JOIN ({planned}) p ON p.error_class = x.error_class"""
+
+
 def _inject_sql(cols: str) -> dict[str, str]:
     irules = Rules(audit_date=IJ.INJECT_AUDIT_DATE).with_overrides(date_min=IJ.INJECT_DATE_MIN)
     io = Oracle(irules)
@@ -562,17 +820,20 @@ def _inject_sql(cols: str) -> dict[str, str]:
     e = """SELECT "table", row_ref, error_class AS check_id FROM iexpected"""
     d = """SELECT "table", row_ref, check_id FROM i_findings"""
     bsrc = {t: t for t in ("sales", "customers", "products", "targets")}
+    t = """SELECT "table", row_ref, check_id FROM t_findings"""
+    both = f"""SELECT *, 'missed' AS kind FROM ({e} EXCEPT ALL {t}) UNION ALL
+        SELECT *, 'unexpected' AS kind FROM ({t} EXCEPT ALL {e})"""
     return {
         "inject_manifest": wi('SELECT "table", row_ref, error_class, "column", detail FROM imanifest'),
         "inject_counts": wi("SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class"),
-        "inject_self_check": wi("""SELECT x.error_class, x.in_data, COALESCE(m.n, 0) AS in_manifest,
-              CASE WHEN x.in_data = COALESCE(m.n, 0) THEN 'OK' ELSE 'MISMATCH' END AS status
-            FROM (SELECT 'COM_001' AS error_class, count(*) FILTER (WHERE customer_id IS NULL) AS in_data FROM isales
-              UNION ALL SELECT 'REL_001', count(*) FILTER (WHERE customer_id IS NOT NULL AND NOT EXISTS (
-                SELECT 1 FROM icustomers c WHERE c.customer_id = isales.customer_id)) FROM isales
-              UNION ALL SELECT 'UNI_001', count(*) - count(DISTINCT sale_id) FROM isales) x
-            LEFT JOIN (SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class) m
-              ON x.error_class = m.error_class"""),
+        "inject_self_check": wi(_self_check_sql(irules)),
+        "manifest_scan": wi('SELECT "table", row_ref, error_class, "column", detail FROM imanifest'),
+        "detect_repaired": Oracle.with_(_tamper(base, io, """CASE WHEN _row_id = (SELECT min(_row_id) FROM isales s
+              WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM icustomers c WHERE c.customer_id = s.customer_id))
+              THEN (SELECT min(customer_id) FROM icustomers) ELSE customer_id END AS customer_id"""), both),
+        "detect_added": Oracle.with_(_tamper(base, io, """CASE WHEN _row_id = (SELECT min(_row_id) FROM isales s
+              WHERE sale_id IS NULL OR NOT EXISTS (SELECT 1 FROM iexpected e WHERE e."table" = 'sales' AND e.row_ref = s.sale_id))
+              THEN 'Narnia' ELSE region END AS region"""), both),
         "inject_dirty_sales": wi(f"SELECT {', '.join(SALES_COLUMNS)}, _row_id FROM isales"),
         "detect_summary": wi(f"""SELECT *, CASE WHEN missed = 0 AND unexpected = 0 AND matched = expected
               THEN 'VERIFIED' ELSE 'FAILED' END AS verdict FROM (SELECT

@@ -23,8 +23,10 @@ def _ref(table: str) -> str:
     return f"COALESCE({PRIMARY_KEY[table]}, 'row:' || CAST(_row_id AS VARCHAR))"
 
 
-def fixture_ctes(clean: bool = False) -> list[str]:
-    cols = FX.SALES_COLUMNS
+def fixture_ctes(clean: bool = False, extended: bool = False) -> list[str]:
+    cols = FX.sales_columns(extended)
+    x = lambda text: text if extended else ""
+    twice = ", ".join(str(n) for n in [41, 42] + (FX.EXTRA_DOUBLED if extended else []))
     nulls = lambda cs: ", ".join(f"NULLIF({c}, '') AS {c}" for c in cs)
     iso = "strftime(d, '%Y-%m-%d')"
     v = lambda c: f"CAST({c} AS VARCHAR)"
@@ -37,7 +39,7 @@ def fixture_ctes(clean: bool = False) -> list[str]:
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
           JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
           JOIN region r ON n.n_regionkey = r.r_regionkey JOIN part p ON l.l_partkey = p.p_partkey)""",
-        """li2 AS (SELECT *, 0 AS copy_no FROM li UNION ALL SELECT *, 1 AS copy_no FROM li WHERE slot IN (41, 42))""",
+        f"""li2 AS (SELECT *, 0 AS copy_no FROM li UNION ALL SELECT *, 1 AS copy_no FROM li WHERE slot IN ({twice}))""",
         f"""sales_txt AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, copy_no,
           CASE WHEN slot = 40 THEN '' ELSE 'S-' || {v('l_orderkey')} || '-' || {v('l_linenumber')} || '-'
                || {v('l_partkey')} || '-' || {v('l_suppkey')} END AS sale_id,
@@ -49,23 +51,27 @@ def fixture_ctes(clean: bool = False) -> list[str]:
                ELSE 'C-' || {v('o_custkey')} END AS customer_id,
           CASE WHEN slot = 10 THEN '' WHEN slot = 11 THEN 'P-' || {v('l_partkey + 90000000')}
                ELSE 'P-' || {v('l_partkey')} END AS product_id,
-          CASE WHEN slot IN (12, 30) THEN '-5' WHEN slot = 13 THEN {v('l_linenumber + 400')}
+          CASE {x("WHEN slot = 44 THEN '1_000'")} WHEN slot IN (12, 30) THEN '-5' WHEN slot = 13 THEN {v('l_linenumber + 400')}
                WHEN slot = 14 THEN '' WHEN slot = 15 THEN 'abc'
                ELSE {v('CAST(l_quantity AS BIGINT)')} END AS quantity,
           CASE WHEN slot = 16 THEN '' WHEN slot IN (17, 30) THEN '-12.50'
                ELSE {v('CAST(p_retailprice AS DECIMAL(12,2))')} END AS unit_price,
-          CASE WHEN slot = 18 THEN '' WHEN slot = 19 THEN '-0.1' WHEN slot IN (20, 31) THEN '0.75'
+          CASE {x("WHEN slot = 43 THEN 'nan' WHEN slot = 45 AND copy_no = 0 THEN '' WHEN slot = 45 THEN '0.9'")}
+               WHEN slot = 18 THEN '' WHEN slot = 19 THEN '-0.1' WHEN slot IN (20, 31) THEN '0.75'
                WHEN slot = 21 THEN '0,5' ELSE {v('CAST(l_discount AS DECIMAL(6,2))')} END AS discount,
-          CASE WHEN slot = 22 THEN '' WHEN slot = 23 THEN 'NORTH ' WHEN slot = 24 THEN 'Sued'
+          CASE {x("WHEN slot IN (46, 47) THEN 'Norden' WHEN slot = 49 THEN 'NORD '")}
+               WHEN slot = 22 THEN '' WHEN slot = 23 THEN 'NORTH ' WHEN slot = 24 THEN 'Sued'
                WHEN slot IN (25, 32) THEN 'Atlantis' WHEN slot = 42 AND copy_no = 1 THEN 'Atlantis'
                WHEN r_name = 'AFRICA' THEN 'North' WHEN r_name = 'AMERICA' THEN 'South'
                WHEN r_name = 'ASIA' THEN 'East' WHEN r_name = 'EUROPE' THEN 'West' ELSE 'Central' END AS region,
           CASE WHEN slot = 26 THEN '' WHEN slot = 27 THEN 'Webshop' WHEN slot = 28 THEN 'STORE '
                WHEN slot = 29 THEN 'fax' WHEN l_returnflag = 'A' THEN 'online'
                WHEN l_returnflag = 'N' THEN 'retail' WHEN l_returnflag = 'R' THEN 'partner' END AS sales_channel
+          {x(f", 'note ' || {v('l_orderkey')} AS order_note, CASE WHEN slot = 50 THEN strftime(d, '%d.%m.%Y') "
+             f"WHEN slot = 51 THEN 'garbage' ELSE {iso} END AS ship_date")}
           FROM li2)""",
         f"""sales AS (SELECT {nulls(cols)}, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey,
-            l_suppkey, copy_no, {', '.join(cols)}) - 1 AS _row_id FROM sales_txt)""",
+            l_suppkey, copy_no, {', '.join(FX.SALES_COLUMNS)}) - 1 AS _row_id FROM sales_txt)""",
         """cu AS (SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name FROM customer c
             JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
         f"""cu2 AS (SELECT *, 0 AS copy_no FROM cu UNION ALL SELECT *, 1 AS copy_no FROM cu
@@ -109,8 +115,9 @@ class Oracle:
     (raw pass: the fixture CTEs; second pass: the cleaned CTEs).
     """
 
-    def __init__(self, rules: Rules):
-        self.rules = rules
+    def __init__(self, rules: Rules, extended: bool = False):
+        self.rules, self.extended = rules, extended
+        self.columns = FX.sales_columns(extended)
 
     # ---------------------------------------------------------------- findings
     def finding_ctes(self, src: dict[str, str], prefix: str) -> list[str]:
@@ -234,12 +241,12 @@ class Oracle:
         return ctes
 
     def base(self) -> list[str]:
-        return fixture_ctes() + self.finding_ctes(
+        return fixture_ctes(extended=self.extended) + self.finding_ctes(
             {t: t for t in TABLES}, prefix="")
 
     @staticmethod
     def with_(ctes: list[str], body: str) -> str:
-        return "WITH " + ",\n".join(ctes) + "\n" + body
+        return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body
 
 
 def _cell_case(cols: list[str], alias: str = "s") -> str:
@@ -256,12 +263,14 @@ def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> lis
     r = o.rules
     b = r.business
     max_d = float(b["max_discount"])
-    cols = FX.SALES_COLUMNS
-    d = S.parse_float("va")
+    cols = o.columns
+    extra = "".join(f", s.{c}" for c in cols if c not in FX.SALES_COLUMNS)
+    d = S.parse_float("v")
     clip = (f"{S.fmt_g(f'CASE WHEN {d} IS NULL THEN 0.0::DOUBLE WHEN isnan({d}) THEN {d} '
                        f'ELSE least(greatest({d}, 0.0::DOUBLE), {max_d}::DOUBLE) END')}")
-    reg = S.map_case(r.region_synonyms(), S.norm_key("va"))
-    chan = S.map_case(r.channel_synonyms(), S.norm_key("va"))
+    reg = S.map_case(r.region_synonyms(), S.norm_key("COALESCE(v, 'nan')"))
+    chan = S.map_case(r.channel_synonyms(), S.norm_key("COALESCE(v, 'nan')"))
+    repair = f"CASE check_id WHEN 'BIZ_003' THEN {clip} WHEN 'BIZ_005' THEN {reg} WHEN 'BIZ_006' THEN {chan} END"
     note = (f"CASE check_id WHEN 'SCH_002' THEN 'date normalised to ISO 8601' "
             f"WHEN 'BIZ_003' THEN {Q('discount clipped to [0, ' + fmt_g(max_d) + ']')} "
             f"WHEN 'BIZ_005' THEN 'region mapped' WHEN 'BIZ_006' THEN 'channel mapped' END")
@@ -269,7 +278,7 @@ def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> lis
     kept_cols = ", ".join(
         f"COALESCE((SELECT final FROM {p}cell_final c WHERE c.tgt = s._row_id AND c.\"column\" = {Q(c)}), s.{c}) AS {c}"
         for c in cols)
-    gross = S.round_cents(f"{S.parse_float('s.quantity')} * {S.parse_float('s.unit_price')}")
+    gross = S.round_cents(f"{S.to_number('s.quantity')} * {S.to_number('s.unit_price')}")
     return [
         f"""{p}sv AS (SELECT * EXCLUDE (_k) FROM (SELECT *, CASE WHEN sale_id IS NULL THEN 1
              ELSE row_number() OVER (PARTITION BY sale_id ORDER BY _row_id) END AS _k FROM {S_}) WHERE _k = 1)""",
@@ -283,21 +292,30 @@ def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> lis
              s._row_id AS tgt, {_cell_case(cols)} AS v0
              FROM {F_} f JOIN {p}sv s ON s.sale_id = f.row_ref
              WHERE f."table" = 'sales' AND f.check_id <> 'UNI_001')""",
-        f"""{p}fx AS (SELECT *, row_number() OVER (PARTITION BY tgt, "column", check_id ORDER BY _seq) AS k,
+        f"""{p}fx AS (SELECT *, row_number() OVER (PARTITION BY tgt, "column", check_id = 'SCH_002' ORDER BY _seq) AS k,
              bool_or(check_id = 'SCH_002') OVER (PARTITION BY tgt, "column") AS has_date,
              bool_or(check_id <> 'SCH_002') OVER (PARTITION BY tgt, "column") AS has_biz,
              strftime({S.parse_date('v0')}, '%Y-%m-%d') AS dval
              FROM {p}rr WHERE cleaning_action = 'FIX')""",
         f"""{p}fx2 AS (SELECT *, CASE WHEN has_date AND dval IS NOT NULL THEN dval ELSE v0 END AS va FROM {p}fx)""",
-        f"""{p}fx3 AS (SELECT *, CASE check_id WHEN 'BIZ_003' THEN {clip} WHEN 'BIZ_005' THEN {reg}
-             WHEN 'BIZ_006' THEN {chan} END AS bval FROM {p}fx2)""",
-        f"""{p}fx4 AS (SELECT *, max(bval) OVER (PARTITION BY tgt, "column") AS cell_bval FROM {p}fx3)""",
+        # business repairs of a cell one after the other: each reads what the one before left
+        f"""{p}step(tgt, "column", check_id, k, v, bval) AS (
+             SELECT tgt, "column", check_id, k, v, {repair} FROM (SELECT *, va AS v FROM {p}fx2
+               WHERE k = 1 AND check_id <> 'SCH_002')
+             UNION ALL
+             SELECT tgt, "column", check_id, k, v, {repair} FROM (SELECT n.tgt, n."column", n.check_id, n.k,
+               COALESCE(b.bval, b.v) AS v FROM {p}step b JOIN {p}fx2 n ON n.tgt = b.tgt AND n."column" = b."column"
+               AND n.check_id <> 'SCH_002' AND n.k = b.k + 1))""",
+        f"""{p}fx4 AS (SELECT f.*, s.v AS bfrom, s.bval AS bval FROM {p}fx2 f LEFT JOIN {p}step s
+             ON f.check_id <> 'SCH_002' AND s.tgt = f.tgt AND s."column" = f."column" AND s.k = f.k)""",
+        f"""{p}cell_last AS (SELECT tgt, "column", arg_max(COALESCE(bval, v), k) AS final FROM {p}step
+             GROUP BY tgt, "column")""",
         f"""{p}outcomes AS (
              SELECT tgt, check_id, row_ref, "column", invalid_value, _seq,
                CASE WHEN (check_id = 'SCH_002' AND dval IS NOT NULL) OR (check_id <> 'SCH_002' AND bval IS NOT NULL)
                     THEN 'FIX' ELSE 'ESCALATED' END AS outcome,
-               CASE WHEN check_id = 'SCH_002' THEN (CASE WHEN k = 1 THEN v0 ELSE dval END)
-                    ELSE (CASE WHEN k = 1 THEN va ELSE bval END) END AS orig,
+               COALESCE(CASE WHEN check_id = 'SCH_002' THEN (CASE WHEN k = 1 THEN v0 ELSE dval END)
+                    ELSE bfrom END, 'nan') AS orig,
                CASE WHEN check_id = 'SCH_002' THEN dval ELSE bval END AS fixed
              FROM {p}fx4
              UNION ALL
@@ -312,8 +330,9 @@ def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> lis
         f"""{p}dropped_rows AS (SELECT DISTINCT tgt FROM {p}outcomes WHERE outcome IN ('DROP', 'ESCALATED'))""",
         f"""{p}flag_rows AS (SELECT tgt, string_agg(check_id, ';' ORDER BY _seq) AS quality_flag FROM {p}outcomes
              WHERE outcome = 'FLAG' OR (outcome = 'FIX' AND check_id = 'BIZ_003') GROUP BY tgt)""",
-        f"""{p}cell_final AS (SELECT DISTINCT tgt, "column",
-             CASE WHEN has_biz THEN COALESCE(cell_bval, va) ELSE va END AS final FROM {p}fx4)""",
+        f"""{p}cell_final AS (SELECT DISTINCT f.tgt, f."column",
+             CASE WHEN has_biz THEN l.final ELSE va END AS final FROM {p}fx4 f
+             LEFT JOIN {p}cell_last l ON l.tgt = f.tgt AND l."column" = f."column")""",
         f"""{p}cs_raw AS (SELECT {kept_cols}, COALESCE(fl.quality_flag, '') AS quality_flag, s._row_id AS _old
              FROM {p}sv s LEFT JOIN {p}flag_rows fl ON fl.tgt = s._row_id
              WHERE s._row_id NOT IN (SELECT tgt FROM {p}dropped_rows))""",
@@ -335,8 +354,8 @@ def clean_ctes(o: Oracle, src: dict[str, str] | None = None, p: str = "") -> lis
              UNION ALL SELECT 'dropped', 'UNI_003', count(*) FROM {p}pdup HAVING count(*) > 0)""",
         f"""{p}master AS (SELECT s.sale_id, s.sale_date, s.customer_id, c.customer_name, c.customer_segment,
              c.country, s.product_id, p.product_name, p.category, s.quantity, s.unit_price, s.discount, s.region,
-             s.sales_channel, {gross} AS gross_revenue, s.quality_flag, p.active_status, s._row_id,
-             COALESCE({S.parse_float('s.discount')}, 0.0::DOUBLE) AS _disc
+             s.sales_channel{extra}, {gross} AS gross_revenue, s.quality_flag, p.active_status, s._row_id,
+             COALESCE({S.to_number('s.discount')}, 0.0::DOUBLE) AS _disc
              FROM {p}cs s LEFT JOIN {p}cc c ON s.customer_id = c.customer_id
              LEFT JOIN {p}cp p ON s.product_id = p.product_id)""",
         f"""{p}clean_master AS (SELECT * EXCLUDE (_disc, _row_id),

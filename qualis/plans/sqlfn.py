@@ -54,6 +54,12 @@ def parse_float(x: str) -> str:
     return parse_float_stripped(f"regexp_replace({x}, '^[{FLOAT_WS_CLASS}]+|[{FLOAT_WS_CLASS}]+\\z', '', 'g')")
 
 
+def to_number(x: str) -> str:
+    """Numeric coercion: no digit separators, not-a-number is missing."""
+    f = parse_float(x)
+    return f"(CASE WHEN contains({x}, '_') OR isnan({f}) THEN NULL ELSE {f} END)"
+
+
 def fmt_g(x: str) -> str:
     """Python format(x, 'g')."""
     sci = f"printf('%.5e', abs({x}))"

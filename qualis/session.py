@@ -34,8 +34,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    runs, tests) a fresh scratch folder is created and registered.
+    A cluster names it in ``spark.checkpoint.dir``; only when it is unset in a
+    local run (tests) a fresh scratch folder is created and registered. On a
+    cluster without that setting this is an error: executors share no other folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="qualis-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -59,4 +62,28 @@ def cut(df):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/qualis-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _CUTS.append(path)
     return spark.read.parquet(path)
+
+
+_CUTS: list[str] = []
+
+
+def mark() -> int:
+    """A point in the list of cuts; ``release`` deletes what was cut after it."""
+    return len(_CUTS)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path as Spark reads it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables cut since ``mark()``: at the end of a run, when nothing reads them any more."""
+    for path in _CUTS[since:]:
+        fs, p = file_system(spark, path)
+        fs.delete(p, True)
+    del _CUTS[since:]

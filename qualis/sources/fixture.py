@@ -36,7 +36,14 @@ def _in(slot: Column, *vals: int) -> Column:
     return slot.isin(*vals)
 
 
-def sales_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+# The extended fixture: two more sales columns, and slots 43-51 for values that
+# the base fixture does not reach (see FIXTURES.md for the base slots).
+EXTRA_COLUMNS = ["order_note", "ship_date"]
+EXTRA_DOUBLED = [45, 47, 49]
+EXTRA_SYNONYMS = {"nord": "North", "norden": "nord"}
+
+
+def sales_raw(spark: SparkSession, sf_dir: str, clean: bool = False, extended: bool = False) -> DataFrame:
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     li = rd("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                "l_discount", "l_returnflag", "l_shipdate")
@@ -54,9 +61,10 @@ def sales_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFram
             + F.col("l_linenumber")) % 1000
     # clean=True: the baseline without placed defects (every slot clean).
     j = j.withColumn("slot", F.lit(-1).cast("long") if clean else slot)
-    # Slots 41 and 42 are emitted twice: copy 1 is a duplicate sale.
+    # Slots 41 and 42 (and the extended doubles) are emitted twice: copy 1 is a duplicate sale.
+    twice = [41, 42] + (EXTRA_DOUBLED if extended else [])
     rows = (j.withColumn("copy_no", F.lit(0))
-            .unionByName(j.where(F.col("slot").isin(41, 42)).withColumn("copy_no", F.lit(1))))
+            .unionByName(j.where(F.col("slot").isin(*twice)).withColumn("copy_no", F.lit(1))))
     s = F.col("slot")
     d = F.to_date("l_shipdate")
     iso = F.date_format(d, "yyyy-MM-dd")
@@ -97,14 +105,23 @@ def sales_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFram
     channel = (F.when(s == 26, "").when(s == 27, "Webshop").when(s == 28, "STORE ")
                .when(s == 29, "fax")
                .otherwise(F.when(rf == "A", "online").when(rf == "N", "retail").when(rf == "R", "partner")))
-    out = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy_no",
+    extra = []
+    if extended:
+        discount = (F.when(s == 43, "nan").when((s == 45) & (F.col("copy_no") == 0), "").when(s == 45, "0.9")
+                    .otherwise(discount))
+        quantity = F.when(s == 44, "1_000").otherwise(quantity)
+        region = F.when(_in(s, 46, 47), "Norden").when(s == 49, "NORD ").otherwise(region)
+        extra = [F.concat(F.lit("note "), ok).alias("order_note"),
+                 F.when(s == 50, F.date_format(d, "dd.MM.yyyy")).when(s == 51, "garbage").otherwise(iso)
+                 .alias("ship_date")]
+    out = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy_no", *extra,
                       sale_id.alias("sale_id"), sale_date.alias("sale_date"),
                       customer_id.alias("customer_id"), product_id.alias("product_id"),
                       quantity.alias("quantity"), unit_price.alias("unit_price"),
                       discount.alias("discount"), region.alias("region"), channel.alias("sales_channel"))
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy_no", *SALES_COLUMNS]
     seq = block_sequence(out, order, [F.floor(F.col("l_orderkey") / BLOCK_WIDTH)])
-    return seq.select(*SALES_COLUMNS, "_row_id")
+    return seq.select(*sales_columns(extended), "_row_id")
 
 
 def customers_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
@@ -166,8 +183,12 @@ def targets_raw(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFr
     return seq.select(*TARGET_COLUMNS, "_row_id")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, clean: bool = False) -> dict[str, DataFrame]:
+def sales_columns(extended: bool = False) -> list[str]:
+    return SALES_COLUMNS + (EXTRA_COLUMNS if extended else [])
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, clean: bool = False, extended: bool = False) -> dict[str, DataFrame]:
     """The four raw text tables (empty strings still present); ``clean`` gives
-    the defect-free baseline of the same rows."""
-    return {"sales": sales_raw(spark, sf_dir, clean), "customers": customers_raw(spark, sf_dir, clean),
+    the defect-free baseline of the same rows, ``extended`` more columns and cases."""
+    return {"sales": sales_raw(spark, sf_dir, clean, extended), "customers": customers_raw(spark, sf_dir, clean),
             "products": products_raw(spark, sf_dir, clean), "targets": targets_raw(spark, sf_dir, clean)}

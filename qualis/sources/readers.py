@@ -7,12 +7,15 @@ formats whose reader used to treat ``NA`` and friends as missing).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from qualis.session import file_system
 from qualis.sources import fixture as FX
-from qualis.sources.rowindex import block_sequence
 
 
 class DataLoadError(RuntimeError):
@@ -34,51 +37,130 @@ def all_text_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+HEADER_BYTES = 1 << 16
+
+
+def headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """(file, columns array<string>): the header record of every text file under
+    ``path``, quotes respected. Only the first bytes of a file are read where the
+    store can be opened by byte range; else the first record of its first split."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    if _opens_ranges(path):
+        return files.mapInArrow(_first_records(sep), "file string, columns array<string>")
+    lines = spark.read.text(path, recursiveFileLookup=True).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+    first = lines.where("_blk = 0").groupBy("file").agg(F.min_by("value", "_mid").alias("value"))
+    return first.select("file", split_record("value", sep).alias("columns"))
+
+
+def split_record(col: str, sep: str = ",") -> Column:
+    """The fields of one CSV record: a quoted field may hold the separator."""
+    q = re.escape(sep)
+    parts = F.regexp_extract_all(F.col(col), F.lit(f'(?:^|{q})("(?:[^"]|"")*"|[^{q}]*)'), F.lit(1))
+    return F.transform(parts, lambda x: F.when(
+        x.startswith('"'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def _opens_ranges(path: str) -> bool:
+    from pyarrow import fs
+    try:
+        fs.FileSystem.from_uri(_arrow_uri(path))
+        return True
+    except Exception:  # noqa: BLE001 - any store that pyarrow cannot open takes the scan
+        return False
+
+
+def _arrow_uri(path: str) -> str:
+    return "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path.replace("s3a://", "s3://", 1)
+
+
+def _first_records(sep: str):
+    def run(batches):
+        import csv
+        import io
+
+        import pyarrow as pa
+        from pyarrow import fs
+        for b in batches:
+            cols = []
+            for name in b.column(0).to_pylist():
+                store, at = fs.FileSystem.from_uri(_arrow_uri(unquote(name) if name.startswith("file:") else name))
+                with store.open_input_stream(at) as f:
+                    head = f.read(HEADER_BYTES).decode("utf-8-sig", "replace")
+                cols.append(next(csv.reader(io.StringIO(head, newline=""), delimiter=sep), []))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols, pa.list_(pa.string()))], ["file", "columns"])
+    return run
+
+
+def read_csv_text(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True,
+                  sep: str = ",") -> DataFrame:
     """IO1: header CSV, doubled-quote escaping, every column text, no NA tokens.
 
-    The row position comes from the file: (file path, byte offset of the split,
-    id inside the split) taken directly after the scan.
-    """
-    df = (spark.read.schema(all_text_schema(columns)).option("header", True)
-          .option("escape", '"').option("emptyValue", "")
-          # raw stays raw: no trimming of cell text
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .csv(path))
-    return df
+    Columns are bound *by header name*: files are grouped by their header, every
+    group is read with its own header as schema (and checked against it), and the
+    groups are united by name. Columns that a file lacks are NULL, columns beyond
+    ``columns`` are kept. ``multi_line`` allows line breaks in quoted cells; such
+    files are not split, so turn it off for large files without them.
+
+    ``_file``, ``_blk`` and ``_mid`` hold the place of a row: file, start of its
+    split, id inside the scan (for ``with_text_positions``)."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in headers(spark, path, sep).collect():  # one row per file, as Spark's own file listing
+        groups.setdefault(tuple(r["columns"]), []).append(r["file"])
+    out = None
+    for head, files in sorted(groups.items()):
+        df = (spark.read.schema(all_text_schema(list(head))).option("header", True).option("enforceSchema", False)
+              .option("sep", sep).option("escape", '"').option("emptyValue", "").option("multiLine", multi_line)
+              # raw stays raw: no trimming of cell text
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .csv([unquote(f) for f in files]))
+        df = df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in head],
+                       F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise DataLoadError(f"no file under {path}")
+    absent = [c for c in columns if c not in out.columns]
+    out = out.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else out
+    rest = [c for c in out.columns if c not in columns]
+    return out.select(*columns, *["`" + c.replace("`", "``") + "`" for c in rest])
 
 
 def with_text_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
-    """IO5 for text formats (CSV/JSON lines): dense position in file order.
-
-    Taken directly after the scan: (file path, start of the split, id inside
-    the split). Splits are ranked per (file, split) - bounded by the split
-    size - and shifted by the rows of all earlier splits; the data is neither
-    sorted globally nor collected.
-    """
-    scanned = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                        F.col("_metadata.file_block_start").alias("_blk"),
-                        F.monotonically_increasing_id().alias("_mid"))
-    return (block_sequence(scanned, ["_file", "_blk", "_mid"], [F.col("_file"), F.col("_blk")], out=out)
-            .drop("_file", "_blk", "_mid"))
+    """IO5 for text formats: dense position in file order, without moving the data.
+
+    A row's place in its split is its scan id minus the split's smallest one;
+    one row per split is aggregated, ranked and joined back."""
+    if "_mid" not in df.columns:
+        df = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+    splits = df.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_fn"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    files = files.select("_file", F.coalesce(F.sum("_fn").over(before), F.lit(0)).alias("_fo"))
+    inside = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.join(files, "_file").select(
+        "_file", "_blk", (F.col("_fo") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) - F.col("_m0")).alias("_off"))
+    return df.join(splits, ["_file", "_blk"]).withColumn(out, F.col("_mid") + F.col("_off")) \
+        .drop("_file", "_blk", "_mid", "_off")
 
 
 def header_problems(spark: SparkSession, path: str, required: list[str], sep: str = ",") -> DataFrame:
     """P1/SCH_001 for many-file landings: (file, missing column) for every file
     whose own header lacks a required column. Empty = the gate passes."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
-    first = (lines.where(F.col("_blk") == 0).groupBy("file")
-             .agg(F.min_by("value", "_mid").alias("header")))
     req = F.array(*[F.lit(c) for c in required])
-    return (first.select("file", F.explode(F.array_except(req, F.split("header", sep))).alias("missing_column")))
+    return headers(spark, path, sep).select("file", F.explode(F.array_except(req, "columns")).alias("missing_column"))
 
 
 def read_any_text(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """IO2: typed formats (parquet/orc/json) cast to text on read."""
+    """IO2: typed formats (parquet/orc/json) cast to text on read; a ``_row_id``
+    that the table brings stays a number, else parquet rows get file positions."""
     df = spark.read.format(fmt).load(path)
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    if "_row_id" not in df.columns and fmt == "parquet":
+        df = with_file_positions(df)
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("long" if c == "_row_id" else "string").alias(c)
+                       for c in df.columns])
 
 
 def with_file_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
@@ -90,20 +172,26 @@ def with_file_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
     meta = df.select("*", F.col("_metadata.file_path").alias("_file"),
                      F.col("_metadata.row_index").alias("_ri"))
     per_file = meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
     w = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     return meta.join(offsets, "_file").withColumn(out, F.col("_off") + F.col("_ri")).drop("_file", "_ri", "_off")
 
 
+def missing_inputs(spark: SparkSession, landing: str, expected: dict[str, str]) -> list[str]:
+    """IO4: expected input names (files or table folders) that the landing lacks."""
+    out = []
+    for name in expected.values():
+        fs, p = file_system(spark, f"{landing.rstrip('/')}/{name}")
+        if not fs.exists(p):
+            out.append(name)
+    return sorted(out)
+
+
 def assert_inputs_present(spark: SparkSession, landing: str, expected: dict[str, str]) -> None:
-    """IO4: compare expected input names with the listing; raise with all missing."""
-    names = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
-             .select(F.element_at(F.split("path", "/"), -1).alias("name")).distinct())
-    exp = spark.createDataFrame([(t, n) for t, n in expected.items()], "table string, name string")
-    missing = [r.name for r in exp.join(names, "name", "left_anti").select("name").collect()]
-    if missing:
-        raise DataLoadError(f"Missing input file(s) in {landing}: " + ", ".join(sorted(missing)))
+    """IO4 as a gate: one error that names every missing input."""
+    gone = missing_inputs(spark, landing, expected)
+    if gone:
+        raise DataLoadError(f"the landing {landing} is incomplete, not found: {', '.join(gone)}")
 
 
 MANIFEST_SCHEMA = ("seed long, generated_for string, scope_note string, total_injected_errors long, "
@@ -120,16 +208,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     Accepts the nested single-document form (header + ``errors[]``, as small
     single-machine tools write it) and the scalable layout of
     ``sinks.write_manifest`` (a folder with ``errors/`` as JSON lines)."""
-    import os
-    if os.path.isdir(path) and os.path.isdir(os.path.join(path, "errors")):
-        return spark.read.schema(ERROR_SCHEMA).json(os.path.join(path, "errors"))
+    fs, p = file_system(spark, f"{path.rstrip('/')}/errors")
+    if fs.exists(p):
+        return spark.read.schema(ERROR_SCHEMA).json(f"{path.rstrip('/')}/errors")
     m = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
     return m.select(F.explode("errors").alias("e")).select("e.*")
 
 
-def load_fixture(spark: SparkSession, sf_dir: str, clean: bool = False) -> dict[str, DataFrame]:
+def load_fixture(spark: SparkSession, sf_dir: str, clean: bool = False, extended: bool = False) -> dict[str, DataFrame]:
     """The dirty fixture tables as the engine sees them (text, '' -> NULL)."""
-    return {t: empty_to_null(df) for t, df in FX.raw_tables(spark, sf_dir, clean).items()}
+    return {t: empty_to_null(df) for t, df in FX.raw_tables(spark, sf_dir, clean, extended).items()}
 
 
 def read_landing(spark: SparkSession, landing: str) -> dict[str, DataFrame]:

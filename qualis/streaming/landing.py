@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from qualis.operators import findings as FD
 from qualis.rules import Rules
+from qualis.session import mark, release
 from qualis.sources.fixture import SALES_COLUMNS
 from qualis.sources.readers import empty_to_null
 from qualis.sources.rowindex import block_sequence
@@ -34,10 +35,12 @@ def audit_landing(spark: SparkSession, landing: str, masters: dict[str, DataFram
         # file order inside the drop: (file, row index); blocks = row ranges of a file
         sales = block_sequence(batch, ["_file", "_ri"],
                                [F.col("_file"), F.floor(F.col("_ri") / 65536)]).drop("_file", "_ri")
+        since = mark()
         tables = {"sales": empty_to_null(sales), **masters}
         f = FD.report(FD.findings(tables, rules)).withColumn("batch_id", F.lit(batch_id))
         (f.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(findings_path))
+        release(spark, since)  # a stream must not pile up its batches' intermediate tables
 
     w = stream.writeStream.foreachBatch(audit_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

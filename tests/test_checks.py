@@ -87,14 +87,14 @@ def test_master_findings(found):
     assert _one(found, "REL_001")["row_ref"] == "S-4"
 
 
-def test_approx_median_is_opt_in(spark):
-    import copy
+@pytest.mark.parametrize("values", [
+    ["1", "2", "3", "10"], ["5"], ["2", "2", "2", "9"], ["0.1", "1e300", "7", "7.5", "inf"], ["inf", "inf"],
+    ["-3", "nan", "abc", "4", "6"], ["abc", "0"], [str(i * 0.37) for i in range(1, 500)]])
+def test_median_is_exact(spark, values):
+    import statistics
     from qualis.operators.checks import quantity_threshold
-    from qualis.rules import DEFAULT_CONFIG
-    t = tables(spark, [sale(f"S-{i}", qty=str(q)) for i, q in enumerate([1, 2, 3, 10])])
-    exact = quantity_threshold(t["sales"], RULES).first()
-    assert exact._median == 2.5 and exact._thr == 25.0
-    cfg = copy.deepcopy(DEFAULT_CONFIG)
-    cfg["engine"] = {"approx_median_accuracy": 10000}
-    approx = quantity_threshold(t["sales"], Rules(cfg, audit_date="2024-06-30")).first()
-    assert approx._median in (2.0, 3.0)
+    from qualis.rules import Rules as R
+    t = tables(spark, [sale(f"S-{i}", qty=q) for i, q in enumerate(values)])
+    nums = [float(v) for v in values if v != "abc" and float(v) > 0]
+    median, threshold = quantity_threshold(t["sales"], R(audit_date="2024-06-30"))
+    assert median == (statistics.median(nums) if nums else 0.0) and threshold == median * 10
