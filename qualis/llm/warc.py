@@ -238,7 +238,7 @@ def lookup(blocks: DataFrame, keys: DataFrame) -> DataFrame:
                             out[n].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=_CAPTURE)
 
-    return blocks.join(groups, ["first", "last"]).select("data", "keys").mapInArrow(search, _CAPTURE_SQL)
+    return cut(blocks.join(groups, ["first", "last"]).select("data", "keys").mapInArrow(search, _CAPTURE_SQL))
 
 
 def fetch(captures: DataFrame, folder: str) -> DataFrame:
@@ -273,8 +273,11 @@ def fetch(captures: DataFrame, folder: str) -> DataFrame:
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                         ("payload", pa.binary())])
+    # the rows are few but stand for many bytes: a fixed number of tasks by bytes to read
+    total = captures.agg(F.sum("size")).first()[0] or 0
+    parts = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 * NEAR)))
     near = F.floor(F.col("start") / NEAR)
-    return captures.repartition("file", near).sortWithinPartitions("file", "start").select("file", "start", "size") \
+    return captures.repartition(parts, "file", near).sortWithinPartitions("file", "start").select("file", "start", "size") \
         .mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
                          "payload_digest string, payload binary")
 
