@@ -15,8 +15,9 @@ Bands of ``ROWS`` signature values put representatives into buckets.  Each
 representative is first checked against the smallest representative of its
 buckets (one link each at most, never all pairs); components of the confirmed
 links are formed by union-find.  Buckets whose members then still lie in
-several components are compared exactly, in blocks: a block pair is one group
-of bounded size, it holds the whole shingle sets, skips pairs that are already
+several components are compared exactly, in blocks: the bucket's largest
+component meets only the members outside it, a block pair is one group of
+bounded size, it holds the whole shingle sets, skips pairs that are already
 connected and emits only the links that join components.  All links are
 confirmed on the full sets (``100 * inter >= 75 * union``).
 
@@ -173,15 +174,25 @@ def link(docs: DataFrame) -> DataFrame:
     placed = cut(members.select("bucket", "rep", "size").join(
         comps.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
         .select("bucket", "rep", F.coalesce("comp", "rep").alias("comp")))
-    mixed = cut(placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                             F.count(F.lit(1)).alias("n")).where("c0 < c1")
-                .withColumn("blocks", F.ceil(F.col("n") / BLOCK)))
-    rest = placed.join(mixed.select("bucket", "blocks"), "bucket") \
-        .withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
-    # every member goes to the block pairs that hold its own block
-    dealt = (rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("rep", "comp", F.col("own").alias("side"),
-                     F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"))
+    # buckets of several components: the largest one is the major, pairs inside it are settled
+    mixed = cut(placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+                .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+                .where("kinds > 1")
+                .select("bucket", F.col("top.comp").alias("major"), F.ceil(F.col("top.n") / BLOCK).alias("majors"),
+                        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("minors")))
+    rest = placed.join(mixed, "bucket").withColumn(
+        "own", F.pmod(F.xxhash64("rep"), F.when(F.col("comp") == F.col("major"), F.col("majors")).otherwise(F.col("minors"))))
+
+    def cells(kind: str, blocks: str, low, high, side):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1), lambda k: F.struct(
+            F.xxhash64(F.col("bucket"), F.lit(kind), low(k), high(k)).alias("cell"), side.alias("side")))
+
+    own, other = F.col("own"), F.lit(-1).cast("long")
+    # a major block meets every minor block, minor blocks meet each other: no row is doubled by the major's size
+    goes = F.when(F.col("comp") == F.col("major"), cells("major", "minors", lambda k: k, lambda k: own, other)).otherwise(
+        F.concat(cells("major", "majors", lambda k: own, lambda k: k, own),
+                 cells("minor", "minors", lambda k: F.least(own, k), lambda k: F.greatest(own, k), own)))
+    dealt = (rest.select("rep", "comp", F.explode(goes).alias("to")).select("rep", "comp", "to.side", "to.cell")
              .join(classes.select("rep", "sig"), "rep")
              .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep"))
     more = cut(dealt.groupBy("cell").applyInArrow(_block_links, "a long, b long"))
