@@ -238,19 +238,17 @@ def _subtrees(batches):
         for url, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             host = host_of(url)
             own = Page(host).walk(source or "").keys
-            keys += own
-            hosts += [host] * len(own)
+            keys += [None, *own]  # the row without a key counts the page itself
+            hosts += [host] * (len(own) + 1)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string())], ["key", "host"])
 
 
 def template_keys(pages: DataFrame) -> DataFrame:
     """Keys of the subtrees that recur across many pages of their host."""
-    seen = pages.mapInArrow(_subtrees, "key long, host string").groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.first("host").alias("host")).where(F.col("n") >= MIN_PAGES)
-    sizes = pages.select(F.lower(F.coalesce(F.parse_url("url", F.lit("HOST")), F.lit(""))).alias("host")) \
-        .groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return seen.join(sizes, "host", "left").where(
-        F.col("n") >= F.coalesce("pages", F.lit(0)) * MIN_SHARE).select("key")
+    seen = cut(pages.mapInArrow(_subtrees, "key long, host string").groupBy("host", "key")
+               .agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= MIN_PAGES) | F.col("key").isNull()))
+    sizes = seen.where("key is null").select("host", F.col("n").alias("pages"))
+    return seen.where("key is not null").join(sizes, "host").where(F.col("n") >= F.col("pages") * MIN_SHARE).select("key")
 
 
 def _extract(template=None):
