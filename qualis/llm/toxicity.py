@@ -24,6 +24,8 @@ score is 0.0.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +40,7 @@ BUCKETS = 1 << BITS
 GRAMS = (3, 4, 5)
 DIM = 8
 WINDOW = 16
+CALIBRATE = 5  # every fifth sample row is kept from the training and sets scale and shift of the score
 PER_CLASS = 1500
 RATE, DAMP = 0.05, 1e-5  # Adam; the damping keeps rare buckets near plain gradient steps
 MOD, HELD = 5, 0
@@ -132,6 +135,7 @@ def window_peaks(scores: np.ndarray, tok: np.ndarray, width: int = WINDOW) -> tu
 
 def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict | None:
     """Joint training; ``rows`` (text, label 0/1). None without both classes."""
+    rows = sorted(rows, key=lambda r: (r[1], zlib.crc32(r[0].encode())))
     y = np.array([r[1] for r in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return None
@@ -142,7 +146,8 @@ def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict
     bias = np.zeros(2, np.float32)
     state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in (("e", emb), ("w", soft), ("b", bias))}
     length = np.diff(tok)
-    usable = np.flatnonzero(length > 0)
+    aside = np.arange(len(y)) % CALIBRATE == 0  # rows that only set the decision's scale
+    usable = np.flatnonzero((length > 0) & ~aside)
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     t = 0
     for epoch in range(epochs):
@@ -163,7 +168,9 @@ def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict
             _step(d[k], at[k], y, weight, word, ids, goff, tok, emb, soft, bias, state, t)
     table = (emb @ (soft[1] - soft[0])).astype(np.float32)
     peak = window_peaks(_project(ids, goff, table)[word], tok)[0]
-    scale, shift = _platt(peak, y, np.ones(len(y)))
+    if len(set(y[aside].tolist())) < 2:
+        aside[:] = True
+    scale, shift = _platt(peak[aside], y[aside], np.ones(int(aside.sum())))
     return {"table": table, "scale": scale, "shift": shift}
 
 
