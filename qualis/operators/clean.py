@@ -138,11 +138,12 @@ def _flag_text(flags: DataFrame) -> DataFrame:
 def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> CleaningResult:
     # Q14: a pass rewrites quality_flag, it never merges an earlier one.
     # Positions of an earlier pass are recomputed here. Absent optional columns
-    # are NULL columns, as for the checks.
+    # read as NULL, as for the checks, and stay absent in the result.
+    given = {t: [c for c in df.columns if not c.startswith("_") and c != "quality_flag"] for t, df in tables.items()}
     tables, _ = align({t: df.drop("quality_flag", "_pos") if t == "sales" else df.drop("_pos") if t != "targets" else df
                        for t, df in tables.items()}, rules)
     sales, customers, products = tables["sales"], tables["customers"], tables["products"]
-    columns = [c for c in sales.columns if not c.startswith("_")]
+    columns = given["sales"]
 
     # K1/K2/K3: mechanical keep-first on every keyed table.
     sales_dups = cut(K.copies(sales, "sale_id").select("_row_id"))
@@ -247,9 +248,11 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> Cl
     # The cleaned tables are re-validated, enriched and counted: written once.
     cleaned = {
         "sales": cut(cleaned_sales),
-        "customers": cut(with_pos(cust_kept, cust_dups, "customer_id")),
-        "products": cut(with_pos(prod_kept, prod_dups, "product_id")),
-        "targets": tables["targets"],
+        "customers": cut(with_pos(cust_kept, cust_dups, "customer_id").select(
+            *map(bq, given["customers"]), "_row_id", "_pos")),
+        "products": cut(with_pos(prod_kept, prod_dups, "product_id").select(
+            *map(bq, given["products"]), "_row_id", "_pos")),
+        "targets": tables["targets"].select(*map(bq, given["targets"]), "_row_id"),
     }
     rows = None
     for t in ("sales", "customers", "products", "targets"):

@@ -51,7 +51,6 @@ def run_audit(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, o
     t: dict[str, float] = {}
     since = mark()
     CH.assert_file_level_schema(tables, rules)
-    tables, _ = CH.align(tables, rules)  # once for the whole run: absent optional columns are NULL columns
 
     def step(name, fn):
         t0 = time.time()
@@ -106,7 +105,7 @@ def load_landing(spark: SparkSession, landing: str, rules: Rules, files: dict[st
             if problems:
                 continue
             out[t] = RD.with_text_positions(RD.empty_to_null(
-                RD.read_csv_text(spark, path, rules.required(t) + rules.optional(t))))
+                RD.read_csv_text(spark, path, rules.required(t))))  # a column that no file has stays absent
         else:
             df = RD.read_any_text(spark, path, "parquet")
             out[t] = RD.empty_to_null(df)

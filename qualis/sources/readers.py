@@ -26,7 +26,7 @@ def empty_to_null(df: DataFrame, null_tokens: tuple[str, ...] = ("",)) -> DataFr
     """IO3: '' (and configured tokens) -> NULL on every text column."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = F.col("`" + f.name.replace("`", "``") + "`")
         if isinstance(f.dataType, StringType) and not f.name.startswith("_"):
             c = F.when(c.isin(*null_tokens), F.lit(None).cast("string")).otherwise(c).alias(f.name)
         cols.append(c)

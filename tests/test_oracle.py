@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF
+from qualis.plans import catalog
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
-NAMES = ["findings", "score_raw", "cleaned_sales", "fix_log", "clean_master", "findings_clean",
-         "score_clean", "detect_summary", "errors_summary"]
+NAMES = sorted(catalog.QUERIES)
+SQL = catalog.oracle_sql()
 
 
 def _norm(v):
@@ -36,13 +37,17 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    res = con.execute(E.oracle_sql()[name])
+    df = catalog.QUERIES[name](spark, SF)
+    res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, res.fetchall())
 
 
+def test_every_query_has_an_oracle():
+    assert set(catalog.QUERIES) == set(SQL)
+
+
 def test_entry_runs(spark):
     r = E.entry(spark).collect()
     assert len(r) == 1 and 0 <= r[0]["score"] <= 100
