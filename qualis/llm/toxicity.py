@@ -16,8 +16,7 @@ deterministic by hash of the id).  For scoring, embedding rows are projected
 on the softmax's class difference, so Spark tasks get one float per bucket
 (``4 * BUCKETS`` bytes, a fixed size) and score slices of texts columnwise.
 
-Defined results: a null text or one without tokens scores as the class prior
-of an empty window (bias only); rows with a null id are scored, ``held_out``
+Defined results: a null text or one without tokens scores 0.0; rows with a null id are scored, ``held_out``
 false; repeated rows are scored alike; without labels of both classes every
 score is 0.0.
 """
@@ -40,7 +39,6 @@ BUCKETS = 1 << BITS
 GRAMS = (3, 4, 5)
 DIM = 8
 WINDOW = 16
-CALIBRATE = 5  # every fifth sample row is kept from the training and sets scale and shift of the score
 PER_CLASS = 1500
 RATE, DAMP = 0.05, 1e-5  # Adam; the damping keeps rare buckets near plain gradient steps
 MOD, HELD = 5, 0
@@ -133,8 +131,9 @@ def window_peaks(scores: np.ndarray, tok: np.ndarray, width: int = WINDOW) -> tu
     return best, where
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict | None:
-    """Joint training; ``rows`` (text, label 0/1). None without both classes."""
+def train(rows: list[tuple[str, int]], share: float | None = None, epochs: int = 14, seed: int = 7) -> dict | None:
+    """Joint training; ``rows`` (text, label 0/1). None without both classes. ``share``:
+    how many of all labels are 1; the score's scale is set for that, not for the sample."""
     rows = sorted(rows, key=lambda r: (r[1], zlib.crc32(r[0].encode())))
     y = np.array([r[1] for r in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
@@ -146,8 +145,7 @@ def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict
     bias = np.zeros(2, np.float32)
     state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in (("e", emb), ("w", soft), ("b", bias))}
     length = np.diff(tok)
-    aside = np.arange(len(y)) % CALIBRATE == 0  # rows that only set the decision's scale
-    usable = np.flatnonzero((length > 0) & ~aside)
+    usable = np.flatnonzero(length > 0)
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     t = 0
     for epoch in range(epochs):
@@ -162,15 +160,16 @@ def train(rows: list[tuple[str, int]], epochs: int = 14, seed: int = 7) -> dict
             clean = y[free] == 0
             d, at = np.concatenate([usable, free[clean]]), np.concatenate([peak[usable], spot[clean]])
         order = rng.permutation(len(d))
-        for lo in range(0, len(order), 1024):
+        batch = min(1024, max(16, len(order) // 24))  # small samples take as many steps as large ones
+        for lo in range(0, len(order), batch):
             t += 1
-            k = order[lo:lo + 1024]
+            k = order[lo:lo + batch]
             _step(d[k], at[k], y, weight, word, ids, goff, tok, emb, soft, bias, state, t)
     table = (emb @ (soft[1] - soft[0])).astype(np.float32)
     peak = window_peaks(_project(ids, goff, table)[word], tok)[0]
-    if len(set(y[aside].tolist())) < 2:
-        aside[:] = True
-    scale, shift = _platt(peak[aside], y[aside], np.ones(int(aside.sum())))
+    share = min(max(share if share is not None else float(y.mean()), 1e-3), 1 - 1e-3)
+    natural = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
+    scale, shift = _platt(peak, y, natural)
     return {"table": table, "scale": scale, "shift": shift}
 
 
@@ -252,12 +251,14 @@ def predict(column, model: dict) -> np.ndarray:
     out = np.empty(len(off) - 1)
     for i, j in T.slices(off):
         s, tok = token_scores(raw[off[i]:off[j]], off[i:j + 1] - off[i], model["table"])
-        out[i:j] = window_peaks(s, tok)[0]
-    return 1 / (1 + np.exp(-np.clip(model["scale"] * out + model["shift"], -500, 500)))
+        score = 1 / (1 + np.exp(-np.clip(model["scale"] * window_peaks(s, tok)[0] + model["shift"], -500, 500)))
+        out[i:j] = np.where(np.diff(tok) > 0, score, 0.0)
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
-    return train(labelled_texts(docs, labels, "toxic", MOD, HELD, per_class))
+    share = labels.where(residue("doc_id", MOD) != HELD).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    return train(labelled_texts(docs, labels, "toxic", MOD, HELD, per_class), share)
 
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:

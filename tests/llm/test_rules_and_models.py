@@ -80,7 +80,7 @@ def test_held_out_accuracy(spark, have_data, op):
     assert all(r.predicted == int(r.score >= limit) for r in got)
     assert sum(r.predicted == truth[r.doc_id] for r in mine) >= 0.95 * len(mine)
     bad = [r for r in mine if not truth[r.doc_id]] if op == "quality" else [r for r in mine if truth[r.doc_id]]
-    assert sum(r.predicted == truth[r.doc_id] for r in bad) >= 0.7 * len(bad)  # some labels have no trace in their text
+    assert sum(r.predicted == truth[r.doc_id] for r in bad) >= (0.9 if op == "quality" else 0.6) * len(bad)  # some toxic labels have no trace in their text
 
 
 @pytest.mark.parametrize("op", [lambda d, x: bradley_terry.rank(d, x), lambda d, x: toxicity.classify(d, x)])
