@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from llm_cases import frame, have_data  # noqa: F401
 from test_text import plain_words
 
 from qualis.llm import superminhash as S

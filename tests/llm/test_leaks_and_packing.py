@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from llm_cases import frame, have_data  # noqa: F401
 from tokenizers import Tokenizer
 
 from qualis.llm import decontam as D

@@ -2,6 +2,7 @@
 import hashlib
 
 import pytest
+from llm_cases import frame, have_data  # noqa: F401
 
 from qualis.llm import html_template as H
 from qualis.llm import preference as P

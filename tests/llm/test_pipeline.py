@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline against its operators one by one."""
 import duckdb
 import pytest
+from llm_cases import frame, have_data  # noqa: F401
 from test_leaks_and_packing import D
 
 import __spark_entry__ as E

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from llm_cases import frame, have_data  # noqa: F401
 from test_text import ODD, plain_words
 
 from qualis.llm import bradley_terry, ppm, quality_rules, toxicity
