@@ -17,8 +17,10 @@ buckets (one link each at most, never all pairs); components of the confirmed
 links are formed by union-find.  Buckets whose members then still lie in
 several components are compared exactly, in blocks: the bucket's largest
 component meets only the members outside it, a block pair is one group of
-bounded size, it holds the whole shingle sets, skips pairs that are already
-connected and emits only the links that join components.  All links are
+bounded size. Signatures pick the members of a block pair that are close to one
+outside their component; only these bring their text, and their whole shingle
+sets are compared, skipping pairs that are already connected and emitting only
+the links that join components.  All links are
 confirmed on the full sets (``100 * inter >= 75 * union``).
 
 Defined results: null, empty or white-space text: empty set, ``n_shingles`` 0,
@@ -43,7 +45,7 @@ SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 SHINGLE, PERCENT = 5, 75
 BLOCK = 256  # representatives of one block of a bucket
-CLOSE = 0.55  # least share of equal signature slots of pairs that are compared exactly (0.75 is 5 sigma above)
+CLOSE = 0.58  # least share of equal signature slots of pairs that are compared exactly (0.75 is 4.5 sigma above)
 _FRACTION = 25  # bits of r in a slot value; the step is above them
 
 
@@ -128,19 +130,40 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
+def _cell(table: pa.Table):
+    """Arrays of one block pair, and a function that gives the members close to member i:
+    in another component, on the other side (any, if there is one block only), with
+    enough equal signature slots. Major members (side -1) are one component."""
+    rep, comp, side = (table[c].to_numpy() for c in ("rep", "comp", "side"))
+    sig = np.stack([np.frombuffer(x, np.uint8) for x in table["sig"].to_pylist()])
+    _, group = np.unique(comp, return_inverse=True)
+    one_block = (side == side[0]).all()
+
+    def close(i: int) -> np.ndarray:
+        other = np.flatnonzero((group != group[i]) & (one_block | (side != side[i])))
+        return other[(sig[other] == sig[i]).mean(axis=1) >= CLOSE]
+    minors = np.flatnonzero(side >= 0)
+    return rep, group, minors[np.argsort(rep[minors], kind="stable")].tolist(), close
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """The members of a block pair that are close to one of another component."""
+    _, _, minors, close = _cell(table)
+    keep = np.zeros(table.num_rows, bool)
+    for i in minors:
+        found = close(i)
+        keep[found] = True
+        keep[i] |= len(found) > 0
+    return table.filter(pa.array(keep))
+
+
 def _block_links(table: pa.Table) -> pa.Table:
     """Links between components inside one block pair of one bucket."""
-    rep, comp = table["rep"].to_numpy(), table["comp"].to_numpy()
-    side = table["side"].to_numpy()
-    sig = np.stack([np.frombuffer(x, np.uint8) for x in table["sig"].to_pylist()])
+    rep, group, minors, close = _cell(table)
     sets = _sets(table["text"])
-    _, group = np.unique(comp, return_inverse=True)
     a, b = [], []
-    one_block = (side == side[0]).all()
-    for i in np.argsort(rep, kind="stable").tolist():
-        other = (rep > rep[i]) if one_block else (side != side[i]) & (rep > rep[i])
-        other &= (group != group[i]) & ((sig == sig[i]).mean(axis=1) >= CLOSE)
-        for j in np.flatnonzero(other).tolist():
+    for i in minors:
+        for j in close(i).tolist():
             if group[j] != group[i] and jaccard(sets[i], sets[j]):
                 a.append(rep[i])
                 b.append(rep[j])
@@ -163,10 +186,11 @@ def link(docs: DataFrame) -> DataFrame:
                   .where("least < most"))
     members = cut(members.join(crowded, "bucket"))  # only buckets of two or more
     texts = docs.where("text is not null and doc_id is not null")
-    stars = cut(members.where("rep > least").groupBy("rep").agg(F.min("least").alias("least")))
-    texts = cut(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    pairs = (stars.select(F.col("rep").alias("a"), F.col("least").alias("b"))
-             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+    # the texts to compare, each with the smallest representative of its buckets: moved once
+    stars = cut(members.groupBy(F.col("rep").alias("doc_id"))
+                .agg(F.min(F.when(F.col("rep") > F.col("least"), F.col("least"))).alias("least")))
+    texts = cut(texts.join(stars, "doc_id"))
+    pairs = (texts.where("least is not null").select(F.col("doc_id").alias("a"), F.col("text").alias("ta"), F.col("least").alias("b"))
              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
     links = cut(pairs.mapInArrow(_confirm, "a long, b long"))
     comps = components(links)
@@ -193,9 +217,11 @@ def link(docs: DataFrame) -> DataFrame:
         F.concat(cells("major", "majors", lambda k: own, lambda k: k, own),
                  cells("minor", "minors", lambda k: F.least(own, k), lambda k: F.greatest(own, k), own)))
     dealt = (rest.select("rep", "comp", F.explode(goes).alias("to")).select("rep", "comp", "to.side", "to.cell")
-             .join(classes.select("rep", "sig"), "rep")
-             .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep"))
-    more = cut(dealt.groupBy("cell").applyInArrow(_block_links, "a long, b long"))
+             .join(classes.select("rep", "sig"), "rep"))
+    # signatures alone tell which members need their text there
+    near = cut(dealt.groupBy("cell").applyInArrow(_near, "rep long, comp long, side long, cell long, sig binary"))
+    more = cut(near.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+               .groupBy("cell").applyInArrow(_block_links, "a long, b long"))
     if not more.isEmpty():
         comps = components(links.union(more))
 
