@@ -2,21 +2,26 @@
 
 Words are runs of ASCII letters, digits and bytes >= 0x80, A-Z lowered, so
 punctuation and case do not matter.  Every ``SEED``-word n-gram of a test item
-is a seed.  A first pass counts in how many documents each seed occurs; seeds
-that are ``COMMON`` times more frequent than the rarer quarter of their own
-item's seeds (and occur in over ``COMMON`` documents) are ordinary speech and
-dropped.  The measure is relative to the item, so the seeds of an item that was
-copied into a third of all documents stay.  A second pass joins the seeds to the
-passages of every document: hits of one item on nearby diagonals make one
-passage, which is aligned to the whole item with Smith-Waterman over words
-(match 2, mismatch -1, gap -1).  The score is the best local alignment divided
-by that of an unchanged copy; paraphrased or edited copies keep a high score,
-a chance seed does not.
+is a seed, however frequent: an edited or shortened copy that recurs in many
+documents has nothing but frequent seeds.  The seeds are joined to the passages
+of every document: hits of one item on nearby diagonals make one passage, which
+is aligned to the whole item with Smith-Waterman over words (match 2, mismatch
+-1, gap -1).  The score is the best local alignment divided by that of an
+unchanged copy; paraphrased or edited copies keep a high score, a chance seed
+does not.  Passages that share too few words with the item (counted with
+repeats) to reach the threshold are not aligned; this bound loses nothing.
+
+One seed alone is half of an item of up to ``SEED / threshold`` words (6).  Only
+for such items the documents of each seed are counted first: a seed that is
+``COMMON`` times more frequent than the rarest of its item (and in over
+``COMMON`` documents) is ordinary speech, and a passage with no other seeds must
+align better than one seed does.
 
 Seeds and items are sent to the tasks in parts of at most ``PART_WORDS`` item
 words (checked); a larger benchmark takes several passes over the documents.
-Documents are never shuffled, and the only rows that leave a task are its seed
-counts (at most one per seed) and its links.
+Seed hits are worked on in slices of about ``HITS``.  Documents are never
+shuffled, and the only rows that leave a task are its seed counts (at most one
+per seed) and its links.
 
 Defined results: null or empty texts on either side, and items of fewer than
 ``MIN_WORDS`` words, match nothing; a repeated row on either side gives its own
@@ -39,6 +44,7 @@ COMMON = 20
 MATCH, MISS, GAP = 2, -1, -1
 THRESHOLD = 0.5
 PART_WORDS = 2_000_000
+HITS = 1 << 19  # seed hits and words of passages that are held at once
 _CELLS = 1 << 20
 
 _BREAK = np.zeros(256, bool)
@@ -79,25 +85,22 @@ class Items:
         key, at, item = key[ok], at[ok], item[ok]
         order = np.argsort(key, kind="stable")
         self.key, self.item, self.place = key[order], item[order], (at - off[item])[order]
+        self.common = np.zeros(len(key), bool)
+        # words of each item with their number
+        self.vocabulary, code = np.unique(w, return_inverse=True)
+        owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        self.bag, self.often = np.unique(owner * len(self.vocabulary) + code, return_counts=True)
 
-    def keep_rare(self, frequency: dict[int, int]) -> None:
-        df = np.array([frequency.get(k, 0) for k in self.key.view(np.int64).tolist()], np.int64)
-        keep = np.zeros(len(df), bool)
-        for item in np.unique(self.item).tolist():
-            own = self._rows(item)
-            low = np.quantile(df[own], 0.25, method="lower")
-            keep[own] = df[own] <= max(COMMON, COMMON * low)
-        keep &= df > 0
-        self.key, self.item, self.place = self.key[keep], self.item[keep], self.place[keep]
-        self._by = None
+    def short(self, threshold: float) -> np.ndarray:
+        """Places of the seeds that alone carry their item over the threshold."""
+        return np.flatnonzero(threshold * np.diff(self.off)[self.item] <= SEED)
 
-    _by = None
-
-    def _rows(self, item: int) -> np.ndarray:
-        if self._by is None:
-            order = np.argsort(self.item, kind="stable")
-            self._by = order, np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        return self._by[0][self._by[1][item]:self._by[1][item + 1]]
+    def mark_common(self, at: np.ndarray, frequency: dict[int, int]) -> None:
+        """Mark the seeds at the places ``at`` that are frequent beside the rarest of their item."""
+        df = np.array([frequency.get(k, 0) for k in self.key[at].view(np.int64).tolist()], np.int64)
+        low = np.full(len(self.ids), np.iinfo(np.int64).max // COMMON)
+        np.minimum.at(low, self.item[at], df)
+        self.common[at] = df > np.maximum(COMMON, COMMON * low[self.item[at]])
 
 
 def probe(keys: np.ndarray, sorted_keys: np.ndarray, sieve: np.ndarray) -> np.ndarray:
@@ -147,36 +150,80 @@ def _pad(v: np.ndarray, starts: np.ndarray, sizes: np.ndarray, filler: int) -> n
     return out
 
 
-def passages(column, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, item, score, seed hits) of the passages of a text column that hold seeds."""
-    none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int64),)
+def shared_words(code: np.ndarray, lo: np.ndarray, hi: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
+    """Words (with repeats) that each window lo..hi of a text shares with its item."""
+    total = len(items.vocabulary)
+    window = np.repeat(np.arange(len(lo)), hi - lo)
+    word = code[T.ranges(lo, hi - lo)]
+    known = word >= 0
+    pair, n = np.unique(window[known] * total + word[known], return_counts=True)
+    window, word = np.divmod(pair, total)
+    want = item[window] * total + word
+    at = np.minimum(np.searchsorted(items.bag, want), len(items.bag) - 1)
+    both = np.where(items.bag[at] == want, np.minimum(n, items.often[at]), 0)
+    return np.bincount(window, both, len(lo)).astype(np.int64)
+
+
+def passages(column, items: Items, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, score, seed hits) of the passages of a text column that reach the threshold."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
     w, off = words(*T.utf8(column))
     key, at = grams(w, off)
-    if not len(items.key) or not len(key):
-        return none
-    hit = probe(key, items.key, sieve_of(items.key))
-    first = np.searchsorted(items.key, key[hit])
-    count = np.searchsorted(items.key, key[hit], "right") - first
-    seed = T.ranges(first, count)
-    pos = np.repeat(at[hit], count)
-    if not len(pos):
-        return none
+    if len(items.key) and len(key):
+        hit = probe(key, items.key, sieve_of(items.key))
+        at = at[hit]
+        first = np.searchsorted(items.key, key[hit])
+        edge = np.concatenate([[0], np.cumsum(np.searchsorted(items.key, key[hit], "right") - first)])
+        rows = np.searchsorted(at, off)  # hits of each document
+        code = np.full(len(w), -1, np.int64)
+        place = np.minimum(np.searchsorted(items.vocabulary, w), len(items.vocabulary) - 1)
+        known = items.vocabulary[place] == w
+        code[known] = place[known]
+        for i, j in T.slices(edge[rows], HITS):
+            lo, hi = rows[i], rows[j]
+            split = int((edge[hi] - edge[lo]) // HITS) + 1  # one document of very many hits: its items in turn
+            for k in range(split):
+                seeds, places = [], []
+                for a, b in T.slices(edge[lo:hi + 1], HITS):
+                    n = np.diff(edge[lo + a:lo + b + 1])
+                    seed, pos = T.ranges(first[lo + a:lo + b], n), np.repeat(at[lo + a:lo + b], n)
+                    if split > 1:
+                        mine = items.item[seed] % split == k
+                        seed, pos = seed[mine], pos[mine]
+                    seeds.append(seed)
+                    places.append(pos)
+                if sum(map(len, seeds)):
+                    out.append(_aligned(w, off, code, np.concatenate(seeds), np.concatenate(places), items, threshold))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _aligned(w, off, code, seed, pos, items: Items, threshold: float):
+    """``passages`` of seed hits: seeds and the positions of their first words."""
     doc, item = np.searchsorted(off, pos, "right") - 1, items.item[seed]
     diag = pos - items.place[seed]
     order = np.lexsort((diag, item, doc))
-    doc, item, diag = doc[order], item[order], diag[order]
+    doc, item, diag, rare = doc[order], item[order], diag[order], ~items.common[seed[order]]
     size = np.diff(items.off)[item]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diag[1:] - diag[:-1] > size[1:] // 2 + 4)
     start = np.flatnonzero(new)
     last = np.append(start[1:], len(doc)) - 1
+    hits = last - start + 1
+    rare = np.logical_or.reduceat(rare, start)
     doc, item, size = doc[start], item[start], size[start]
     slack = 4 + size // 4
     lo = np.maximum(off[doc], diag[start] - slack)
     hi = np.minimum(off[doc + 1], diag[last] + size + slack)
-    best = align(items.words[T.ranges(items.off[item], size)], np.concatenate([[0], np.cumsum(size)]),
-                 w[T.ranges(lo, hi - lo)], np.concatenate([[0], np.cumsum(hi - lo)]))
-    return doc, item, best / (MATCH * size), last - start + 1
+    best = np.zeros(len(doc), np.int64)
+    edge = np.concatenate([[0], np.cumsum(hi - lo)])
+    for i, j in T.slices(edge, HITS):
+        k = np.arange(i, j)
+        k = k[shared_words(code, lo[k], hi[k], item[k], items) >= threshold * size[k] - 1e-9]
+        best[k] = align(items.words[T.ranges(items.off[item[k]], size[k])], np.concatenate([[0], np.cumsum(size[k])]),
+                        w[T.ranges(lo[k], (hi - lo)[k])], np.concatenate([[0], np.cumsum((hi - lo)[k])]))
+    score = best / (MATCH * size)
+    keep = np.flatnonzero((score >= threshold) & (rare | (best > MATCH * SEED)))
+    return doc[keep], item[keep], score[keep], hits[keep]
 
 
 def _parts(items: DataFrame):
@@ -199,7 +246,8 @@ def links(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     schema = "doc_id long, item_id long, score double, seeds long"
     out = spark.createDataFrame([], schema)
     for part in _parts(items):
-        keys = spark.sparkContext.broadcast(np.unique(part.key))
+        short = part.short(threshold)
+        keys = spark.sparkContext.broadcast(np.unique(part.key[short]))
 
         def count(batches, keys=keys):
             known, total = keys.value, np.zeros(len(keys.value), np.int64)
@@ -207,7 +255,7 @@ def links(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
             for b in batches:
                 w, off = words(*T.utf8(b.column(0)))
                 key, at = grams(w, off)
-                if not len(known) or not len(key):
+                if not len(key):
                     continue
                 hit = probe(key, known, sieve)
                 doc = np.searchsorted(off, at[hit], "right") - 1
@@ -216,19 +264,19 @@ def links(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[some])], ["seed", "n"])
 
-        df = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-        part.keep_rare({r["seed"]: r["n"] for r in df.collect()})  # one row per seed of the part at most
+        if len(short):
+            df = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+            part.mark_common(short, {r["seed"]: r["n"] for r in df.collect()})  # one row per seed of the part at most
         shared = spark.sparkContext.broadcast(part)
 
         def match(batches, shared=shared):
             own = shared.value
             ids = pa.array(own.ids, pa.int64())
             for b in batches:
-                doc, item, score, seeds = passages(b.column(1), own)
-                keep = np.flatnonzero(score >= threshold)
+                doc, item, score, seeds = passages(b.column(1), own, threshold)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(doc[keep])), ids.take(pa.array(item[keep])),
-                     pa.array(score[keep]), pa.array(seeds[keep])], ["doc_id", "item_id", "score", "seeds"])
+                    [b.column(0).take(pa.array(doc)), ids.take(pa.array(item)), pa.array(score), pa.array(seeds)],
+                    ["doc_id", "item_id", "score", "seeds"])
 
         out = out.union(docs.mapInArrow(match, schema))
     return out

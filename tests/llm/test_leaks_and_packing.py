@@ -69,6 +69,37 @@ def test_planted_copies_are_found_and_nothing_else(leaks):
     assert all(r.score == 1.0 for r in got if r.doc_id >= 900) and min(r.score for r in got) >= D.THRESHOLD
 
 
+@pytest.mark.parametrize("times", [21, 1000])
+def test_recurring_edited_and_short_copies_are_found(spark, frame, times):
+    rng = random.Random(5)
+    say = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    items = [say(40), say(40), say(5)]
+    edited = [w if i % 8 else "other" for i, w in enumerate(items[0])]
+    half, near = items[1][:20], items[2][:3] + ["other"] + items[2][4:]
+    docs = [(3 * d + k, " ".join(say(30) + copy + say(30))) for d in range(times) for k, copy in enumerate((edited, half, near))]
+    docs.append((-1, " ".join(say(30) + items[0] + say(30))))
+    got = {(r.doc_id, r.item_id) for r in D.links(frame(docs, DOCS), spark.createDataFrame(
+        [(k, " ".join(w)) for k, w in enumerate(items)], ITEMS)).collect()}
+    assert got == {(3 * d + k, k) for d in range(times) for k in range(3)} | {(-1, 0)}
+
+
+def test_ordinary_words_are_no_copy_of_a_short_item(spark, frame):
+    say = lambda d: f"a{d} b{d} one of the c{d} d{d}"
+    docs = [(d, say(d)) for d in range(100)] + [(200, "x one of the green hills y")]
+    items = spark.createDataFrame([(1, "one of the green hills"), (2, "one of the red green hills far away from here")], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in D.links(frame(docs, DOCS), items).collect()} == {(200, 1)}
+
+
+@pytest.mark.parametrize("hits", [1, 40])
+def test_hits_in_slices_give_the_same(leaks, monkeypatch, hits):
+    docs, items, want, _ = leaks
+    monkeypatch.setattr(D, "HITS", hits)
+    d, own = docs.where("doc_id < 920").toPandas(), items.toPandas()
+    seeds = D.Items(own["item_id"].tolist(), pa.array(own["text"]))
+    row, item, score, _ = D.passages(pa.array(d["text"]), seeds)
+    assert {(int(d["doc_id"][r]), seeds.ids[k]) for r, k in zip(row, item)} == {x for x in want if x[0] < 920}
+
+
 def test_benchmark_in_parts_gives_the_same(leaks, monkeypatch):
     docs, items, want, _ = leaks
     monkeypatch.setattr(D, "PART_WORDS", 700)
