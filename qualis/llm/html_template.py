@@ -3,15 +3,23 @@
 A lenient tokenizer walks a page once with a stack (implied end tags, void
 elements, raw text elements, unclosed tags).  Every block element gets a Merkle
 hash of its tag, marks and content.  Pass 1 emits one row per distinct block
-subtree of a page, keyed by host and subtree hash; Spark counts the pages of a
-host that hold it (partial aggregates, so a hot host is no hot task).  Subtrees
-on ``MIN_PAGES`` pages and on ``MIN_SHARE`` of the host's pages are its template.
-Pass 2 walks each page again and deletes them, together with the elements whose
-tag, role or class says menu, header, footer, sidebar, notice, advert, form,
-script, style or reader comments.  If an ``article`` or ``main`` is left, its
-text is the result, else all text that is left.  Subtrees inside or around an
-article, and those with over half of a page's text, are content however often
-they occur: copies of an article are never deleted as template.
+subtree of a page, keyed by host, subtree hash and page body; Spark counts the
+distinct bodies of a host that hold it, so copies of one page count once (partial
+aggregates, so a hot host is no hot task).  Subtrees in ``MIN_PAGES`` bodies and
+in ``MIN_SHARE`` of the host's are its template.  Pass 2 walks each page again
+and deletes them, together with the elements whose tag, role or class says menu,
+header, footer, sidebar, notice, advert, form, script, style or reader comments.
+If an ``article`` or ``main`` is left, its text is the result, else all text that
+is left.
+
+Copies of an article are no template.  Subtrees inside or around an ``article``
+or ``main`` are never deleted.  On other pages a subtree with over half of the
+text (that of elements marked as no main text does not count) is content however
+often it recurs, and what lies in it is deleted only if it is template without
+the bodies that hold the copy.  Only a subtree in ``MOST`` of a host's bodies, next
+to which the page keeps text of its own (``OWN`` of the subtree's), is template
+at that size too.  An article in no element of its own, or with at most half of
+the page's text, cannot be told from template and is judged by the counts alone.
 
 The template keys are broadcast while they are at most ``MAX_SHARED`` (checked);
 beyond that every page gets its own keys by a join on the page's hash.
@@ -21,8 +29,8 @@ space, blocks are trimmed and joined in page order by a blank line.
 
 Defined results: null or empty html, or nothing but template: empty text, 0
 characters; a url without a host counts as the host ''; rows with null or equal
-ids each get their own result; repeated rows count as pages each; extra
-columns are ignored.
+ids each get their own result; repeated rows count as one page; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +48,9 @@ from pyspark.sql import functions as F
 from qualis.llm.session import cut, settings
 
 MIN_PAGES = 8
-MIN_SHARE = 0.02
-MAX_SHARED = 2_000_000  # keys of 8 bytes
+MIN_SHARE = 0.2
+MOST, OWN = 0.8, 0.25
+MAX_SHARED = 2_000_000  # keys of 25 bytes
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>"""
@@ -96,6 +105,11 @@ def _marks(attrs: str) -> str:
                     if n.lower() in ("class", "id", "role")) if "=" in attrs else ""
 
 
+#: subtree keys in order, the bodies that hold them, those beyond the host's least number (< 0: no template), in MOST bodies
+_KEYS = [("key", np.int64), ("n", np.int64), ("spare", np.int64), ("most", np.bool_)]
+NO_TEMPLATE = np.zeros(0, _KEYS)
+
+
 class Frame:
     __slots__ = ("tag", "marks", "parts", "size", "at", "drop", "main", "holds")
 
@@ -108,13 +122,13 @@ class Frame:
 class Page:
     """One walk over a page: block texts, and the subtree keys of its blocks."""
 
-    def __init__(self, host: str, template=frozenset()):
-        self.host, self.template = host.encode(), template
+    def __init__(self, host: str):
+        self.host = host.encode()
         self.blocks: list[tuple[str, bool]] = []  # text, inside an article or main
         self.run: list[str] = []
         self.keys: dict[int, int] = {}  # subtree key -> characters
-        self.cuts: list[tuple[int, int, int]] = []  # block range of a template subtree, its characters
-        self.total = 0
+        self.places: list[tuple[int, int, int, int]] = []  # subtree key, block range, characters
+        self.total = 0  # characters outside elements marked as no main text
         self.stack = [Frame("", "", 0, False, False)]
 
     def flush(self) -> None:
@@ -129,9 +143,9 @@ class Page:
         bare = data.strip()
         if bare:
             top.parts.append(bare.encode("utf-8", "replace"))
+        if not top.drop:
             top.size += len(bare)
             self.total += len(bare)
-        if not top.drop:
             self.run.append(data)
 
     def open(self, tag: str, attrs: str) -> None:
@@ -178,8 +192,7 @@ class Page:
         if f.size and f.tag not in INLINE and not f.main and not f.holds and f.tag not in ("html", "body", "head"):
             key = int.from_bytes(blake2b(self.host + b"\0" + digest, digest_size=8).digest(), "big", signed=True)
             self.keys[key] = f.size
-            if key in self.template:
-                self.cuts.append((f.at, len(self.blocks), f.size))
+            self.places.append((key, f.at, len(self.blocks), f.size))
 
     def walk(self, source: str) -> "Page":
         at, end = 0, len(source)
@@ -215,12 +228,39 @@ class Page:
         self.flush()
         return self
 
-    def main_text(self) -> str:
-        """What is left of the page, after template subtrees (not over half of its text) are cut."""
-        gone = np.zeros(len(self.blocks) + 1, bool)
-        for lo, hi, size in self.cuts:
-            if 2 * size <= self.total:
-                gone[lo:hi] = True
+    def body(self) -> int:
+        """Hash of all elements and texts of the page."""
+        return int.from_bytes(blake2b(b"\0".join(self.stack[0].parts), digest_size=8).digest(), "big", signed=True)
+
+    def main_text(self, template: np.ndarray = NO_TEMPLATE) -> str:
+        """What is left of the page after template subtrees are cut; see ``template_keys``."""
+        gone = np.zeros(len(self.blocks), bool)
+        if len(template) and self.places:
+            key, lo, hi, size = np.array(self.places, np.int64).T
+            at = np.minimum(np.searchsorted(template["key"], key), len(template) - 1)
+            found = np.flatnonzero((template["key"][at] == key) & (hi > lo))
+            n, spare, most = (template[c][at] for c in ("n", "spare", "most"))
+            small = found[(2 * size[found] <= self.total) & (spare[found] >= 0)].tolist()
+            content = np.zeros(len(gone), np.int64)  # bodies that hold the content around a block
+
+            def cut_small() -> np.ndarray:
+                out = np.zeros(len(gone), bool)
+                for k in small:
+                    if spare[k] >= content[lo[k]:hi[k]].min():
+                        out[lo[k]:hi[k]] = True
+                return out
+            length = np.array([len(t) for t, _ in self.blocks], np.int64)
+            whole = None
+            for k in found[2 * size[found] > self.total][::-1].tolist():  # they are nested: from the outermost
+                if most[k] and spare[k] >= content[lo[k]:hi[k]].max():
+                    own = length * ~cut_small()
+                    if own[:lo[k]].sum() + own[hi[k]:].sum() >= OWN * size[k]:
+                        whole = k
+                        break
+                content[lo[k]:hi[k]] = np.maximum(content[lo[k]:hi[k]], n[k])
+            gone = cut_small()
+            if whole is not None:
+                gone[lo[whole]:hi[whole]] = True
         left = [(t, m) for (t, m), g in zip(self.blocks, gone.tolist()) if not g]
         return "\n\n".join(t for t, m in left if m) or "\n\n".join(t for t, _ in left)
 
@@ -234,30 +274,43 @@ def host_of(url: str | None) -> str:
 
 def _subtrees(batches):
     for b in batches:
-        keys, hosts = [], []
+        keys, hosts, bodies, large = [], [], [], []
         for url, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             host = host_of(url)
-            own = Page(host).walk(source or "").keys
-            keys += [None, *own]  # the row without a key counts the page itself
-            hosts += [host] * (len(own) + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string())], ["key", "host"])
+            page = Page(host).walk(source or "")
+            keys += [None, *page.keys]  # the row without a key counts the page itself
+            large += [False, *(2 * size > page.total for size in page.keys.values())]
+            hosts += [host] * (len(page.keys) + 1)
+            bodies += [page.body()] * (len(page.keys) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string()), pa.array(bodies, pa.int64()),
+                                          pa.array(large, pa.bool_())], ["key", "host", "body", "large"])
 
 
 def template_keys(pages: DataFrame) -> DataFrame:
-    """Keys of the subtrees that recur across many pages of their host."""
-    seen = cut(pages.mapInArrow(_subtrees, "key long, host string").groupBy("host", "key")
-               .agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= MIN_PAGES) | F.col("key").isNull()))
+    """(key, n, spare, most): subtrees that recur across many page bodies of their host, and those
+    that recur at all and are over half of a page (``spare`` < 0 if they are no template)."""
+    seen = cut(pages.mapInArrow(_subtrees, "key long, host string, body long, large boolean")
+               .groupBy("host", "key", "body").agg(F.max("large").alias("large"))
+               .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"), F.max("large").alias("large"))
+               .where(F.col("key").isNull() | (F.col("n") >= MIN_PAGES) | ((F.col("n") > 1) & F.col("large"))))
     sizes = seen.where("key is null").select("host", F.col("n").alias("pages"))
-    return seen.where("key is not null").join(sizes, "host").where(F.col("n") >= F.col("pages") * MIN_SHARE).select("key")
+    least = F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("pages") * MIN_SHARE))
+    return seen.where("key is not null").join(sizes, "host") \
+        .select("key", "n", (F.col("n") - least).cast("long").alias("spare"),
+                (F.col("n") >= F.col("pages") * MOST).alias("most"), "large") \
+        .where("spare >= 0 or large").select("key", "n", "spare", "most")
+
+
+def _sorted(rows) -> np.ndarray:
+    return np.sort(np.array([(r["key"], r["n"], r["spare"], r["most"]) for r in rows], _KEYS), order="key")
 
 
 def _extract(template=None):
-    """Texts of pages; ``template`` (sorted keys) or, without it, a column of each page's own keys."""
+    """Texts of pages; ``template`` or, without it, a column of each page's own keys."""
     def run(batches):
-        shared = frozenset(template.value.tolist()) if template is not None else None
         for b in batches:
-            own = b.column(3).to_pylist() if shared is None else [shared] * b.num_rows
-            texts = [Page(host_of(u), frozenset(k or ()) if shared is None else k).walk(s or "").main_text()
+            own = [_sorted(k or ()) for k in b.column(3).to_pylist()] if template is None else [template.value] * b.num_rows
+            texts = [Page(host_of(u)).walk(s or "").main_text(k)
                      for u, s, k in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), own)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
@@ -273,7 +326,7 @@ def extract(pages: DataFrame, max_shared: int = MAX_SHARED) -> DataFrame:
     keys = cut(template_keys(narrow))
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"
     if keys.count() <= max_shared:
-        held = np.array([r["key"] for r in keys.collect()], np.int64)  # at most max_shared keys of 8 bytes
+        held = _sorted(keys.collect())  # at most max_shared keys of 25 bytes
         rows = pages.mapInArrow(_extract(spark.sparkContext.broadcast(held)), schema)
     else:
         mark = F.xxhash64("url", "html").alias("mark")
@@ -288,7 +341,7 @@ def extract(pages: DataFrame, max_shared: int = MAX_SHARED) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(own, pa.int64())], ["mark", "key"])
 
         pairs = cut(narrow.select(mark, "url", "html").mapInArrow(paired, "mark long, key long").distinct())
-        hits = cut(pairs.join(keys, "key").groupBy("mark").agg(F.collect_set("key").alias("keys")))
+        hits = cut(pairs.join(keys, "key").groupBy("mark").agg(F.collect_list(F.struct("key", "n", "spare", "most")).alias("keys")))
         rows = pages.withColumn("mark", F.xxhash64("url", "html")).join(hits, "mark", "left") \
             .select("page_id", "url", "html", "keys").mapInArrow(_extract(), schema)
     return rows.withColumn("n_chars", F.length("text").cast("long"))

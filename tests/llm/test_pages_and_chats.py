@@ -94,6 +94,38 @@ def test_site_template_is_removed_on_its_host_only(site, shared):
     assert H.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [H.MAX_SHARED, 0])
+@pytest.mark.parametrize("copies,others", [(20, 5), (7, 3), (20, 0)])
+def test_copies_of_a_div_article_stay(frame, shared, copies, others):
+    bar = "<div class='top'><span>Our shop of things</span></div>"
+    paras = [f"Paragraph {k} of a text that many pages of the site carry" for k in range(5)]
+    art = "".join(f"<p>{p}</p>" for p in paras)
+    page = lambda k, inner: f"<body>{bar}<div><p>visit {k}</p></div>{inner}</body>"
+    kinds = ["<div>%s</div>", "<section><div>%s</div></section>", "<table><tr><td>%s</td></tr></table>"]
+    rows = [(100 * h + k, f"http://h{h}.example/{k}", page(k, kinds[h] % art)) for h in range(3) for k in range(copies)]
+    rows += [(100 * h + 50 + k, f"http://h{h}.example/o{k}", page(50 + k, f"<p>{paras[0]}</p><p>" + f"own story {k} " * 9 + "</p>"))
+             for h in range(3) for k in range(others)]
+    by = {r.page_id: r.text for r in H.extract(frame(rows, PAGES), max_shared=shared).collect()}
+    for h in range(3):
+        assert all("\n\n".join(paras) in by[100 * h + k] for k in range(copies))
+        assert copies < 20 or not any("Our shop" in by[100 * h + k] for k in range(copies))
+
+
+def test_copies_of_a_page_count_once_and_rare_paragraphs_stay(frame):
+    rows = [(k, f"http://h.example/{k}", "<div><p>one page</p><p>all its text</p><p>in three parts</p></div>") for k in range(20)]
+    line = "<p>a paragraph on a tenth of the pages</p>"
+    rows += [(100 + k, f"http://i.example/{k}", f"<div><p>own text {k} which is longer than that line</p>{line if k < 9 else ''}</div>") for k in range(90)]
+    menu = "<div><p>Menu of all</p></div>"  # inside a copied wrapper, and on pages of their own
+    text = "<p>" + "a long text that stands on some pages " * 3 + "</p>"
+    rows += [(300 + k, f"http://j.example/{k}", f"<i>{k}</i><div>{menu}{text}</div>") for k in range(9)]
+    rows += [(320 + k, f"http://j.example/o{k}", f"<div>{menu}<p>story number {k} of this site</p></div>") for k in range(20)]
+    by = {r.page_id: r.text for r in H.extract(frame(rows, PAGES)).collect()}
+    assert all(by[k] == "one page\n\nall its text\n\nin three parts" for k in range(20))
+    assert all("on a tenth" in by[100 + k] for k in range(9))
+    assert all("Menu" not in by[300 + k] and "a long text" in by[300 + k] for k in range(9))
+    assert all(by[320 + k] == f"story number {k} of this site" for k in range(20))
+
+
 @pytest.mark.parametrize("url,key", [
     ("http://M.Example.com:80/a/B?x=1#top", "com,example,m)/a/B?x=1"), ("https://e.org", "org,e)/"), ("http://h:8080/", "h:8080)/"),
     (None, ""), ("", ""), ("no url", ")no%20url"), ("http://[bad", "http://[bad")])
