@@ -6,7 +6,8 @@ hash of its tag, marks and content.  Pass 1 emits one row per distinct block
 subtree of a page, keyed by host, subtree hash and page body; Spark counts the
 distinct bodies of a host that hold it, so copies of one page count once (partial
 aggregates, so a hot host is no hot task).  Subtrees in ``MIN_PAGES`` bodies and
-in ``MIN_SHARE`` of the host's are its template.  Pass 2 walks each page again
+in ``MIN_SHARE`` of the host's are its template; on a host of few bodies half of
+them will do (``SMALL_SHARE``), two at least.  Pass 2 walks each page again
 and deletes them, together with the elements whose tag, role or class says menu,
 header, footer, sidebar, notice, advert, form, script, style or reader comments.
 If an ``article`` or ``main`` is left, its text is the result, else all text that
@@ -49,6 +50,7 @@ from qualis.llm.session import cut, settings
 
 MIN_PAGES = 8
 MIN_SHARE = 0.2
+SMALL_SHARE = 0.5  # on hosts of under MIN_PAGES / SMALL_SHARE bodies
 MOST, OWN = 0.8, 0.25
 MAX_SHARED = 2_000_000  # keys of 25 bytes
 
@@ -292,9 +294,10 @@ def template_keys(pages: DataFrame) -> DataFrame:
     seen = cut(pages.mapInArrow(_subtrees, "key long, host string, body long, large boolean")
                .groupBy("host", "key", "body").agg(F.max("large").alias("large"))
                .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"), F.max("large").alias("large"))
-               .where(F.col("key").isNull() | (F.col("n") >= MIN_PAGES) | ((F.col("n") > 1) & F.col("large"))))
+               .where("key is null or n > 1"))
     sizes = seen.where("key is null").select("host", F.col("n").alias("pages"))
-    least = F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("pages") * MIN_SHARE))
+    few = F.greatest(F.lit(2), F.least(F.lit(MIN_PAGES), F.ceil(F.col("pages") * SMALL_SHARE)))
+    least = F.greatest(few, F.ceil(F.col("pages") * MIN_SHARE))
     return seen.where("key is not null").join(sizes, "host") \
         .select("key", "n", (F.col("n") - least).cast("long").alias("spare"),
                 (F.col("n") >= F.col("pages") * MOST).alias("most"), "large") \

@@ -126,6 +126,17 @@ def test_copies_of_a_page_count_once_and_rare_paragraphs_stay(frame):
     assert all(by[320 + k] == f"story number {k} of this site" for k in range(20))
 
 
+@pytest.mark.parametrize("pages", [2, 3, 7])
+def test_template_of_a_small_host_is_removed(frame, pages):
+    rows = [(k, f"http://s.example/{k}", f"<div><p>Site of ours</p></div><div><p>story {k} of this small site, longer than its menu</p></div>"
+             + ("<p>said twice</p>" if pages > 4 and k < 2 else "")) for k in range(pages)]
+    rows += [(50, "http://one.example/", "<p>Alone</p><p>on its host with a text</p>")] * 2
+    by = {r.page_id: r.text for r in H.extract(frame(rows, PAGES)).collect()}
+    assert by.pop(50) == "Alone\n\non its host with a text"
+    assert by == {k: f"story {k} of this small site, longer than its menu" + ("\n\nsaid twice" if pages > 4 and k < 2 else "")
+                  for k in range(pages)}
+
+
 @pytest.mark.parametrize("url,key", [
     ("http://M.Example.com:80/a/B?x=1#top", "com,example,m)/a/B?x=1"), ("https://e.org", "org,e)/"), ("http://h:8080/", "h:8080)/"),
     (None, ""), ("", ""), ("no url", ")no%20url"), ("http://[bad", "http://[bad")])
