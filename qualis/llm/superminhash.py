@@ -45,7 +45,7 @@ SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 SHINGLE, PERCENT = 5, 75
 BLOCK = 256  # representatives of one block of a bucket
-CLOSE = 0.58  # least share of equal signature slots of pairs that are compared exactly (0.75 is 4.5 sigma above)
+CLOSE = 0.5  # least share of equal signature slots of pairs that are compared exactly (at 0.75 one pair in 3e9 has less)
 _FRACTION = 25  # bits of r in a slot value; the step is above them
 
 

@@ -88,3 +88,17 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.component for r in components(df).collect()}
     assert {got[k] for k in range(41)} == {0} and {got[k] for k in range(1000, 1200)} == {1000} and got[1500] == 1000
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_of_mixed_buckets_lose_less_than_the_bands():
+    from math import comb
+
+    import pyarrow as pa
+    m, p = S.SLOTS, S.PERCENT / 100
+    lost = sum(comb(m, k) * p**k * (1 - p)**(m - k) for k in range(m + 1) if k / m < S.CLOSE)
+    assert lost < 1e-3 * (1 - p**S.ROWS)**S.BANDS
+    text = " ".join(f"w{k}" for k in range(60))
+    sig = np.zeros((2, m), np.uint8)
+    sig[1, :int(m * 0.45)] = 1  # 55 % of the slots are equal
+    cell = pa.table({"rep": [1, 2], "comp": [1, 2], "side": [0, 0], "sig": [x.tobytes() for x in sig], "text": [text, text + " end"]})
+    assert S._near(cell).num_rows == 2 and S._block_links(cell).num_rows == 1
