@@ -30,10 +30,17 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (the smallest id; rows
-    that repeat an id are one document)."""
-    kept = cut(superminhash.link(docs).where("kept").select("doc_id").distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One row of each near-duplicate group stays (the smallest id; rows that
+    repeat an id are one document, of which the least row stays).  Rows with a
+    null id stand under a mark of their text, above all ids below 2^62."""
+    mark = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), mark).alias("__id"), F.struct(*docs.columns).alias("__row"))
+    linked = superminhash.link(named.select(F.col("__id").alias("doc_id"), "__row.text"))
+    kept = cut(linked.groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+               .where("kept").select("__id", "n"))
+    single = named.join(kept.where("n = 1"), "__id", "left_semi").select("__row")
+    repeated = named.join(kept.where("n > 1"), "__id", "left_semi").groupBy("__id").agg(F.min("__row").alias("__row")).select("__row")
+    return single.unionByName(repeated).select(*(F.col("__row").getField(c).alias(c) for c in docs.columns))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,18 @@ def test_stages_take_odd_tables(spark, frame, have_data):
             assert at.columns == cols
         out = C.STAGES[-1][1](spark, at, SMALL)
         assert {r.doc_id for r in out.collect()} == ({1, 5} if table else set())
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark, frame):
+    schema = "doc_id long, text string"
+    say = lambda k: [f"w{k}x{n}" for n in range(60)]
+    text = [" ".join(say(k)) for k in range(5)]
+    rows = [(1, text[0]), (None, text[0]), (2, text[0] + " end"), (None, text[0] + " more"),  # copies of document 1
+            (None, text[1]), (None, text[1]), (None, text[1] + " end"),  # a group without ids
+            (3, text[2]), (3, text[2]), (3, text[2]), (None, text[3]), (4, text[4]), (None, None), (5, None), (6, "")]
+    got = C.near_dedup(spark, frame(rows, schema).repartition(3), SMALL)
+    assert got.columns[:2] == ["doc_id", "text"] and len(got.columns) == len(frame(rows, schema).columns)
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    lone = [t for d, t in left if d is None and t is not None]
+    assert sorted(d for d, _ in left if d is not None) == [1, 3, 4, 5, 6] and (None, None) in left
+    assert len(lone) == 2 and text[3] in lone and sum(t.startswith(text[1]) for t in lone) == 1
