@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualis.llm import (
+    bestfit,
     bradley_terry,
     decontam,
     html_template,
@@ -67,6 +68,10 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(read(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES = {
     "op1_divergence": op1_divergence,
     "op2_superminhash": op2_superminhash,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_preference": op8_preference,
     "op9_main_text": op9_main_text,
     "op10_warc_index": op10_warc_index,
+    "op12_bestfit": op12_bestfit,
 }
 
 ORACLE_SQL = {k: v for k, v in sql.ORACLES.items() if k in QUERIES}
