@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from qualis.llm import (
     bestfit,
     bradley_terry,
+    collocation,
     decontam,
     html_template,
     packing,
@@ -72,6 +73,10 @@ def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(read(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.mine(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_divergence": op1_divergence,
     "op2_superminhash": op2_superminhash,
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_warc_index": op10_warc_index,
     "op12_bestfit": op12_bestfit,
+    "op13_collocation": op13_collocation,
 }
 
 ORACLE_SQL = {k: v for k, v in sql.ORACLES.items() if k in QUERIES}

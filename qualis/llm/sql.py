@@ -124,9 +124,41 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest
 """
 
+_CUTS = "list_transform(range(1, k), lambda i: {{'i': i, 'f': list_aggregate(w[1:i], 'string_agg', ' '), 'r': list_aggregate(w[i + 1:], 'string_agg', ' ')}})"
+OP13 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({LOWER_AZ.format(text="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+words AS MATERIALIZED (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_aggregate(w[i:i + k - 1], 'string_agg', ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*)::BIGINT AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, phrase, a, unnest({_CUTS.format()}) AS c FROM f WHERE k > 1),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cuts.c.i AS i, l.a AS l, r.a AS r,
+    ((2000000::HUGEINT * cuts.a) // (l.a::HUGEINT + r.a))::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = cuts.c.f JOIN f r ON r.lang = cuts.lang AND r.phrase = cuts.c.r),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inner_part AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2),
+    lambda i: list_aggregate(w[i:i + m - 1], 'string_agg', ' '))))) AS phrase FROM f WHERE k > 2),
+around AS (SELECT lang, phrase, max(a) AS a FROM inner_part GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank,
+  b.phrase, b.a, b.l, b.r, sizes.n, b.score
+FROM best b JOIN sizes ON sizes.lang = b.lang LEFT JOIN around ON around.lang = b.lang AND around.phrase = b.phrase
+WHERE around.a IS NULL OR 100::HUGEINT * around.a < 80::HUGEINT * b.a
+QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) <= 2000
+"""
+
 ORACLES = {
     "op1_divergence": OP1,
     "op2_superminhash": OP2,
     "op8_preference": OP8,
     "op10_warc_index": OP10,
+    "op13_collocation": OP13,
 }
