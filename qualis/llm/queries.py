@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualis.llm import (
+    alignment,
     bestfit,
     bradley_terry,
     collocation,
@@ -69,6 +70,10 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(read(spark, sf_dir, "documents"), with_ids=False)
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_preference": op8_preference,
     "op9_main_text": op9_main_text,
     "op10_warc_index": op10_warc_index,
+    "op11_alignment": op11_alignment,
     "op12_bestfit": op12_bestfit,
     "op13_collocation": op13_collocation,
 }
