@@ -27,6 +27,8 @@ further columns are ignored; null ids do not matter.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -120,6 +122,11 @@ def _slots(words: list[np.ndarray], lang_hash: np.ndarray) -> np.ndarray:
     return (_identity(words, lang_hash) >> T.U(64 - SLOT_BITS)).astype(np.int64)
 
 
+def _table(marks) -> np.ndarray:
+    """The broadcast marks: 2^SLOT_BITS numbers, mostly zeros, sent compressed."""
+    return np.frombuffer(zlib.decompress(marks.value), np.uint16)
+
+
 def _open(first: np.ndarray, rest: np.ndarray, step: int) -> np.ndarray:
     """Whether phrases are counted at ``step``, by the marks of their two parts."""
     recent = ((1 << (step + 1)) - 1) & ~((1 << max(0, step + 1 - SHARDS)) - 1)
@@ -156,7 +163,7 @@ def _groups(order_by: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray
 def _count(marks, step: int, seed: int):
     """Rows (lang, key, n, word) of the phrases of a task's texts that are counted at ``step``."""
     def run(batches):
-        table = np.frombuffer(marks.value, np.uint16) if marks is not None else None
+        table = _table(marks) if marks is not None else None
         for part in joined(batches, SLICE):
             names, name_hash, lang = _codes(part.column(0))
             raw, off = T.utf8(part.column(1))
@@ -219,7 +226,7 @@ def _slots_of(batches):
 def _still_open(marks, step: int, names: list[str]):
     """The phrases that have shards left at ``step``."""
     def run(batches):
-        table = np.frombuffer(marks.value, np.uint16)
+        table = _table(marks)
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
             for k, at, words, lh in _by_length(b):
@@ -276,8 +283,8 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
             last = step + 1
             table[new] |= np.uint16(1 << (step + 1))
         if marks is not None:
-            marks.unpersist()
-        marks = spark.sparkContext.broadcast(table.tobytes())
+            marks.destroy()
+        marks = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     found = settled[0]
     for s in settled[1:]:
         found = found.unionByName(s)
