@@ -24,6 +24,7 @@ carried; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from qualis.llm.session import cut, settings
 
 PIECES = "piece_bpe_32k.model"
 BLOCK = 1 << 22  # bytes of text of a block (a longer text is a block of its own)
-PAIRS = 1 << 20  # links of id pairs that are made at once
-_SHIFT = 16  # a link's code: A id above B id (both vocabularies have under 2^16 ids)
+PAIRS = 1 << 20  # links that are made at once
+WIDE = 256  # links of a group from which equal ids of a group are put together first
+STRIDE = 32_000  # a pair's code: A id * STRIDE + B id; it must hold B's ids, and all codes must be under 2^32
 
 
 def default_paths() -> tuple[str, str, str]:
@@ -55,8 +57,23 @@ class _Vocabulary:
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
         self.names = pa.array([str(i) for i in range(len(tokens))])
 
-    def spell(self, ids: np.ndarray) -> np.ndarray:
-        return self.data[T.ranges(self.start[ids], self.size[ids])]
+    def spells(self, rows: list[np.ndarray], raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """For each text of a slice whether the bytes of its tokens are a space and the text."""
+        counts = np.array([len(x) for x in rows])
+        ids = np.concatenate(rows)
+        size = self.size[ids]
+        long = T.row_sums(size, np.concatenate([[0], np.cumsum(counts)]))
+        out = long == np.diff(offsets) + 1
+        keep = np.repeat(out, counts)
+        got = self.data[T.ranges(self.start[ids[keep]], size[keep])]
+        at = np.concatenate([[0], np.cumsum(long[out])])
+        same = np.ones(len(got), bool)
+        first = np.zeros(len(got), bool)
+        first[at[:-1]] = True
+        same[first] = got[first] == 32
+        same[~first] = got[~first] == raw[T.ranges(offsets[:-1][out], np.diff(offsets)[out])]
+        out[out] = T.row_sums(~same, at) == 0
+        return out
 
 
 class Pair:
@@ -81,11 +98,8 @@ class Pair:
                           num_threads=1)
         b = [np.array(x, np.uint32) for x in b]
         good = np.diff(offsets) > 0
-        for k in np.flatnonzero(good).tolist():
-            want = raw[offsets[k]:offsets[k + 1]]
-            for ids, vocab in ((a[k], self.vocab_a), (b[k], self.vocab_b)):
-                got = vocab.spell(ids)
-                good[k] &= len(got) == len(want) + 1 and got[0] == 32 and np.array_equal(got[1:], want)
+        for ids, vocab in ((a, self.vocab_a), (b, self.vocab_b)):
+            good &= vocab.spells(ids, raw, offsets)
         return *(_lists([x if g else x[:0] for x, g in zip(ids, good, strict=True)]) for ids in (a, b)), good
 
 
@@ -104,30 +118,33 @@ def loaded(paths: tuple[str, str, str]) -> Pair:
 
 
 def _ends(lists: pa.ListArray, sizes: np.ndarray) -> pa.Table:
-    """(doc, end, id, at) of all tokens: the byte offset inside its document where each ends."""
+    """All tokens of a slice: doc, id, at (place in the slice), and key, the document's
+    number in the slice above the byte offset inside it where the token ends."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).cast(pa.int64())
-    size = pc.take(pa.array(sizes), ids)
-    run = pc.cumulative_sum(size)
-    first = pc.list_value_length(lists)  # segment restart: take off what stood before the document
-    starts = np.concatenate([[0], np.cumsum(first.to_numpy(zero_copy_only=False))])[:-1]
-    total = np.concatenate([[0], run.to_numpy(zero_copy_only=False)])
-    end = pc.subtract(run, pc.take(pa.array(total[starts]), doc))
-    return pa.table({"doc": doc, "end": end, "id": ids, "at": pa.array(np.arange(len(ids)))})
-
-
-def _grouped(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """For every token of ``left``: whether a token of ``right`` ends with it, and its group
-    (groups are numbered through the batch)."""
-    joined = left.select(["doc", "end", "at"]).join(
-        right.select(["doc", "end"]).append_column("hit", pa.array(np.ones(right.num_rows, np.int64))),
-        keys=["doc", "end"], join_type="left outer", use_threads=False)
-    mark = np.zeros(left.num_rows, np.int64)
-    mark[joined["at"].to_numpy()] = joined["hit"].fill_null(0).to_numpy()
-    mark = pa.array(mark)
-    return mark.to_numpy(), pc.subtract(pc.cumulative_sum(mark), mark).to_numpy()
-
-
-def _text_of(groups: list[tuple[np.ndarray, pa.Array, pa.Array]], docs: np.ndarray, rows: int) -> list[str]:
+    run = pc.cumulative_sum(pc.take(pa.array(sizes), ids))
+    count = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], run.to_numpy(zero_copy_only=False)])[np.cumsum(count) - count]
+    # segment restart: take off what stood before the document
+    end = pc.subtract(run, pc.take(pa.array(before), doc))
+    key = pc.bit_wise_or(pc.shift_left(doc, 32), end)
+    return pa.table({"key": key, "doc": doc, "id": ids, "at": pa.array(np.arange(len(ids)))})
+
+
+def _grouped(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of A that end where one of B ends, and the group of each token of A and of B
+    (groups are numbered through the slice)."""
+    both = a.select(["key", "at"]).join(b.select(["key", "at"]).rename_columns(["key", "other"]), keys="key",
+                                        join_type="inner", use_threads=False)
+    out = []
+    for table, column in ((a, "at"), (b, "other")):
+        mark = np.zeros(table.num_rows, np.int64)
+        mark[both[column].to_numpy()] = 1
+        out.append(mark)
+    groups = [pc.subtract(pc.cumulative_sum(pa.array(m)), pa.array(m)).to_numpy() for m in out]
+    return np.flatnonzero(out[0]), *groups
+
+
+def _text_of(groups: list[tuple[np.ndarray, pa.Array, pa.Array]], docs: np.ndarray, rows: int) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3`` for each document: per side (group of each token, ids, names)."""
     n = len(docs)
     sides = []
@@ -137,137 +154,159 @@ def _text_of(groups: list[tuple[np.ndarray, pa.Array, pa.Array]], docs: np.ndarr
         sides.append(pc.binary_join(words, pa.scalar(",", pa.large_string())))
     both = pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string()))
     by_doc = pa.LargeListArray.from_arrays(pa.array(np.searchsorted(docs, np.arange(rows + 1)), pa.int64()), both)
-    return pc.binary_join(by_doc, pa.scalar(";", pa.large_string())).to_pylist()
+    return pc.binary_join(by_doc, pa.scalar(";", pa.large_string()))
 
 
 def _links(groups: list[tuple[np.ndarray, pa.Array]], docs: np.ndarray) -> pa.Table:
-    """(doc, code, n): how often each id pair is linked in each document."""
-    sides = []
-    for group, ids in groups:  # equal ids of a group once, with their number
-        t = pa.table({"group": group, "id": ids}).group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")])
-        t = t.sort_by("group")
-        sides.append((t["group"].to_numpy(), t["id"].to_numpy().astype(np.int64), t["count_all"].to_numpy()))
-    (ga, ia, na), (gb, ib, nb) = sides
-    n = len(docs)
-    ob = np.searchsorted(gb, np.arange(n + 1))
-    partners = np.diff(ob)[ga]  # for each A id of a group: how many B ids it meets
+    """(key, n), sorted: how often each id pair is linked in each document; the key is the
+    document's number in the slice above the pair's code."""
+    off = [np.searchsorted(g, np.arange(len(docs) + 1)) for g, _ in groups]
+    times = None
+    if len(docs) and (np.diff(off[0]) * np.diff(off[1])).max() > WIDE:  # equal ids of a group once, with their number
+        groups = [_repeats(*side) for side in groups]
+        off = [np.searchsorted(g, np.arange(len(docs) + 1)) for g, _, _ in groups]
+        times = [n for _, _, n in groups]
+    (ga, ia), (gb, ib) = ((g[0], g[1].to_numpy(zero_copy_only=False).astype(np.int64)) for g in groups)
+    partners = np.diff(off[1])[ga]  # for each A id of a group: how many B ids it meets
     done = np.concatenate([[0], np.cumsum(partners)])
     parts, i = [], 0
     while i < len(ga):  # bounded products
         j = max(i + 1, int(np.searchsorted(done, done[i] + PAIRS, "right")) - 1)
         a = np.repeat(np.arange(i, j), partners[i:j])
-        b = T.ranges(ob[ga[i:j]], partners[i:j])
-        t = pa.table({"doc": docs[ga[a]], "code": ia[a] << _SHIFT | ib[b], "n": na[a] * nb[b]})
-        parts.append(t.group_by(["doc", "code"], use_threads=False).aggregate([("n", "sum")])
-                     .rename_columns(["doc", "code", "n"]))
+        b = T.ranges(off[1][ga[i:j]], partners[i:j])
+        t = pa.table({"key": docs[ga[a]] << 32 | ia[a] * STRIDE + ib[b],
+                      "n": times[0][a] * times[1][b] if times else np.ones(len(a), np.int64)})
+        parts.append(_sums(t))
         i = j
-    if not parts:
-        return pa.table({"doc": pa.array([], pa.int64()), "code": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    t = pa.concat_tables(parts)
-    if len(parts) > 1:
-        t = t.group_by(["doc", "code"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["doc", "code", "n"])
-    return t.sort_by("doc").combine_chunks()
+    t = parts[0] if len(parts) == 1 else _sums(pa.concat_tables(parts)) if parts else \
+        pa.table({"key": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    return t.sort_by("key").combine_chunks()
+
+
+def _sums(t: pa.Table) -> pa.Table:
+    return t.group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns(["key", "n"])
 
 
-def _slice(tool: Pair, ids: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Table, pa.Table]:
-    """Per document: digest columns; and its links (doc, code, n)."""
+def _repeats(group: np.ndarray, ids: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    t = pa.table({"group": group, "id": ids}).group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")])
+    t = t.sort_by("group").combine_chunks()
+    return t["group"].to_numpy(), t["id"].combine_chunks(), t["count_all"].to_numpy()
+
+
+def _slice(tool: Pair, ids: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Table, pa.Table, np.ndarray]:
+    """Digest columns of each document, the slice's links, and where each document's links start."""
     la, lb, good = tool.encode(raw, offsets)
     rows = len(offsets) - 1
     ta, tb = _ends(la, tool.vocab_a.size), _ends(lb, tool.vocab_b.size)
-    mark, ga = _grouped(ta, tb)
-    _, gb = _grouped(tb, ta)
-    docs = ta["doc"].to_numpy()[mark == 1]  # of each group
+    ends, ga, gb = _grouped(ta, tb)
+    docs = ta["doc"].to_numpy()[ends]  # of each group
     a, b = ta["id"].combine_chunks(), tb["id"].combine_chunks()
     texts = _text_of([(ga, a, tool.vocab_a.names), (gb, b, tool.vocab_b.names)], docs, rows)
     links = _links([(ga, a), (gb, b)], docs)
-    n_groups = np.bincount(docs, minlength=rows)
-    digest = [hashlib.sha256(t.encode()).hexdigest() if g else "" for t, g in zip(texts, good.tolist(), strict=True)]
-    off = np.searchsorted(links["doc"].to_numpy(), np.arange(rows + 1))
-    n_links = T.row_sums(links["n"].to_numpy(), off)
-    number = [pc.list_value_length(x).cast(pa.int64()) for x in (la, lb)]
-    out = pa.table({
-        "doc_id": ids, "n_a": number[0], "n_b": number[1], "n_groups": pa.array(n_groups, pa.int64()),
-        "n_links": pa.array(n_links, pa.int64()), "groups_sha256": pa.array(digest),
-        "codes": pa.LargeListArray.from_arrays(pa.array(off, pa.int64()), links["code"].combine_chunks()).cast(pa.list_(pa.int64())),
-        "times": pa.LargeListArray.from_arrays(pa.array(off, pa.int64()), links["n"].combine_chunks()).cast(pa.list_(pa.int64()))})
-    return out, links
-
-
-def _align(paths: tuple[str, str, str]):
+    off = np.searchsorted(links["key"].to_numpy(), np.arange(rows + 1) << 32)
+    digest = [hashlib.sha256(t.encode()).hexdigest() if g else "" for t, g in zip(texts.to_pylist(), good.tolist(), strict=True)]
+    n_a, n_b = (pc.list_value_length(x).cast(pa.int64()) for x in (la, lb))
+    return pa.table({
+        "doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": pa.array(np.bincount(docs, minlength=rows), pa.int64()),
+        "n_links": pa.array(T.row_sums(links["n"].to_numpy(), off), pa.int64()), "groups_sha256": pa.array(digest),
+        "groups": texts}), links, off
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers under 2^32, byte planes first so that small ones cost little."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _align(paths: tuple[str, str, str], with_groups: bool):
     def run(batches):
         tool = loaded(paths)
         block = 0
         for table in B.joined(batches, BLOCK):
             raw, off = T.utf8(table.column(1))
-            ids, part = table.column(0), table.column(2)
-            task = int(part[0].as_py()) << 32
-            for lo, hi in T.slices(off, BLOCK):  # a block
-                sums = []
+            ids = table.column(0)
+            task = int(table.column(2)[0].as_py()) << 32
+            for lo, hi in T.slices(off, BLOCK):
+                done = []
                 for i, j in T.slices(off[lo:hi + 1], T.SLICE):
                     i, j = i + lo, j + lo
-                    rows, links = _slice(tool, ids.slice(i, j - i), raw[off[i]:off[j]], off[i:j + 1] - off[i])
-                    sums.append(links.group_by("code", use_threads=False).aggregate([([], "count_all")]))
-                    yield from _out(rows, task + block, ids.type)
-                counts = pa.concat_tables(sums).rename_columns(["code", "docs"]).group_by("code", use_threads=False) \
-                    .aggregate([("docs", "sum")])
-                yield from _out(pa.table({"code": counts["code"], "docs": counts["docs_sum"]}), task + block, ids.type)
+                    done.append(_slice(tool, ids.slice(i, j - i), raw[off[i]:off[j]], off[i:j + 1] - off[i]))
+                yield from _block(task + block, done, ids.type, with_groups)
                 block += 1
     return run
 
 
+def _block(block: int, done: list, id_type: pa.DataType, with_groups: bool):
+    """The rows of a block: its documents, whose links name the block's pairs by their place
+    among its sorted codes, and its pairs with the number of its documents that have them."""
+    code = pa.chunked_array([pc.bit_wise_and(links["key"], (1 << 32) - 1) for _, links, _ in done], pa.int64())
+    pairs = pa.table({"code": code}).group_by("code", use_threads=False).aggregate([([], "count_all")]).sort_by("code")
+    known = pairs["code"].to_numpy()
+    for rows, links, off in done:
+        place = np.searchsorted(known, links["key"].to_numpy() & ((1 << 32) - 1))
+        times = links["n"].to_numpy()
+        held = []
+        for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            p = place[i:j]  # ascending: the steps are small
+            held.append(None if i == j else _packed(np.concatenate([np.diff(p, prepend=0), times[i:j] & 0xFFFFFFFF, times[i:j] >> 32])))
+        yield from _out(rows.append_column("links", pa.array(held, pa.binary())), block, id_type, with_groups)
+    yield from _out(pa.table({"code": known, "docs": pairs["count_all"]}), block, id_type, with_groups)
+
+
 _COLUMNS = [("doc_id", None), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
-            ("groups_sha256", pa.string()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+            ("groups_sha256", pa.string()), ("groups", pa.large_string()), ("links", pa.binary()),
             ("code", pa.int64()), ("docs", pa.int64())]
 
 
-def _out(table: pa.Table, block: int, id_type: pa.DataType):
+def _out(table: pa.Table, block: int, id_type: pa.DataType, with_groups: bool):
     """Rows of one of the two kinds: a document with its links, or a block's count of a pair."""
     n = table.num_rows
     cols = {"block": pa.array(np.full(n, block, np.int64))}
     for name, kind in _COLUMNS:
+        if name == "groups" and not with_groups:
+            continue
         cols[name] = table[name] if name in table.column_names else pa.nulls(n, kind or id_type)
+    cols = {k: pc.cast(v, pa.string()) if k == "groups" else v for k, v in cols.items()}
     yield from pa.table(cols).combine_chunks().to_batches()
 
 
 def _total(rows: pa.Table, known: pa.Table) -> pa.Table:
-    """The documents of a block with the sums over their links (``known``: code, n, best)."""
-    codes = rows["codes"].combine_chunks()
-    links = pa.table({"row": pc.list_parent_indices(codes).cast(pa.int64()), "code": pc.list_flatten(codes),
-                      "times": pc.list_flatten(rows["times"].combine_chunks())})
-    found = links.join(known.select(["code", "n", "best"]), keys="code", join_type="inner", use_threads=False)
-    found = pa.table({"row": found["row"], "sum": pc.multiply(found["n"], found["times"]),
-                      "best": pc.multiply(found["best"], found["times"])})
-    found = found.group_by("row", use_threads=False).aggregate([("sum", "sum"), ("best", "sum")])
-    at = found["row"].to_numpy()
-    out = {c: rows[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-    for name, col in (("n_best", "best_sum"), ("count_sum", "sum_sum")):
-        x = np.zeros(rows.num_rows, np.int64)
-        x[at] = found[col].to_numpy()
-        out[name] = pa.array(x)
-    return pa.table(out | {"groups_sha256": rows["groups_sha256"]})
-
-
-def links(docs: DataFrame, paths: tuple[str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(documents with the list of their id pairs (``codes``, ``times``) by block, pair counts):
-    block, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, codes, times; and block, code, docs."""
+    """The documents of a block with the sums over their links (``known``: code, n, best
+    of all the block's pairs)."""
+    known = known.sort_by("code")
+    out = np.zeros((rows.num_rows, 2), np.int64)
+    values = [known[c].to_numpy() for c in ("best", "n")]
+    for i, data in enumerate(rows["links"].to_pylist()):
+        if data is not None:
+            steps, low, high = _unpacked(data).reshape(3, -1)
+            place = np.cumsum(steps)
+            out[i] = [int(((high << 32 | low) * v[place]).sum()) for v in values]
+    cols = {c: rows[c] for c in rows.column_names if c not in ("block", "links")}
+    return pa.table(cols | {"n_best": pa.array(out[:, 0]), "count_sum": pa.array(out[:, 1])})
+
+
+def pair_counts(partial: DataFrame) -> DataFrame:
+    """(code, a, b, n): in how many documents each A id is linked with each B id."""
+    return (partial.groupBy("code").agg(F.sum("docs").alias("n"))
+            .select("code", (F.col("code") / STRIDE).cast("long").alias("a"), (F.col("code") % STRIDE).alias("b"), "n"))
+
+
+def align(docs: DataFrame, paths: tuple[str, str, str] | None = None, with_groups: bool = False) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, groups_sha256, (groups,) n_best, count_sum for every row of ``docs``."""
     settings(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part"))
-    own = docs.schema["doc_id"].dataType.simpleString()
-    rows = cut(docs.mapInArrow(_align(paths or default_paths()), (
-        f"block long, doc_id {own}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-        "codes array<long>, times array<long>, code long, docs long")))
-    return rows.where("code is null").drop("code", "docs"), rows.where("code is not null").select("block", "code", "docs")
-
-
-def align(docs: DataFrame, paths: tuple[str, str, str] | None = None) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every row of ``docs``."""
-    rows, partial = links(docs, paths)
-    counts = cut(partial.groupBy("code").agg(F.sum("docs").alias("n")))
-    a = F.shiftright("code", _SHIFT)
-    top = counts.groupBy(a.alias("a")).agg(F.max("n").alias("top"))  # one row per id of A's vocabulary
-    known = (counts.withColumn("a", a).join(F.broadcast(top), "a")
+    head = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, n_links long, "
+            "groups_sha256 string" + ", groups string" * with_groups)
+    rows = cut(docs.mapInArrow(_align(paths or default_paths(), with_groups),
+                               f"block long, {head}, links binary, code long, docs long"))
+    partial = rows.where("code is not null").select("block", "code", "docs")
+    counts = cut(pair_counts(partial))
+    top = counts.groupBy("a").agg(F.max("n").alias("top"))  # one row per id of A's vocabulary
+    known = (counts.join(F.broadcast(top), "a")
              .select("code", "n", (F.col("n") == F.col("top")).cast("long").alias("best")))
     asked = partial.select(F.col("block").alias("asker"), "code").join(known, "code")
-    own = rows.schema["doc_id"].dataType.simpleString()
-    return rows.groupBy("block").cogroup(asked.groupBy("asker")).applyInArrow(_total, (
-        f"doc_id {own}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"))
+    return (rows.where("code is null").drop("code", "docs").groupBy("block").cogroup(asked.groupBy("asker"))
+            .applyInArrow(_total, f"{head}, n_best long, count_sum long"))

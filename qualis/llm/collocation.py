@@ -40,7 +40,7 @@ from qualis.llm.session import cut, discard, settings
 
 LEAST = 30  # occurrences of a candidate
 LONGEST = 4  # words of a phrase
-SHARDS = 4
+SHARDS = 3
 TOP = 2000  # rows of a language
 SCALE = 2_000_000
 COVERED = 80  # percent of a phrase's occurrences inside a longer one
@@ -248,10 +248,10 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
                             F.col("text").cast("string").alias("text"), slot.alias("shard")), "shard")
     counts = [f"c{s}" for s in range(SHARDS)]
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in counts), F.lit(0))
-    schema = "lang string, key binary, " + ", ".join(f"{c} long" for c in counts) + ", mark int, low string, high string"
-    names = ["lang", "key", *counts, "mark", "low", "high"]
+    schema = "lang string, key binary, word string, " + ", ".join(f"{c} long" for c in counts) + ", mark int"
+    names = ["lang", "key", "word", *counts, "mark"]
     marks, table = None, np.zeros(1 << SLOT_BITS, np.uint16)
-    state, settled, words = None, [], None
+    state, settled, marked, words = None, [], [], None
     last = -1  # last step at which a phrase that can be part of another was marked
     for step in range(LONGEST * SHARDS):
         if step >= SHARDS and step - last >= SHARDS:
@@ -259,25 +259,28 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
         now = f"c{step % SHARDS}"
         scan = (texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
                 .mapInArrow(_count(marks, step, seed), "lang string, key binary, n long, word string"))
-        rows = scan.select("lang", "key", "n", *[F.lit(None).cast("long").alias(c) for c in counts],
-                           F.lit(None).cast("int").alias("mark"), F.col("word").alias("low"), F.col("word").alias("high"))
+        rows = scan.select("lang", "key", "word", "n", *[F.lit(None).cast("long").alias(c) for c in counts],
+                           F.lit(None).cast("int").alias("mark"))
         if state is not None:
             kept = state.mapInArrow(_still_open(marks, step, names), schema)
             rows = rows.unionByName(kept.withColumn("n", F.lit(None).cast("long")))
-        rows = rows.groupBy("lang", "key").agg(
-            F.sum("n").alias("n"), *[F.max(c).alias(c) for c in counts], F.max("mark").alias("mark"),
-            F.min("low").alias("low"), F.max("high").alias("high"))
+        rows = rows.groupBy("lang", "key", "word").agg(
+            F.sum("n").alias("n"), *[F.max(c).alias(c) for c in counts], F.max("mark").alias("mark"))
         rows = rows.withColumn(now, F.coalesce("n", now)).drop("n")
         before, state = state, cut(rows.withColumn("mark", F.coalesce("mark", F.when(total >= least, step + 1))))
         if before is not None:
             discard(before)
-        settled.append(cut(state.where(total >= least).select("lang", "key", *counts, "low")))
+        settled.append(cut(state.where(total >= least).select("lang", "key", "word", *counts)))
         if step == SHARDS - 1:
             single = state.where(F.octet_length("key") == 8)
-            if not single.where("low <> high").isEmpty():
+            if not single.groupBy("lang", "key").count().where("count > 1").isEmpty():  # two words with one hash
                 return frequent(docs, least, seed + 1)
             words = cut(single.groupBy("lang").agg(F.sum(total).alias("n")))
         fresh = state.where((F.col("mark") == step + 1) & (F.octet_length("key") < 8 * LONGEST)).select("lang", "key")
+        for m in marked:  # a slot's other marks may have a settled phrase counted again
+            fresh = fresh.join(m, ["lang", "key"], "left_anti")
+        fresh = cut(fresh)
+        marked.append(fresh)
         new = fresh.mapInArrow(_slots_of, "slot long").distinct().toArrow()["slot"].to_numpy()  # SLOTS numbers at most
         if len(new):
             last = step + 1
@@ -288,9 +291,9 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
     found = settled[0]
     for s in settled[1:]:
         found = found.unionByName(s)
-    found = found.groupBy("lang", "key").agg(*[F.max(c).alias(c) for c in counts], F.min("low").alias("word"))
+    found = found.groupBy("lang", "key", "word").agg(*[F.max(c).alias(c) for c in counts])
     out = cut(found.select("lang", "key", (F.octet_length("key") / 8).cast("int").alias("words"), total.alias("f"), "word"))
-    for df in (state, texts, *settled):
+    for df in (state, texts, *settled, *marked):
         discard(df)
     return out, words
 

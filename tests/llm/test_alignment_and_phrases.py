@@ -103,7 +103,9 @@ def key(row):
 def test_alignment_equals_plain_python(spark, frame, have_data):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{MID}/documents.parquet").limit(60).collect()]
     rows += [(5000 + k, t) for k, t in enumerate(ODD)] + [(None, "the the of"), (5001, "of of"), (5001, "of of")]
-    got = [tuple(r) for r in A.align(frame(rows, DOCS).repartition(6)).collect()]
+    got = A.align(frame(rows, DOCS).repartition(6), with_groups=True).collect()
+    assert all(r.groups_sha256 == (hashlib.sha256(r.groups.encode()).hexdigest() if r.n_a else "") for r in got)
+    got = [(r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in got]
     assert sorted(got, key=key) == sorted(plain_alignment(rows), key=key)
 
 
@@ -111,18 +113,20 @@ def test_alignment_of_no_rows(frame):
     assert A.align(frame([], DOCS)).collect() == []
 
 
-def test_many_partners_in_one_group_are_all_linked(monkeypatch):
+@pytest.mark.parametrize("wide", [0, 1 << 30])
+def test_many_partners_in_one_group_are_all_linked(monkeypatch, wide):
     monkeypatch.setattr(A, "PAIRS", 7)
+    monkeypatch.setattr(A, "WIDE", wide)
     rng = random.Random(3)
     groups = [([rng.randrange(9) for _ in range(rng.randint(1, 12))], [rng.randrange(9) for _ in range(rng.randint(1, 12))])
               for _ in range(40)]
     docs = np.sort(np.array([rng.randrange(5) for _ in groups]))
     sides = [(np.repeat(np.arange(40), [len(g[s]) for g in groups]), pa.array([x for g in groups for x in g[s]], pa.uint32()))
              for s in (0, 1)]
-    want = Counter((int(d), x << 16 | y) for d, g in zip(docs, groups) for x in g[0] for y in g[1])
+    want = Counter(int(d) << 32 | x * A.STRIDE + y for d, g in zip(docs, groups) for x in g[0] for y in g[1])
     got = A._links(sides, docs)
-    assert {(r["doc"], r["code"]): r["n"] for r in got.to_pylist()} == dict(want)
-    assert got["doc"].to_pylist() == sorted(got["doc"].to_pylist())
+    assert {r["key"]: r["n"] for r in got.to_pylist()} == dict(want)
+    assert got["key"].to_pylist() == sorted(got["key"].to_pylist())
 
 
 def item_by_item(items, capacity):
