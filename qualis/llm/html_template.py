@@ -54,9 +54,9 @@ SMALL_SHARE = 0.5  # on hosts of under MIN_PAGES / SMALL_SHARE bodies
 MOST, OWN = 0.8, 0.25
 MAX_SHARED = 2_000_000  # keys of 25 bytes
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
+_COMMENT_END = re.compile("--!?>")
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,13 +76,28 @@ DROP_TAGS = frozenset(
     "nav footer aside form script style noscript template svg iframe button select textarea dialog head title menu "
     "object canvas audio video math map".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+DEPTH = 512  # open elements; deeper ones follow each other instead of nesting
 DROP_NAMES = (
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices popup modal overlay newsletter subscribe sidebar widget widgets menu nav navbar "
     "navigation breadcrumb breadcrumbs header footer masthead topbar comment comments disqus replies respond share "
     "sharing social related recommended toolbar pagination pager skip-link").split()
-_DROP_CLASS = re.compile(r"(?:^|[-_])(?:" + "|".join(DROP_NAMES) + r")(?:$|[-_])")
 _DROP_WHOLE = frozenset(DROP_NAMES)
+#: words that say where or how a part stands, not what it is
+PLACE_NAMES = frozenset(
+    "area article articles aside bar block body bottom box button buttons center col column container content desktop fixed "
+    "floating form global group icons image inline inner item items left link links list local main middle mobile outer page "
+    "panel post posts primary rail region right section secondary site slot sticky stories the thread top unit wrap wrapper"
+    .split())
+
+
+def _names_boilerplate(token: str) -> bool:
+    """A class is a drop name, or drop names and words of place joined by - and _: ``site-footer``
+    and ``ad_slot_2`` are, ``market-share`` and ``related-work`` are not."""
+    if token in _DROP_WHOLE:
+        return True
+    parts = [p for p in re.split("[-_]+", token) if p and not p.isdigit()]
+    return any(p in _DROP_WHOLE for p in parts) and all(p in _DROP_WHOLE or p in PLACE_NAMES for p in parts)
 
 
 def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
@@ -97,7 +112,7 @@ def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
             return True
         if name in ("class", "id") and tag not in ("html", "body"):
             for token in value.split():
-                if token in _DROP_WHOLE or (tag not in ("article", "main") and _DROP_CLASS.search(token)):
+                if token in _DROP_WHOLE or (tag not in ("article", "main") and _names_boilerplate(token)):
                     return True
     return False
 
@@ -112,6 +127,36 @@ _KEYS = [("key", np.int64), ("n", np.int64), ("spare", np.int64), ("most", np.bo
 NO_TEMPLATE = np.zeros(0, _KEYS)
 
 
+def _tokens(source: str):
+    """(start, end, tag name or '', whether it closes, attributes) of the markup of a page, in
+    order; a comment or declaration has no name. One pass: a quoted attribute value may hold
+    ``>``; where a quote stays open the tag ends at the first ``>``; a ``<`` that no ``>``
+    follows, or that starts no markup, is text."""
+    last = source.rfind(">")
+    at = source.find("<")
+    while 0 <= at:
+        stop, name, closing, attrs = -1, "", source.startswith("</", at), ""
+        word = _NAME.match(source, at + 1 + closing)
+        if source.startswith("<!--", at):
+            end = _COMMENT_END.search(source, at + 4)
+            stop = end.end() if end else len(source)
+        elif at > last:
+            return
+        elif word:
+            name, first = word.group().lower(), word.end()
+            mark = _STOP.search(source, first)
+            while mark and mark.group() != ">":
+                quote = source.find(mark.group(), mark.end())
+                mark = _STOP.search(source, quote + 1) if quote >= 0 else None
+            stop = mark.end() if mark else source.find(">", first) + 1
+            attrs = source[first:stop - 1] if stop > 0 else ""
+        elif source[at + 1:at + 2] in ("!", "?", "/"):
+            stop = source.find(">", at + 2) + 1
+        if stop > 0:
+            yield at, stop, name, closing, attrs
+        at = source.find("<", stop if stop > 0 else at + 1)
+
+
 class Frame:
     __slots__ = ("tag", "marks", "parts", "size", "at", "drop", "main", "holds")
 
@@ -135,7 +180,7 @@ class Page:
 
     def flush(self) -> None:
         if self.run:
-            text = " ".join(entities.unescape("".join(self.run)).split())
+            text = " ".join("".join(self.run).split())
             self.run.clear()
             if text:
                 self.blocks.append((text, self.stack[-1].main))
@@ -148,7 +193,7 @@ class Page:
         if not top.drop:
             top.size += len(bare)
             self.total += len(bare)
-            self.run.append(data)
+            self.run.append(entities.unescape(data))  # a reference never spans two text nodes
 
     def open(self, tag: str, attrs: str) -> None:
         if tag in ENDS_P and any(f.tag == "p" for f in self.stack[-3:]):
@@ -170,6 +215,8 @@ class Page:
         if main and not top.main:
             for f in self.stack:
                 f.holds = True
+        while len(self.stack) > DEPTH:
+            self.pop()
         self.stack.append(Frame(tag, _marks(attrs), len(self.blocks), drop, main))
 
     def close(self, tag: str, scope=frozenset()) -> None:
@@ -197,34 +244,31 @@ class Page:
             self.places.append((key, f.at, len(self.blocks), f.size))
 
     def walk(self, source: str) -> "Page":
-        at, end = 0, len(source)
-        while at < end:
-            m = _TOKEN.search(source, at)
-            if m is None:
-                self.text(source[at:])
-                break
-            if m.start() > at:
-                self.text(source[at:m.start()])
-            at = m.end()
-            tag = m.group(2) or m.group(5)
-            if not tag:
+        at = 0
+        for start, stop, name, closing, attrs in _tokens(source):
+            if start < at:  # inside a raw text element
+                continue
+            if start > at:
+                self.text(source[at:start])
+            at = stop
+            if not name:
                 continue
-            tag = tag.lower()
-            if m.group(1) or m.group(4):
-                if tag == "br":
+            if closing:
+                if name == "br":
                     self.open("br", "")
-                elif tag not in ("body", "html"):
-                    self.close(tag, frozenset() if tag in SCOPES or tag in ENDS_P else frozenset(("article", "main")))
+                elif name not in ("body", "html"):
+                    self.close(name, frozenset() if name in SCOPES or name in ENDS_P else frozenset(("article", "main")))
                 continue
-            attrs = m.group(3) or m.group(6) or ""
-            self.open(tag, attrs)
-            if tag in RAW and not attrs.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(source, at)
-                body = source[at:stop.start() if stop else end]
+            self.open(name, attrs)
+            if name in RAW and not attrs.rstrip().endswith("/"):
+                last = re.compile(rf"</{re.escape(name)}\s*>?", re.I).search(source, at)
+                body = source[at:last.start() if last else len(source)]
                 if body.strip():
                     self.stack[-1].parts.append(body.strip().encode("utf-8", "replace"))
-                at = stop.end() if stop else end
-                self.close(tag)
+                at = last.end() if last else len(source)
+                self.close(name)
+        if at < len(source):
+            self.text(source[at:])
         while len(self.stack) > 1:
             self.pop()
         self.flush()
