@@ -12,9 +12,11 @@ Plan: one pass over the texts makes, per document, the size and a 128-bit
 fingerprint of its shingle set, and the signature.  Equal sets become one class
 (partial aggregate), so thousands of exact copies cost one representative.
 Bands of ``ROWS`` signature values put representatives into buckets.  Each
-representative is first checked against the smallest representative of its
-buckets (one link each at most, never all pairs); components of the confirmed
-links are formed by union-find.  Buckets whose members then still lie in
+representative is first checked against one other, of the least members of its
+buckets that with which it shares most buckets (one link each at most, never all
+pairs): signatures first, on narrow rows, then the full sets of the pairs that
+pass.  Only their texts are moved (``sieve``).  Components of the confirmed links
+are formed by union-find.  Buckets whose members then still lie in
 several components are compared exactly, in blocks: the bucket's largest
 component meets only the members outside it, a block pair is one group of
 bounded size. Signatures pick the members of a block pair that are close to one
@@ -39,7 +41,8 @@ from pyspark.sql import functions as F
 
 from qualis.llm import text as T
 from qualis.llm.components import components
-from qualis.llm.session import cut, settings
+from qualis.llm.session import cut, discard, settings
+from qualis.llm.sieve import moved
 
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
@@ -109,14 +112,30 @@ def _sketch(batches):
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "f1", "f2", "bands", "sig"])
 
 
-def _confirm(batches):
-    """Pairs (a, b, ta, tb) whose whole shingle sets reach the threshold."""
+def _alike(batches):
+    """Pairs (a, b, sa, sb) with enough equal signature slots."""
     for b in batches:
-        hit = [jaccard(x, y) for x, y in zip(_sets(b.column(2)), _sets(b.column(3)), strict=True)]
-        keep = pa.array(hit, pa.bool_())
+        sa, sb = (_signature_rows(b.column(k)) for k in (2, 3))
+        keep = pa.array((sa == sb).mean(axis=1) >= CLOSE) if b.num_rows else pa.array([], pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(keep)
 
 
+def _signature_rows(column) -> np.ndarray:
+    return np.array([np.frombuffer(x, np.uint8) for x in column.to_pylist()])
+
+
+def _confirm(batches):
+    """Pairs (a, b, ta, tb) whose whole shingle sets reach the threshold; sets are held for
+    slices of bounded size."""
+    for b in batches:
+        ends = np.cumsum([b.column(k).nbytes / max(1, b.num_rows) for k in (2, 3)])[-1]
+        step = max(1, int(T.SLICE // max(1, ends)))
+        for i in range(0, b.num_rows, step):
+            part = b.slice(i, step)
+            hit = [jaccard(x, y) for x, y in zip(_sets(part.column(2)), _sets(part.column(3)), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+
 def _sets(column) -> list[np.ndarray]:
     sets, off = T.shingle_sets(column, SHINGLE)
     return [sets[off[i]:off[i + 1]] for i in range(len(off) - 1)]
@@ -135,7 +154,7 @@ def _cell(table: pa.Table):
     in another component, on the other side (any, if there is one block only), with
     enough equal signature slots. Major members (side -1) are one component."""
     rep, comp, side = (table[c].to_numpy() for c in ("rep", "comp", "side"))
-    sig = np.stack([np.frombuffer(x, np.uint8) for x in table["sig"].to_pylist()])
+    sig = _signature_rows(table["sig"])
     _, group = np.unique(comp, return_inverse=True)
     one_block = (side == side[0]).all()
 
@@ -181,21 +200,26 @@ def link(docs: DataFrame) -> DataFrame:
                   .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"),
                        F.first("bands").alias("bands"), F.first("sig").alias("sig")).where("rep is not null"))
 
-    members = cut(classes.select("rep", "size", F.explode("bands").alias("bucket")))
-    crowded = cut(members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
-                  .where("least < most"))
-    members = cut(members.join(crowded, "bucket"))  # only buckets of two or more
-    texts = docs.where("text is not null and doc_id is not null")
-    # the texts to compare, each with the smallest representative of its buckets: moved once
-    stars = cut(members.groupBy(F.col("rep").alias("doc_id"))
-                .agg(F.min(F.when(F.col("rep") > F.col("least"), F.col("least"))).alias("least")))
-    texts = cut(texts.join(stars, "doc_id"))
-    pairs = (texts.where("least is not null").select(F.col("doc_id").alias("a"), F.col("text").alias("ta"), F.col("least").alias("b"))
+    members = classes.select("rep", F.explode("bands").alias("bucket"))
+    crowded = members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
+    members = cut(members.join(cut(crowded), "bucket"))  # only buckets of two or more
+    docs = docs.where("text is not null and doc_id is not null")
+    # each representative with the least of a bucket that it shares most buckets with; signatures decide
+    # which of these pairs are worth their texts
+    shared = members.where("rep > least").groupBy(F.col("rep").alias("a"), F.col("least").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    stars = cut(shared.groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("top")).select("a", (-F.col("top.b")).alias("b")))
+    sides = classes.select("rep", "sig")
+    stars = cut(stars.join(sides.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
+                .join(sides.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+                .select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long"))
+    texts = cut(moved(docs, stars.select(F.col("a").alias("id")).union(stars.select(F.col("b").alias("id")))))
+    pairs = (texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).join(stars, "a")
              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
     links = cut(pairs.mapInArrow(_confirm, "a long, b long"))
+    discard(texts)
     comps = components(links)
 
-    placed = cut(members.select("bucket", "rep", "size").join(
+    placed = cut(members.select("bucket", "rep").join(
         comps.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
         .select("bucket", "rep", F.coalesce("comp", "rep").alias("comp")))
     # buckets of several components: the largest one is the major, pairs inside it are settled
@@ -219,11 +243,15 @@ def link(docs: DataFrame) -> DataFrame:
     dealt = (rest.select("rep", "comp", F.explode(goes).alias("to")).select("rep", "comp", "to.side", "to.cell")
              .join(classes.select("rep", "sig"), "rep"))
     # signatures alone tell which members need their text there
-    near = cut(dealt.groupBy("cell").applyInArrow(_near, "rep long, comp long, side long, cell long, sig binary"))
-    more = cut(near.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
-               .groupBy("cell").applyInArrow(_block_links, "a long, b long"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = cut(dealt.repartition(tasks, "cell").groupBy("cell")
+               .applyInArrow(_near, "rep long, comp long, side long, cell long, sig binary"))
+    more = cut(near.join(moved(docs, near.select(F.col("rep").alias("id"))).select(F.col("doc_id").alias("rep"), "text"), "rep")
+               .repartition(tasks, "cell").groupBy("cell").applyInArrow(_block_links, "a long, b long"))
     if not more.isEmpty():
         comps = components(links.union(more))
+    for df in (members, stars, placed, near):
+        discard(df)
 
     known = cut(classes.select("f1", "f2", "rep").join(
         comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
