@@ -37,7 +37,7 @@ from qualis.functions import parse as P
 from qualis.operators import keys as K
 from qualis.operators.checks import align, bq
 from qualis.rules import Rules, fmt_g, synonym_paths
-from qualis.session import cut
+from qualis.session import cut, together
 from qualis.sources.rowindex import positions_after_removal
 
 # Texts of the fix log that must match.
@@ -146,16 +146,19 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> Cl
     columns = given["sales"]
 
     # K1/K2/K3: mechanical keep-first on every keyed table.
-    sales_dups = cut(K.copies(sales, "sale_id").select("_row_id"))
-    cust_dups = cut(K.copies(customers, "customer_id").select("_row_id"))
-    prod_dups = cut(K.copies(products, "product_id").select("_row_id"))
+    # Sales findings (except the duplicates' own) name the rows they act on.
+    recs = findings.where((F.col("table") == "sales") & (F.col("check_id") != "UNI_001")).select(
+        "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq")
+    sales_dups, cust_dups, prod_dups, refs = together(
+        sales.sparkSession,
+        lambda: cut(K.copies(sales, "sale_id").select("_row_id")),
+        lambda: cut(K.copies(customers, "customer_id").select("_row_id")),
+        lambda: cut(K.copies(products, "product_id").select("_row_id")),
+        lambda: cut(recs.select(F.col("row_ref").alias("sale_id")).distinct()))
     cust_kept = customers.join(cust_dups, "_row_id", "left_anti")
     prod_kept = products.join(prod_dups, "_row_id", "left_anti")
 
-    # Resolve sales findings (except the duplicates' own) to surviving rows.
-    recs = findings.where((F.col("table") == "sales") & (F.col("check_id") != "UNI_001")).select(
-        "check_id", "row_ref", "column", "invalid_value", "cleaning_action", "_seq")
-    refs = cut(recs.select(F.col("row_ref").alias("sale_id")).distinct())
+    # Resolved to surviving rows.
     named = cut(sales.join(refs, "sale_id", "left_semi").join(sales_dups, "_row_id", "left_anti")
                 .select(F.col("sale_id").alias("row_ref"), F.col("_row_id").alias("_tgt"),
                         *[F.col(bq(c)).alias(f"_c_{c}") for c in columns]))
@@ -246,14 +249,12 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> Cl
         return kept.join(pos, "_row_id", "left")
 
     # The cleaned tables are re-validated, enriched and counted: written once.
-    cleaned = {
-        "sales": cut(cleaned_sales),
-        "customers": cut(with_pos(cust_kept, cust_dups, "customer_id").select(
-            *map(bq, given["customers"]), "_row_id", "_pos")),
-        "products": cut(with_pos(prod_kept, prod_dups, "product_id").select(
-            *map(bq, given["products"]), "_row_id", "_pos")),
-        "targets": tables["targets"].select(*map(bq, given["targets"]), "_row_id"),
-    }
+    done = together(
+        sales.sparkSession, lambda: cut(cleaned_sales),
+        lambda: cut(with_pos(cust_kept, cust_dups, "customer_id").select(*map(bq, given["customers"]), "_row_id", "_pos")),
+        lambda: cut(with_pos(prod_kept, prod_dups, "product_id").select(*map(bq, given["products"]), "_row_id", "_pos")))
+    cleaned = dict(zip(("sales", "customers", "products"), done)) | {
+        "targets": tables["targets"].select(*map(bq, given["targets"]), "_row_id")}
     rows = None
     for t in ("sales", "customers", "products", "targets"):
         r = (tables[t].agg(F.count(F.lit(1)).alias("rows_before"))

@@ -22,7 +22,7 @@ from qualis.operators import reports as RP
 from qualis.operators import score as SC
 from qualis.operators import verify as VF
 from qualis.rules import PRIMARY_KEY, TABLES, Rules
-from qualis.session import cut, file_system, mark, release
+from qualis.session import cut, file_system, mark, release, together
 from qualis.sources import readers as RD
 from qualis.sources import sinks as SK
 
@@ -59,18 +59,26 @@ def run_audit(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, o
         return r
 
     findings = step("findings", lambda: FD.findings(tables, rules))
-    step("write_findings", lambda: SK.write_findings_by_layer(findings, f"{out_dir}/errors_report"))
-    score_raw = step("score_raw", lambda: cut(SC.score(findings, tables, rules)))
-    cleaning = step("clean", lambda: CL.clean(tables, findings, rules))
-    step("write_fix_log", lambda: SK.write_table(cleaning.fix_log.unionByName(cleaning.escalations),
-                                                 f"{out_dir}/fix_log"))
-    findings_clean = step("findings_clean", lambda: FD.findings(cleaning.cleaned, rules))
-    score_clean = step("score_clean", lambda: cut(SC.score(findings_clean, cleaning.cleaned, rules)))
+    _, score_raw, cleaning = together(
+        spark,
+        lambda: step("write_findings", lambda: SK.write_findings_by_layer(findings, f"{out_dir}/errors_report")),
+        lambda: step("score_raw", lambda: cut(SC.score(findings, tables, rules))),
+        lambda: step("clean", lambda: CL.clean(tables, findings, rules)))
     master = MS.build_master(cleaning.cleaned)
-    step("write_master", lambda: SK.write_table(master, f"{out_dir}/clean_master"))
-    counts = cut(cleaning.counts)
+
+    def second_pass():
+        again = step("findings_clean", lambda: FD.findings(cleaning.cleaned, rules))
+        return again, step("score_clean", lambda: cut(SC.score(again, cleaning.cleaned, rules)))
+
+    _, counts, _, (findings_clean, score_clean) = together(
+        spark,
+        lambda: step("write_fix_log", lambda: SK.write_table(cleaning.fix_log.unionByName(cleaning.escalations),
+                                                             f"{out_dir}/fix_log")),
+        lambda: cut(cleaning.counts),
+        lambda: step("write_master", lambda: SK.write_table(master, f"{out_dir}/clean_master")),
+        second_pass)
     cleaning.counts = counts
-    step("write_reports", lambda: [SK.write_table(df, f"{out_dir}/{name}") for name, df in {
+    reports = {
         "errors_summary": RP.errors_summary(findings, findings_clean, spark, rules),
         "findings_per_check": RP.findings_per_check(findings),
         "findings_by_severity": SC.by_severity(findings, spark),
@@ -81,7 +89,9 @@ def run_audit(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, o
         "residual_split": RP.residual_split(cleaning),
         "data_dictionary": RP.data_dictionary(tables, rules),
         "scores": score_raw.unionByName(score_clean),
-    }.items()])
+    }
+    step("write_reports", lambda: together(
+        spark, *[lambda n=name, df=df: SK.write_table(df, f"{out_dir}/{n}") for name, df in reports.items()]))
     detection = None
     if manifest is not None:
         detection = step("detection", lambda: cut(VF.detection_summary(findings, manifest)))
@@ -111,7 +121,7 @@ def load_landing(spark: SparkSession, landing: str, rules: Rules, files: dict[st
             out[t] = RD.empty_to_null(df)
     if problems:
         raise CH.SchemaAbortError("SCH_001: " + "; ".join(f"{f} ({t}) lacks {c}" for t, f, c in problems))
-    return {t: cut(df) for t, df in out.items()}
+    return dict(zip(out, together(spark, *[lambda df=df: cut(df) for df in out.values()])))
 
 
 def audit_landing_folder(spark: SparkSession, landing: str, rules: Rules, out_dir: str, files: dict[str, str],

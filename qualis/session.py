@@ -6,7 +6,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings the engine relies on; on a cluster they come from the job config.
@@ -69,6 +72,14 @@ def cut(df):
 _CUTS: list[str] = []
 
 
+def together(spark: SparkSession, *jobs: Callable) -> list:
+    """Run independent jobs side by side and return their results in order. Each one
+    leaves cores idle at its end (small last stages, commits); the others use them.
+    The first error is raised once all have ended."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def mark() -> int:
     """A point in the list of cuts; ``release`` deletes what was cut after it."""
     return len(_CUTS)
