@@ -139,9 +139,9 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> Cl
     # Q14: a pass rewrites quality_flag, it never merges an earlier one.
     # Positions of an earlier pass are recomputed here. Absent optional columns
     # read as NULL, as for the checks, and stay absent in the result.
-    given = {t: [c for c in df.columns if not c.startswith("_") and c != "quality_flag"] for t, df in tables.items()}
-    tables, _ = align({t: df.drop("quality_flag", "_pos") if t == "sales" else df.drop("_pos") if t != "targets" else df
+    tables, layout = align({t: df.drop("quality_flag", "_pos") if t == "sales" else df.drop("_pos") if t != "targets" else df
                        for t, df in tables.items()}, rules)
+    given = {t: [c for c in df.columns if c in layout.present[t] and not c.startswith("_")] for t, df in tables.items()}
     sales, customers, products = tables["sales"], tables["customers"], tables["products"]
     columns = given["sales"]
 
@@ -225,7 +225,7 @@ def clean(tables: dict[str, DataFrame], findings: DataFrame, rules: Rules) -> Cl
                   .join(positions_after_removal(gone, nameless), "_row_id", "full"))
     cleaned_sales = (sales.join(actions, "_row_id", "left").where(F.col("_drop").isNull())
                      .select(*[F.coalesce(F.col(bq(f"_fix_{c}")), F.col(bq(c))).alias(c) if c in repaired
-                               else F.col(bq(c)) for c in columns],
+                               else F.col(bq(c)) for c in columns],  # others keep their metadata
                              F.coalesce(F.col("quality_flag"), F.lit("")).alias("quality_flag"), "_row_id", "_pos"))
 
     # A8 counters (findings, not rows) + mechanical duplicate drops.

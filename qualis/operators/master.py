@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from qualis.functions import parse as P
 from qualis.operators.checks import bq
+from qualis.sources import names as NM
 
 MASTER_ORDER = ["sale_id", "sale_date", "customer_id", "customer_name", "customer_segment", "country",
                 "product_id", "product_name", "category", "quantity", "unit_price", "discount", "region",
@@ -46,4 +47,4 @@ def build_master(cleaned: dict[str, DataFrame], keep_internal: bool = False, val
     m = m.withColumn("net_revenue", P.round_cents(F.col("gross_revenue") * (F.lit(1.0) - disc)))
     present = [c for c in MASTER_ORDER if c in m.columns]
     rest = [c for c in m.columns if c not in present and (keep_internal or not c.startswith("_"))]
-    return m.select(*present, *map(bq, rest))
+    return NM.restore(m.select(*present, *map(bq, rest)))

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from qualis.session import file_system
+from qualis.sources import csv_splits as CSV
 from qualis.sources import fixture as FX
+from qualis.sources import names as NM
 
 
 class DataLoadError(RuntimeError):
@@ -28,7 +30,7 @@ def empty_to_null(df: DataFrame, null_tokens: tuple[str, ...] = ("",)) -> DataFr
     for f in df.schema.fields:
         c = F.col("`" + f.name.replace("`", "``") + "`")
         if isinstance(f.dataType, StringType) and not f.name.startswith("_"):
-            c = F.when(c.isin(*null_tokens), F.lit(None).cast("string")).otherwise(c).alias(f.name)
+            c = F.when(c.isin(*null_tokens), F.lit(None).cast("string")).otherwise(c).alias(f.name, metadata=f.metadata)
         cols.append(c)
     return df.select(*cols)
 
@@ -37,7 +39,7 @@ def all_text_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-HEADER_BYTES = 1 << 16
+HEADER_BYTES = 1 << 16  # read at first; more as long as the header record goes on
 
 
 def headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -79,6 +81,7 @@ def _first_records(sep: str):
     def run(batches):
         import csv
         import io
+        csv.field_size_limit(1 << 30)
 
         import pyarrow as pa
         from pyarrow import fs
@@ -87,40 +90,47 @@ def _first_records(sep: str):
             for name in b.column(0).to_pylist():
                 store, at = fs.FileSystem.from_uri(_arrow_uri(unquote(name) if name.startswith("file:") else name))
                 with store.open_input_stream(at) as f:
-                    head = f.read(HEADER_BYTES).decode("utf-8-sig", "replace")
-                cols.append(next(csv.reader(io.StringIO(head, newline=""), delimiter=sep), []))
+                    data, more = b"", HEADER_BYTES
+                    while True:
+                        got = f.read(more)
+                        data, more = data + got, 2 * more
+                        text = io.StringIO(data.decode("utf-8-sig", "replace"), newline="")
+                        record = next(csv.reader(text, delimiter=sep), [])
+                        if not got or text.read(1):  # the file or the record has ended
+                            break
+                cols.append(record)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols, pa.list_(pa.string()))], ["file", "columns"])
     return run
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True,
                   sep: str = ",") -> DataFrame:
-    """IO1: header CSV, doubled-quote escaping, every column text, no NA tokens.
-
-    Columns are bound *by header name*: files are grouped by their header, every
-    group is read with its own header as schema (and checked against it), and the
-    groups are united by name. Columns that a file lacks are NULL, columns beyond
-    ``columns`` are kept. ``multi_line`` allows line breaks in quoted cells; such
-    files are not split, so turn it off for large files without them.
-
-    ``_file``, ``_blk`` and ``_mid`` hold the place of a row: file, start of its
-    split, id inside the scan (for ``with_text_positions``)."""
+    """IO1, IO5: header CSV, doubled-quote escaping, every column text, no NA tokens, and the
+    dense position of each row in file order as ``_row_id``.
+
+    Files are split, also with line breaks in quoted cells (``csv_splits``); without
+    ``multi_line`` every line is a record, whatever its quotes. Columns are bound *by
+    header name*: files are grouped by their header, every group is parsed under its own,
+    and the groups are united by name. Columns that a file lacks are NULL, columns beyond
+    ``columns`` are kept. Names are exact (``names``): ``Sale_ID`` is no ``sale_id``, and a
+    repeated name is numbered, x and x.1."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for r in headers(spark, path, sep).collect():  # one row per file, as Spark's own file listing
-        groups.setdefault(tuple(r["columns"]), []).append(r["file"])
+        groups.setdefault(tuple(NM.repeats_numbered(r["columns"])), []).append(unquote(r["file"]))
+    if not groups:
+        raise DataLoadError(f"no file under {path}")
+    heads = sorted(groups)
+    own = list(dict.fromkeys(c for head in heads for c in head))
+    name = dict(zip(own, NM.internal(own, columns)))
+    options = {"sep": sep, "escape": '"', "emptyValue": "", "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}  # raw stays raw
     out = None
-    for head, files in sorted(groups.items()):
-        df = (spark.read.schema(all_text_schema(list(head))).option("header", True).option("enforceSchema", False)
-              .option("sep", sep).option("escape", '"').option("emptyValue", "").option("multiLine", multi_line)
-              # raw stays raw: no trimming of cell text
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv([unquote(f) for f in files]))
-        df = df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in head],
-                       F.col("_metadata.file_path").alias("_file"),
-                       F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+    for head, rows in zip(heads, CSV.records(spark, [groups[h] for h in heads], sep, multi_line)):
+        text = F.when(F.col("text").endswith("\r"), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
+        schema = ", ".join(f"`{i}` string" for i in range(len(head)))
+        df = rows.select(F.from_csv(text, schema, options).alias("r"), "_row_id").select(*[
+            F.col(f"r.`{i}`").alias(name[c], metadata={NM.KEY: c} if name[c] != c else {}) for i, c in enumerate(head)], "_row_id")
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is None:
-        raise DataLoadError(f"no file under {path}")
     absent = [c for c in columns if c not in out.columns]
     out = out.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else out
     rest = [c for c in out.columns if c not in columns]
@@ -128,10 +138,13 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str], multi_line
 
 
 def with_text_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
-    """IO5 for text formats: dense position in file order, without moving the data.
+    """IO5 for text formats: dense position in file order, without moving the data. Rows of
+    ``read_csv_text`` have theirs from the scan already.
 
     A row's place in its split is its scan id minus the split's smallest one;
     one row per split is aggregated, ranked and joined back."""
+    if "_row_id" in df.columns:
+        return df.withColumnRenamed("_row_id", out)
     if "_mid" not in df.columns:
         df = df.select("*", F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
