@@ -6,8 +6,8 @@ Whenever a shard is done, phrases whose count so far reaches ``LEAST`` are marke
 with that step; from then on every longer phrase whose first part (all but the
 last word) and rest (all but the first word) are both marked is counted, lengths
 side by side in one scan, until it has seen each shard once.  The scans end when
-no phrase has shards left: about one and a half passes in bulk, with the rare late
-phrases on top, where counting length after length takes four.
+no phrase has shards left: lengths overlap by half a pass, and a length that is
+late only for rare phrases costs a scan that counts little.
 
 What tasks know of the marks is a table of ``SLOTS`` hash slots, of fixed size at
 any scale: bit t of a slot says that a phrase of that slot was marked at step t.
@@ -40,7 +40,7 @@ from qualis.llm.session import cut, discard, settings
 
 LEAST = 30  # occurrences of a candidate
 LONGEST = 4  # words of a phrase
-SHARDS = 3
+SHARDS = 2  # more start longer phrases earlier, and bring what is counted together more often
 TOP = 2000  # rows of a language
 SCALE = 2_000_000
 COVERED = 80  # percent of a phrase's occurrences inside a longer one
@@ -224,16 +224,13 @@ def _slots_of(batches):
 
 
 def _still_open(marks, step: int, names: list[str]):
-    """The phrases that have shards left at ``step``."""
+    """The phrases of two words and more that have shards left at ``step``."""
     def run(batches):
         table = _table(marks)
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
-            for k, at, words, lh in _by_length(b):
-                if k == 1:
-                    keep[at] = step < SHARDS
-                else:
-                    keep[at] = _open(table[_slots(words[:-1], lh)], table[_slots(words[1:], lh)], step)
+            for _, at, words, lh in _by_length(b):
+                keep[at] = _open(table[_slots(words[:-1], lh)], table[_slots(words[1:], lh)], step)
             yield b.select(names).filter(pa.array(keep))
     return run
 
@@ -248,8 +245,8 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
                             F.col("text").cast("string").alias("text"), slot.alias("shard")), "shard")
     counts = [f"c{s}" for s in range(SHARDS)]
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in counts), F.lit(0))
-    schema = "lang string, key binary, word string, " + ", ".join(f"{c} long" for c in counts) + ", mark int"
-    names = ["lang", "key", "word", *counts, "mark"]
+    names = ["lang", "key", "word", *counts, "mark", "first"]
+    schema = "lang string, key binary, word string, " + ", ".join(f"{c} long" for c in counts) + ", mark int, first int"
     marks, table = None, np.zeros(1 << SLOT_BITS, np.uint16)
     state, settled, marked, words = None, [], [], None
     last = -1  # last step at which a phrase that can be part of another was marked
@@ -257,31 +254,33 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
         if step >= SHARDS and step - last >= SHARDS:
             break
         now = f"c{step % SHARDS}"
-        scan = (texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
-                .mapInArrow(_count(marks, step, seed), "lang string, key binary, n long, word string"))
-        rows = scan.select("lang", "key", "word", "n", *[F.lit(None).cast("long").alias(c) for c in counts],
-                           F.lit(None).cast("int").alias("mark"))
+        rows = (texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
+                .mapInArrow(_count(marks, step, seed), "lang string, key binary, n long, word string")
+                .select("lang", "key", "word", "n", *[F.lit(None).cast("long").alias(c) for c in counts],
+                        F.lit(None).cast("int").alias("mark"), F.lit(step).alias("first")))
         if state is not None:
-            kept = state.mapInArrow(_still_open(marks, step, names), schema)
+            seen = F.col("first") > step - SHARDS  # counted for less than a cycle
+            old = state.where(~seen & (F.octet_length("key") > 8)).mapInArrow(_still_open(marks, step, names), schema)
+            kept = state.where(seen).unionByName(old)
             rows = rows.unionByName(kept.withColumn("n", F.lit(None).cast("long")))
         rows = rows.groupBy("lang", "key", "word").agg(
-            F.sum("n").alias("n"), *[F.max(c).alias(c) for c in counts], F.max("mark").alias("mark"))
+            F.sum("n").alias("n"), *[F.max(c).alias(c) for c in counts], F.max("mark").alias("mark"), F.min("first").alias("first"))
         rows = rows.withColumn(now, F.coalesce("n", now)).drop("n")
         before, state = state, cut(rows.withColumn("mark", F.coalesce("mark", F.when(total >= least, step + 1))))
         if before is not None:
             discard(before)
-        settled.append(cut(state.where(total >= least).select("lang", "key", "word", *counts)))
+        settled.append(cut(state.where(F.col("mark").isNotNull()).select("lang", "key", "word", *counts, "mark")))
         if step == SHARDS - 1:
             single = state.where(F.octet_length("key") == 8)
             if not single.groupBy("lang", "key").count().where("count > 1").isEmpty():  # two words with one hash
                 return frequent(docs, least, seed + 1)
             words = cut(single.groupBy("lang").agg(F.sum(total).alias("n")))
-        fresh = state.where((F.col("mark") == step + 1) & (F.octet_length("key") < 8 * LONGEST)).select("lang", "key")
+        fresh = settled[-1].where((F.col("mark") == step + 1) & (F.octet_length("key") < 8 * LONGEST)).select("lang", "key")
         for m in marked:  # a slot's other marks may have a settled phrase counted again
             fresh = fresh.join(m, ["lang", "key"], "left_anti")
         fresh = cut(fresh)
         marked.append(fresh)
-        new = fresh.mapInArrow(_slots_of, "slot long").distinct().toArrow()["slot"].to_numpy()  # SLOTS numbers at most
+        new = fresh.mapInArrow(_slots_of, "slot long").distinct().toArrow()["slot"].to_numpy()  # 2^SLOT_BITS numbers at most
         if len(new):
             last = step + 1
             table[new] |= np.uint16(1 << (step + 1))

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualis.llm import text as T
-from qualis.llm.sample import residue, top_by_hash
-from qualis.llm.session import settings
+from qualis.llm.sample import residue, texts_of, top_by_hash
+from qualis.llm.session import cut, settings
 
 DEPTH = 4
 PER_LANG = 300
@@ -183,11 +183,9 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> dict | None:
     """Learn from rows with text and lang outside the held-out residue."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()) \
         .where(residue("doc_id", MOD) != HELD)
-    ids = top_by_hash(rows.select("doc_id", "lang"), "lang", per_lang).distinct()  # languages * per_lang narrow rows
-    got = rows.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]) \
-        .orderBy("doc_id", "lang", "text").collect()
+    ids = cut(top_by_hash(rows, "lang", per_lang))  # languages * per_lang narrow rows
     texts: dict[str, list[str]] = {}
-    for r in got:
+    for r in texts_of(rows, ids, ["doc_id", "lang"]):
         texts.setdefault(r["lang"], []).append(r["text"])
     return train(texts)
 
