@@ -7,6 +7,9 @@ audit: strptime-style multi-format dates, strict ISO shape, float() numerics
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,10 +20,15 @@ WS_CLASS = (r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{20
 _WS = WS_CLASS
 
 # strptime field shapes: %Y four digits, %m 1-2 digits, %d 1-2 digits or a
-# space-padded single digit.
-_Y = "([0-9]{4})"
+# space-padded single digit. A digit that only has to be one may be any Unicode
+# decimal digit.
+_Y = r"(\p{Nd}{4})"
 _M = "(1[0-2]|0[1-9]|[1-9])"
-_D = "(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
+_D = r"(3[01]|[12]\p{Nd}|0[1-9]|[1-9]| [1-9])"
+
+# Unicode decimal digits beyond ASCII, and the ASCII digits that they stand for.
+_OTHER_DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) is not None]
+_AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
 
 # Ordered date formats, first match wins (ISO first). Each entry:
 # (pattern, group index of year, month, day).
@@ -30,7 +38,7 @@ DATE_SHAPES = [
     (rf"^{_Y}/{_M}/{_D}\z", 1, 2, 3),     # %Y/%m/%d
     (rf"^{_D}-{_M}-{_Y}\z", 3, 2, 1),     # %d-%m-%Y
 ]
-ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+ISO_SHAPE = r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}\z"
 
 _DIG = "[0-9](_?[0-9])*"
 FLOAT_SHAPE = rf"^[+-]?({_DIG}(\.({_DIG})?)?|\.{_DIG})([eE][+-]?{_DIG})?\z"
@@ -77,6 +85,11 @@ def py_strip(col: Column | str) -> Column:
     return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
+def ascii_digits(s: Column) -> Column:
+    """Unicode decimal digits as ASCII ones; plain text is not looked up."""
+    return F.when(s.rlike(r"[^\x00-\x7f]"), F.translate(s, "".join(_OTHER_DIGITS), _AS_ASCII)).otherwise(s)
+
+
 def _iso_shaped(s: Column) -> Column:
     """dddd-dd-dd without a regex: fixed length, dashes in place, digits only."""
     return ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
@@ -98,7 +111,7 @@ def parse_date_stripped(s: Column) -> Column:
     calendar-checked cast."""
     branches = []
     for pat, gy, gm, gd in DATE_SHAPES:
-        ymd = F.replace(F.regexp_replace(s, pat, f"${gy}-${gm}-${gd}"), F.lit(" "), F.lit(""))
+        ymd = ascii_digits(F.replace(F.regexp_replace(s, pat, f"${gy}-${gm}-${gd}"), F.lit(" "), F.lit("")))
         branches.append(F.when(s.rlike(pat) & ~ymd.startswith("0000"), ymd.try_cast("date")))
     return F.coalesce(*branches)
 
@@ -108,7 +121,9 @@ def is_iso_date(col: Column | str) -> Column:
     """strict ISO shape on the unstripped text plus a valid calendar date.
     NULL input gives NULL (never TRUE)."""
     c = _c(col)
-    return _iso_shaped(c) & (F.substring(c, 1, 4) != F.lit("0000")) & c.try_cast("date").isNotNull()
+    plain = _iso_shaped(c) & (F.substring(c, 1, 4) != F.lit("0000")) & c.try_cast("date").isNotNull()
+    other = c.rlike(ISO_SHAPE) & parse_date_stripped(c).isNotNull()
+    return F.when(c.rlike(r"[^\x00-\x7f]"), other).otherwise(plain)
 
 
 @by_name
@@ -123,6 +138,7 @@ def parse_float(col: Column | str) -> Column:
 
 
 def parse_float_stripped(s: Column) -> Column:
+    s = ascii_digits(s)
     low = F.lower(s)
     special = (F.when(low.contains("nan"), F.lit(float("nan")))
                .when(low.startswith("-"), F.lit(float("-inf")))
@@ -140,12 +156,61 @@ def to_number(col: Column | str) -> Column:
     return F.when(~c.contains("_") & ~F.isnan(x), x)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a Column would repeat it at every use."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _two_product(a: Column, b: Column) -> tuple[Column, Column]:
+    """a * b rounded, and what rounding took away (both exact, by halves of 26 bits)."""
+    def halves(v: Column) -> tuple[Column, Column]:
+        big = v * 134217729.0
+        high = big - (big - v)
+        return high, v - high
+    (ah, al), (bh, bl), p = halves(a), halves(b), a * b
+    return p, ((ah * bh - p) + ah * bl + al * bh) + al * bl
+
+
+def _tie_digits(x: Column, seven: Column) -> Column:
+    """``%.5e`` of a value whose shortest decimal is the seven digits ``seven``, the last one a 5:
+    the exact product with a power of ten tells on which side of the tie it lies."""
+    digits = F.replace(F.substring_index(seven, "e", 1), F.lit("."), F.lit("")).cast("long")
+    exp = F.substring_index(seven, "e", -1).cast("int")
+
+    def of(v: Column) -> Column:
+        d, low, e = v["d"].cast("double"), F.floor(v["d"] / 10).cast("long"), v["e"]
+        p, lost = _two_product(x, F.pow(F.lit(10.0), (F.lit(6) - e).cast("double")))
+        q, rest = _two_product(d, F.pow(F.lit(10.0), (e - 6).cast("double")))
+        side = F.when(e <= 6, (p - d) + lost).otherwise((x - q) - rest)  # negative below the tie
+        return F.struct(F.when((side > 0) | ((side == 0) & (low % 2 == 1)), low + 1).otherwise(low).alias("n"), e.alias("e"))
+
+    def text(v: Column) -> Column:
+        n = F.when(v["n"] == 1000000, F.lit(100000)).otherwise(v["n"]).cast("string")
+        e = F.when(v["n"] == 1000000, v["e"] + 1).otherwise(v["e"])
+        return F.concat(F.substring(n, 1, 1), F.lit("."), F.substring(n, 2, 5), F.lit("e"), e.cast("string"))
+    return _let(_let(F.struct(digits.alias("d"), exp.alias("e")), of), text)
+
+
+def _six_digits(x: Column) -> Column:
+    """``%.5e`` of a non-negative double, rounded on its exact binary value, ties to even.
+
+    The JVM rounds the shortest decimal half up. The two differ only where that decimal
+    has exactly seven digits and ends in 5 (decided exactly from 1e-16 to 1e28; beyond, such
+    values round up). Subnormal values of fewer digits keep their shortest decimal."""
+    def of(seven: Column) -> Column:
+        tie = seven.contains("5e") & (seven.cast("double") == x) & F.substring_index(seven, "e", -1).cast("int").between(-16, 28)
+        return F.when(tie, _tie_digits(x, seven)).otherwise(F.format_string("%.5e", x))
+    return _let(F.format_string("%.6e", x), of)
+
+
 @by_name
 def fmt_g(col: Column | str) -> Column:
     """F8: Python ``format(x, 'g')`` (6 significant digits, zeros stripped)."""
-    x = _c(col).cast("double")
-    sci = F.format_string("%.5e", F.abs(x))            # d.ddddde[+-]XX
-    mant = F.substring_index(sci, "e", 1)
+    return _let(_c(col).cast("double"), lambda x: _let(_six_digits(F.abs(x)), lambda sci: _general(x, sci)))
+
+
+def _general(x: Column, sci: Column) -> Column:
+    mant = F.substring_index(sci, "e", 1)               # sci: d.ddddde[+-]XX
     exp = F.substring_index(sci, "e", -1).cast("int")
     digits = F.regexp_replace(mant, r"\.", "")         # six digits
 
@@ -158,7 +223,7 @@ def fmt_g(col: Column | str) -> Column:
     fixed = fixed.otherwise(joined(F.lit("0"), F.concat(F.repeat(F.lit("0"), -exp - 1), digits)))
     m_stripped = F.regexp_replace(F.regexp_replace(mant, "0+$", ""), r"\.$", "")
     sci_txt = F.concat(m_stripped, F.lit("e"), F.when(exp < 0, "-").otherwise("+"),
-                       F.lpad(F.abs(exp).cast("string"), 2, "0"))
+                       F.when(F.abs(exp) < 10, "0").otherwise(""), F.abs(exp).cast("string"))
     body = F.when((exp >= -4) & (exp < 6), fixed).otherwise(sci_txt)
     negative = x.cast("string").startswith("-")          # keeps -0.0
     return (F.when(x.isNull(), F.lit(None).cast("string"))

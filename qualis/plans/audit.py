@@ -100,22 +100,24 @@ def run_audit(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, o
     return AuditRun(findings, score_raw, cleaning, findings_clean, score_clean, master, t, detection, since)
 
 
-def load_landing(spark: SparkSession, landing: str, rules: Rules, files: dict[str, str]) -> dict[str, DataFrame]:
+def load_landing(spark: SparkSession, landing: str, rules: Rules, files: dict[str, str],
+                 csv_options: dict | None = None) -> dict[str, DataFrame]:
     """Gate and load a landing: every input must be there (IO4), every text file's
     own header must have the required columns (SCH_001). ``files`` maps each table
     to its file or folder below ``landing``: ``*.csv`` (or a folder that holds CSV)
-    is read by header name, anything else as Parquet."""
+    is read by header name (``csv_options``: ``multi_line``, ``sep``), anything else as Parquet."""
     RD.assert_inputs_present(spark, landing, files)
-    out, problems = {}, []
+    out, problems, options = {}, [], dict(csv_options or {})
+    sep = options.get("sep", ",")
     for t, name in files.items():
         path = f"{landing.rstrip('/')}/{name}"
         if name.endswith(".csv"):
             problems += [(t, r["file"], r["missing_column"])
-                         for r in RD.header_problems(spark, path, rules.required(t)).limit(100).collect()]
+                         for r in RD.header_problems(spark, path, rules.required(t), sep).limit(100).collect()]
             if problems:
                 continue
             out[t] = RD.with_text_positions(RD.empty_to_null(
-                RD.read_csv_text(spark, path, rules.required(t))))  # a column that no file has stays absent
+                RD.read_csv_text(spark, path, rules.required(t), **options)))  # a column that no file has stays absent
         else:
             df = RD.read_any_text(spark, path, "parquet")
             out[t] = RD.empty_to_null(df)
@@ -125,11 +127,11 @@ def load_landing(spark: SparkSession, landing: str, rules: Rules, files: dict[st
 
 
 def audit_landing_folder(spark: SparkSession, landing: str, rules: Rules, out_dir: str, files: dict[str, str],
-                         manifest: str = "injected_errors.json") -> AuditRun:
+                         manifest: str = "injected_errors.json", csv_options: dict | None = None) -> AuditRun:
     """From files to report; a manifest in the landing is compared with the findings."""
     assert set(files) == set(TABLES) and set(PRIMARY_KEY) == set(TABLES)
     since = mark()
-    tables = load_landing(spark, landing, rules, files)
+    tables = load_landing(spark, landing, rules, files, csv_options)
     path = f"{landing.rstrip('/')}/{manifest}"
     fs, p = file_system(spark, path)
     run = run_audit(spark, tables, rules, out_dir, RD.read_manifest(spark, path) if fs.exists(p) else None)

@@ -345,9 +345,9 @@ def q_rerun_identical(spark, sf):
     """A second, independent run gives the same findings (multiset both ways)."""
     c = Ctx(spark, sf)
     again = FD.findings({t: cut(df) for t, df in load_fixture(spark, sf).items()}, c.rules)
-    a, b = FD.report(c.findings), FD.report(again)
-    return (a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_first"))
-            .crossJoin(b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_second"))))
+    a, b = VF.differences(FD.report(c.findings), FD.report(again))
+    return (a.agg(F.count(F.lit(1)).alias("only_first"))
+            .crossJoin(b.agg(F.count(F.lit(1)).alias("only_second"))))
 
 
 # -- verifier meta checks (T08, T09): tampered data must be told from the manifest

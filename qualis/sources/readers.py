@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from qualis.session import file_system
+from qualis.session import cut, file_system
 from qualis.sources import csv_splits as CSV
 from qualis.sources import fixture as FX
 from qualis.sources import names as NM
@@ -176,17 +176,23 @@ def read_any_text(spark: SparkSession, path: str, fmt: str) -> DataFrame:
                        for c in df.columns])
 
 
+MAX_FILES = 1_000_000  # files whose offsets are broadcast (a path and a number each)
+
+
 def with_file_positions(df: DataFrame, out: str = "_row_id") -> DataFrame:
     """IO5 for parquet: dense position in (file path, row index) order.
 
-    Only one row per file is aggregated and ranked; the data itself is not
-    sorted or shuffled for this (the small per-file offset table is joined).
+    One row per file is counted; the offsets of up to ``MAX_FILES`` files (checked) are
+    broadcast, whatever the session's own limit, so the data is neither sorted nor
+    moved. Beyond that they are joined by file.
     """
     meta = df.select("*", F.col("_metadata.file_path").alias("_file"),
                      F.col("_metadata.row_index").alias("_ri"))
-    per_file = meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    per_file = cut(meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
     w = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_file.select("_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if per_file.count() <= MAX_FILES:
+        offsets = F.broadcast(offsets)
     return meta.join(offsets, "_file").withColumn(out, F.col("_off") + F.col("_ri")).drop("_file", "_ri", "_off")
 
 

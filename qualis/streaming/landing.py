@@ -26,7 +26,8 @@ from qualis.sources.rowindex import block_sequence
 
 def audit_landing(spark: SparkSession, landing: str, masters: dict[str, DataFrame], rules: Rules,
                   findings_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    schema = ", ".join(f"{c} string" for c in SALES_COLUMNS)
+    configured = [*SALES_COLUMNS, *rules.required("sales"), *rules.optional("sales"), *rules.types("sales")]
+    schema = ", ".join(f"`{c}` string" for c in dict.fromkeys(configured))
     stream = (spark.readStream.schema(schema).parquet(landing)
               .select("*", F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.row_index").alias("_ri")))

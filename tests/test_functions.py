@@ -86,3 +86,28 @@ def test_round_half_up_and_cents(spark):
     assert [r.a for r in rows] == [91, 89, 1]
     import numpy as np
     assert [r.b for r in rows] == [float(np.round(y, 2)) for y in (0.125, 2.675, 1.005)]
+
+
+def test_fmt_g_of_ties_and_many_doubles(spark):
+    import random
+    import struct
+    rng = random.Random(4)
+    values = [(rng.randrange(100000, 1000000) * 10 + 5) / 10 ** k for k in range(0, 20) for _ in range(150)]
+    values += [(rng.randrange(100000, 1000000) * 10 + 5) * 10.0 ** k for k in range(0, 20) for _ in range(100)]
+    values += [0.5, 1.5, 2.5, 0.125, 999999.5, 9999995.0, 99999.95, 100000.5, 100001.5, 1e22, -1234565.0, 1.7976931348623157e308]
+    while len(values) < 100_000:
+        x = struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0]
+        values += [x, rng.uniform(-1e7, 1e7), round(rng.uniform(0, 1e4), rng.randrange(8))]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
+    bad = [(r.v, r.s, format(r.v, "g")) for r in df.select("v", P.fmt_g("v").alias("s")).collect() if r.s != format(r.v, "g")]
+    assert not bad, (len(bad), bad[:5])
+
+
+def test_unicode_digits_match_python(spark):
+    texts = ["\u0661\u0662", "\uff11\uff12.\uff15", "1\u0665_0", "\U0001d7d8\U0001d7d9", "\u00b2", "\u0661e\u0662", "-\u0967", "\u0661,5",
+             "\u06f2\u06f0\u06f2\u06f4-01-05", "\u06f2\u06f0\u06f2\u06f4-\u06f0\u06f1-05", "2024-01-2\u0665", "2024-01-\u0662\u0665",
+             "2\u0665.03.2024", "202\u0664/1/5", "\u0660\u0660\u0660\u0660-01-05", "1\u0665-3-\uff12\uff10\uff12\uff14", "\u0662024-02-30"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = df.select("v", P.parse_date("v").alias("d"), P.is_iso_date("v").alias("i"), P.parse_float("v").alias("f")).collect()
+    for r in got:
+        assert (r.v, r.d, bool(r.i), r.f) == (r.v, py_date(r.v), py_iso(r.v), py_float(r.v))
