@@ -1,12 +1,15 @@
 """Defect injection as a Spark job (N1-N13): clean tables -> dirty tables +
 manifest of every injected defect.
 
-Rows are assigned to defect classes *disjointly*: a multiplicative hash of the
-row position (portable integer arithmetic, so the SQL oracle can rebuild the
-same assignment) picks a bucket in [0, 10000), and consecutive bucket ranges
-belong to the classes of the plan. A second hash picks the variant inside a
-class (format, column, bad value). Every step is a row-local expression or a
-union, so the job scales with the table and has no hot group.
+Rows are assigned to defect classes *disjointly and in exact numbers*: rows are
+ordered by a multiplicative hash of their position (portable integer arithmetic,
+so the SQL oracle can rebuild the same assignment) and then by position, and
+consecutive rank ranges belong to the classes of the plan. Nothing is sorted: the
+rows at the few ranks where a range ends are found by narrowing hash ranges (a
+bounded number of counts a round), and a row's class then follows from comparing
+its own hash and position with them. A second hash picks the variant inside a
+class (format, column, bad value). Every other step is a row-local expression or
+a union, so the job scales with the table and has no hot group.
 """
 
 from __future__ import annotations
@@ -50,10 +53,54 @@ def row_hash(pos: Column, seed: int, mod: int = _P1, mult: int = 2654435761) ->
     return ((pos % F.lit(mod)) * F.lit(mult) + F.lit(seed * 40503)) % F.lit(mod)
 
 
+CELLS = 4096
+
+
+def boundaries(df: DataFrame, seed: int, ranks: list[int]) -> list[tuple[int, int]]:
+    """(hash, position) of the rows at the given ranks (from 0) in the order of hash and
+    position; behind the last row for ranks beyond it."""
+    rows = df.select(row_hash(F.col("_row_id"), seed).alias("h"), F.col("_row_id").alias("id"))
+
+    def find(counted: list, rank: int):
+        """(row of ``counted`` that holds a rank, rank inside it)."""
+        for r in counted:
+            if rank < r["n"]:
+                return r, rank
+            rank -= r["n"]
+        return None, rank
+
+    def cells(of: DataFrame, key: Column) -> list:
+        return sorted(of.groupBy(key.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+                      .collect(), key=lambda r: r["c"])
+
+    wide = F.floor(F.col("h") / 256)
+    at = [find(coarse, rank) for coarse in [cells(rows, wide)] for rank in ranks]
+    fine = cells(rows.where(wide.isin(sorted({c["c"] for c, _ in at if c}))), F.col("h"))  # 256 hashes of each cell
+    out = []
+    for cell, rest in at:
+        if cell is None:
+            out.append((_P1, 0))
+            continue
+        one, rest = find([r for r in fine if r["c"] // 256 == cell["c"]], rest)
+        lo, hi = one["lo"], one["hi"]
+        while rest:  # rows of one hash, by position
+            width = (hi - lo) // CELLS + 1
+            inside = rows.where((F.col("h") == one["c"]) & F.col("id").between(lo, hi))
+            part, rest = find(cells(inside, F.floor((F.col("id") - lo) / width)), rest)
+            lo, hi = part["lo"], part["hi"]
+        out.append((one["c"], lo))
+    return out
+
+
+def _from(b: tuple[int, int]) -> Column:
+    """Whether a row (hash ``_b``) stands at a boundary or behind it."""
+    return (F.col("_b") > b[0]) | ((F.col("_b") == b[0]) & (F.col("_row_id") >= b[1]))
+
+
 @dataclass
 class InjectionPlan:
     seed: int = 42
-    # class -> bucket width out of 10,000 sales rows (disjoint ranges, plan order)
+    # class -> rows out of 10,000 sales rows (disjoint ranges, plan order)
     rates: dict[str, int] = field(default_factory=lambda: {
         k: v * BUCKETS // 2000 for k, v in REFERENCE_PLAN.items()})
     # master duplicate rates out of 10,000 master rows
@@ -79,12 +126,14 @@ def inject(tables: dict[str, DataFrame], plan: InjectionPlan | None = None
     """(dirty tables, manifest(table, row_ref, error_class, column, detail))."""
     plan = plan or InjectionPlan()
     sales, customers, products = tables["sales"], tables["customers"], tables["products"]
-    bucket = row_hash(F.col("_row_id"), plan.seed) % F.lit(BUCKETS)
+    n_rows = sales.count()
+    ends = [0, *(n_rows * hi // BUCKETS for _, _, hi in plan.ranges())]
+    marks = boundaries(sales, plan.seed, ends)
     k = row_hash(F.col("_row_id"), plan.seed + 1, _P2, 40503)
     cls = F.lit(None).cast("string")
-    for name, lo, hi in reversed(plan.ranges()):
-        cls = F.when((F.col("_b") >= lo) & (F.col("_b") < hi), F.lit(name)).otherwise(cls)
-    s = sales.withColumns({"_b": bucket, "_k": k}).withColumn("_cls", cls)
+    for (name, _, _), lo, hi in reversed(list(zip(plan.ranges(), marks, marks[1:]))):
+        cls = F.when(_from(lo) & ~_from(hi), F.lit(name)).otherwise(cls)
+    s = sales.withColumns({"_b": row_hash(F.col("_row_id"), plan.seed), "_k": k}).withColumn("_cls", cls)
     c, kk = F.col("_cls"), F.col("_k")
     d = F.to_date("sale_date")
     opt_col = _pick(OPTIONAL_SALES, kk)
@@ -137,8 +186,8 @@ def inject(tables: dict[str, DataFrame], plan: InjectionPlan | None = None
     dirty_sales = _resequence(injected.withColumn("_copy", F.lit(0)).unionByName(copies))
 
     def master_dups(df: DataFrame, key: str, cid: str, rate: int) -> tuple[DataFrame, DataFrame]:
-        b = row_hash(F.col("_row_id"), plan.seed + 7) % F.lit(BUCKETS)
-        marked = df.withColumn("_dup", b < rate)
+        end, = boundaries(df, plan.seed + 7, [df.count() * rate // BUCKETS])
+        marked = df.withColumn("_b", row_hash(F.col("_row_id"), plan.seed + 7)).withColumn("_dup", ~_from(end))
         out = _resequence(marked.withColumn("_copy", F.lit(0))
                           .unionByName(marked.where("_dup").withColumn("_copy", F.lit(1))))
         man = marked.where("_dup").select(F.lit(df_name[key]).alias("table"), F.col(key).alias("row_ref"),
@@ -179,9 +228,8 @@ def self_check(base: dict[str, DataFrame], dirty: dict[str, DataFrame], manifest
     """Bookkeeping check of every class and of the row totals.
 
     ``in_data`` is measured on the dirty tables by plain predicates (not by the
-    checks), ``in_manifest`` is what was logged, ``planned`` what the plan's rates
-    give on average; the class counts must be equal and within four standard
-    deviations of the plan. Row totals: base rows plus logged copies (plus the
+    checks), ``in_manifest`` is what was logged, ``planned`` the plan's number of rows;
+    the three must be equal. Row totals: base rows plus logged copies (plus the
     appended inactive products)."""
     plan = plan or InjectionPlan()
     s, b = dirty["sales"], rules.business
@@ -224,16 +272,16 @@ def self_check(base: dict[str, DataFrame], dirty: dict[str, DataFrame], manifest
 
     sizes = {t: base[t].agg(F.count(F.lit(1)).alias("_n")) for t in ("sales", "customers", "products")}
     logged = manifest_counts(manifest)
-    rates = {**{k: ("sales", v) for k, v in plan.rates.items()},
-             "UNI_002": ("customers", plan.master_rates["UNI_002"]), "UNI_003": ("products", plan.master_rates["UNI_003"])}
+    ranges = [(k, "sales", lo, hi) for k, lo, hi in plan.ranges()] + [
+        ("UNI_002", "customers", 0, plan.master_rates["UNI_002"]), ("UNI_003", "products", 0, plan.master_rates["UNI_003"])]
     spark = s.sparkSession
-    plan_rows = spark.createDataFrame([(k, t, v) for k, (t, v) in rates.items()], "error_class string, _t string, _rate int")
+    plan_rows = spark.createDataFrame(ranges, "error_class string, _t string, _lo long, _hi long")
     base_rows = None
     for t, one in sizes.items():
         one = one.select(F.lit(t).alias("_t"), "_n")
         base_rows = one if base_rows is None else base_rows.unionByName(one)
     planned = plan_rows.join(base_rows, "_t").select(
-        "error_class", (col("_n") * col("_rate") / BUCKETS).alias("planned"))
+        "error_class", F.expr(f"_n * _hi div {BUCKETS} - _n * _lo div {BUCKETS}").alias("planned"))
     totals = base_rows.join(
         logged.join(spark.createDataFrame([("UNI_001", "sales"), ("UNI_002", "customers"), ("UNI_003", "products")],
                                           "error_class string, _t string"), "error_class"), "_t", "left") \
@@ -241,6 +289,6 @@ def self_check(base: dict[str, DataFrame], dirty: dict[str, DataFrame], manifest
                 (col("_n") + F.coalesce("n", F.lit(0)) + F.when(col("_t") == "products", N_INACTIVE).otherwise(0)).alias("n"))
     out = data.join(logged.unionByName(totals), "error_class", "left").join(planned, "error_class", "left")
     in_manifest = F.coalesce("n", F.lit(0)).cast("long")
-    near = col("planned").isNull() | (F.abs(in_manifest - col("planned")) <= 4 * F.sqrt("planned") + 3)
+    exact = col("planned").isNull() | (in_manifest == col("planned"))
     return out.select("error_class", "in_data", in_manifest.alias("in_manifest"), "planned",
-                      F.when((col("in_data") == in_manifest) & near, "OK").otherwise("MISMATCH").alias("status"))
+                      F.when((col("in_data") == in_manifest) & exact, "OK").otherwise("MISMATCH").alias("status"))

@@ -789,8 +789,8 @@ def _self_check_sql(rules: Rules) -> str:
     rows = [f"SELECT {S.q(k)} AS error_class, count(*) FILTER (WHERE {v}) AS in_data FROM isales" for k, v in tests.items()]
     rows += ["SELECT 'COM_004', count(*) * 2 - count(quantity) - count(unit_price) FROM isales",
              "SELECT 'COM_005', count(*) * 3 - count(discount) - count(region) - count(sales_channel) FROM isales"]
-    rates = {**{k: ("sales", v) for k, v in plan.rates.items()},
-             "UNI_002": ("customers", plan.master_rates["UNI_002"]), "UNI_003": ("products", plan.master_rates["UNI_003"])}
+    ranges = [(k, "sales", lo, hi) for k, lo, hi in plan.ranges()] + [
+        ("UNI_002", "customers", 0, plan.master_rates["UNI_002"]), ("UNI_003", "products", 0, plan.master_rates["UNI_003"])]
     totals = []
     for t, key, cid, more in (("sales", "sale_id", "UNI_001", 0), ("customers", "customer_id", "UNI_002", 0),
                               ("products", "product_id", "UNI_003", IJ.N_INACTIVE)):
@@ -799,12 +799,12 @@ def _self_check_sql(rules: Rules) -> str:
                  f"SELECT 'ROWS_{t}', (SELECT count(*) FROM i{t})"]
         totals.append(f"SELECT 'ROWS_{t}', (SELECT count(*) FROM {t}) + {more} + "
                       f"(SELECT count(*) FROM imanifest WHERE error_class = {S.q(cid)})")
-    planned = " UNION ALL ".join(f"SELECT {S.q(k)} AS error_class, (SELECT count(*) FROM {t}) * {v} / {IJ.BUCKETS} AS planned"
-                                 for k, (t, v) in rates.items())
+    planned = " UNION ALL ".join(f"SELECT {S.q(k)} AS error_class, (SELECT count(*) * {hi} // {IJ.BUCKETS} "
+                                 f"- count(*) * {lo} // {IJ.BUCKETS} FROM {t}) AS planned" for k, t, lo, hi in ranges)
     logged = "SELECT error_class, count(*) AS n FROM imanifest GROUP BY error_class UNION ALL " + " UNION ALL ".join(totals)
     return f"""SELECT x.error_class, CAST(x.in_data AS BIGINT) AS in_data, COALESCE(m.n, 0) AS in_manifest, p.planned,
-          CASE WHEN x.in_data = COALESCE(m.n, 0) AND (p.planned IS NULL
-            OR abs(COALESCE(m.n, 0) - p.planned) <= 4 * sqrt(p.planned) + 3) THEN 'OK' ELSE 'MISMATCH' END AS status
+          CASE WHEN x.in_data = COALESCE(m.n, 0) AND (p.planned IS NULL OR COALESCE(m.n, 0) = p.planned)
+            THEN 'OK' ELSE 'MISMATCH' END AS status
         FROM ({' UNION ALL '.join(rows)}) x LEFT JOIN ({logged}) m ON m.error_class = x.error_class
         LEFT JOIN ({planned}) p ON p.error_class = x.error_class"""
 

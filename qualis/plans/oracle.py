@@ -377,7 +377,7 @@ def inject_ctes(o: Oracle, seed: int = 42) -> list[str]:
     def h(pos: str, sd: int, mod: int = 1000003, mult: int = 2654435761) -> str:
         return f"((({pos}) % {mod}) * {mult} + {sd * 40503}) % {mod}"
 
-    cls = "CASE " + " ".join(f"WHEN _b >= {lo} AND _b < {hi} THEN {Q(n)}" for n, lo, hi in plan.ranges()) + " END"
+    cls = "CASE " + " ".join(f"WHEN _b >= _n * {lo} // 10000 AND _b < _n * {hi} // 10000 THEN {Q(n)}" for n, lo, hi in plan.ranges()) + " END"
 
     def pick(vals: list, k: str = "_k") -> str:
         return f"(CASE ({k}) % {len(vals)} " + " ".join(
@@ -424,8 +424,11 @@ def inject_ctes(o: Oracle, seed: int = 42) -> list[str]:
     scols = ", ".join(FX.SALES_COLUMNS)
     rc, rp = plan.master_rates["UNI_002"], plan.master_rates["UNI_003"]
     return [
-        f"""sb AS (SELECT *, {h('_row_id', seed)} % 10000 AS _b, {h('_row_id', seed + 1, 999983, 40503)} AS _k
-             FROM sales)""",
+        f"""sb AS (SELECT *, row_number() OVER (ORDER BY {h('_row_id', seed)}, _row_id) - 1 AS _b, count(*) OVER () AS _n,
+             {h('_row_id', seed + 1, 999983, 40503)} AS _k FROM sales)""",
+        *[f"""i{t}_twice AS (SELECT _row_id FROM (SELECT _row_id, count(*) OVER () AS _n,
+             row_number() OVER (ORDER BY {h('_row_id', seed + 7)}, _row_id) - 1 AS _b FROM {t}) WHERE _b < _n * {r} // 10000)"""
+          for t, r in (("customers", rc), ("products", rp))],
         f"""sc AS (SELECT *, {cls} AS _cls FROM sb)""",
         "si AS (SELECT sale_id, " + ", ".join(f"{v} AS {c}" for c, v in new.items())
         + f", _row_id, _cls, _k, {col} AS _col FROM sc)",
@@ -435,18 +438,18 @@ def inject_ctes(o: Oracle, seed: int = 42) -> list[str]:
                     ELSE _col || ' -> ''' || {value} || '''' END AS detail FROM si WHERE _cls IS NOT NULL
              UNION ALL
              SELECT 'customers', customer_id, 'UNI_002', 'customer_id', 'duplicate customer_id ' || customer_id
-               FROM customers WHERE {h('_row_id', seed + 7)} % 10000 < {rc}
+               FROM customers WHERE _row_id IN (SELECT _row_id FROM icustomers_twice)
              UNION ALL
              SELECT 'products', product_id, 'UNI_003', 'product_id', 'duplicate product_id ' || product_id
-               FROM products WHERE {h('_row_id', seed + 7)} % 10000 < {rp})""",
+               FROM products WHERE _row_id IN (SELECT _row_id FROM iproducts_twice))""",
         f"""isales AS (SELECT {scols}, row_number() OVER (ORDER BY _row_id, _copy) - 1 AS _row_id FROM (
              SELECT *, 0 AS _copy FROM si UNION ALL SELECT *, 1 AS _copy FROM si WHERE _cls = 'UNI_001'))""",
         f"""icustomers AS (SELECT * EXCLUDE (_row_id, _copy), row_number() OVER (ORDER BY _row_id, _copy) - 1
              AS _row_id FROM (SELECT *, 0 AS _copy FROM customers UNION ALL SELECT *, 1 AS _copy FROM customers
-             WHERE {h('_row_id', seed + 7)} % 10000 < {rc}))""",
+             WHERE _row_id IN (SELECT _row_id FROM icustomers_twice)))""",
         f"""ip0 AS (SELECT * EXCLUDE (_row_id, _copy), row_number() OVER (ORDER BY _row_id, _copy) - 1
              AS _row_id FROM (SELECT *, 0 AS _copy FROM products UNION ALL SELECT *, 1 AS _copy FROM products
-             WHERE {h('_row_id', seed + 7)} % 10000 < {rp}))""",
+             WHERE _row_id IN (SELECT _row_id FROM iproducts_twice)))""",
         f"""iproducts AS (SELECT * FROM ip0 UNION ALL
              SELECT 'P-I' || CAST(i AS VARCHAR), 'Inactive product ' || CAST(i AS VARCHAR), 'Inactive', '10.00',
                'inactive', (SELECT count(*) FROM ip0) + i - 1 FROM range(1, {IJ.N_INACTIVE + 1}) t(i))""",
