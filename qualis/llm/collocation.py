@@ -9,9 +9,9 @@ side by side in one scan, until it has seen each shard once.  The scans end when
 no phrase has shards left: lengths overlap by half a pass, and a length that is
 late only for rare phrases costs a scan that counts little.
 
-What tasks know of the marks is a table of ``SLOTS`` hash slots, of fixed size at
-any scale: bit t of a slot says that a phrase of that slot was marked at step t.
-Two phrases in one slot make a task count more than it has to, never less: counts
+What tasks know of the marks is a table of 2^``SLOT_BITS`` hash slots, of fixed size
+at any scale: a phrase marked at step t sets bit t of two slots, and has the bits
+that both of its slots have. Phrases that share slots make a task count more than it has to, never less: counts
 are kept by shard, a shard is counted whole or not at all for a phrase, and a
 phrase of ``LEAST`` occurrences has its full window, so all results are exact.
 A phrase is named by the 64-bit hashes of its words; hashes are checked against
@@ -27,6 +27,7 @@ further columns are ignored; null ids do not matter.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -44,7 +45,7 @@ SHARDS = 2  # more start longer phrases earlier, and bring what is counted toget
 TOP = 2000  # rows of a language
 SCALE = 2_000_000
 COVERED = 80  # percent of a phrase's occurrences inside a longer one
-SLOT_BITS = 23
+SLOT_BITS = 24
 SLICE = 1 << 21
 
 _CUT = np.zeros(256, bool)  # ends a piece
@@ -118,13 +119,26 @@ def _identity(words: list[np.ndarray], lang_hash: np.ndarray) -> np.ndarray:
     return h
 
 
-def _slots(words: list[np.ndarray], lang_hash: np.ndarray) -> np.ndarray:
-    return (_identity(words, lang_hash) >> T.U(64 - SLOT_BITS)).astype(np.int64)
+def _slots(words: list[np.ndarray], lang_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two slots of each phrase: upper and lower bits of its hash."""
+    h = _identity(words, lang_hash)
+    return (h >> T.U(64 - SLOT_BITS)).astype(np.int64), (h & T.U((1 << SLOT_BITS) - 1)).astype(np.int64)
 
 
-def _table(marks) -> np.ndarray:
-    """The broadcast marks: 2^SLOT_BITS numbers, mostly zeros, sent compressed."""
-    return np.frombuffer(zlib.decompress(marks.value), np.uint16)
+def _marks_of(table: np.ndarray, words: list[np.ndarray], lang_hash: np.ndarray) -> np.ndarray:
+    one, two = _slots(words, lang_hash)
+    return table[one] & table[two]
+
+
+_HELD: dict = {}
+
+
+def _table(marks, key: tuple) -> np.ndarray:
+    """The broadcast marks: 2^SLOT_BITS numbers, mostly zeros, sent compressed; a worker
+    unpacks those of a step once."""
+    if _HELD.get("key") != key:
+        _HELD.update(key=key, table=np.frombuffer(zlib.decompress(marks.value), np.uint16))
+    return _HELD["table"]
 
 
 def _open(first: np.ndarray, rest: np.ndarray, step: int) -> np.ndarray:
@@ -160,10 +174,10 @@ def _groups(order_by: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray
     return order[first], np.diff(np.append(first, len(order)))
 
 
-def _count(marks, step: int, seed: int):
+def _count(marks, run_id: str, step: int, seed: int):
     """Rows (lang, key, n, word) of the phrases of a task's texts that are counted at ``step``."""
     def run(batches):
-        table = _table(marks) if marks is not None else None
+        table = _table(marks, (run_id, step)) if marks is not None else None
         for part in joined(batches, SLICE):
             names, name_hash, lang = _codes(part.column(0))
             raw, off = T.utf8(part.column(1))
@@ -176,7 +190,7 @@ def _count(marks, step: int, seed: int):
                     yield _rows(names, w, at + c, n, 1, _strings(w, at))
                 if table is None:
                     continue
-                mark = table[_slots([w.hash], name_hash[w.lang])]
+                mark = _marks_of(table, [w.hash], name_hash[w.lang])
                 for k in range(2, min(LONGEST, len(w.hash)) + 1):
                     m = len(w.hash) - k + 1
                     at = np.flatnonzero((w.piece[:m] == w.piece[k - 1:]) & (mark[:m] != 0) & (mark[1:m + 1] != 0))
@@ -188,7 +202,7 @@ def _count(marks, step: int, seed: int):
                         first, n = _groups(_identity(cols, name_hash[w.lang[go]]), [*cols, w.lang[go]])
                         yield _rows(names, w, go[first], n, k, None)
                     mark = np.zeros(m, np.uint16)  # the marks of these phrases, for the next length
-                    mark[at] = table[_slots([w.hash[at + i] for i in range(k)], name_hash[w.lang[at]])]
+                    mark[at] = _marks_of(table, [w.hash[at + i] for i in range(k)], name_hash[w.lang[at]])
     return run
 
 
@@ -218,19 +232,19 @@ def _as_text(column) -> pa.Array:
 def _slots_of(batches):
     """The hash slots of phrases (lang, key)."""
     for b in batches:
-        found = [_slots(words, lh) for _, _, words, lh in _by_length(b)]
+        found = [x for _, _, words, lh in _by_length(b) for x in _slots(words, lh)]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["slot"])
 
 
-def _still_open(marks, step: int, names: list[str]):
+def _still_open(marks, run_id: str, step: int, names: list[str]):
     """The phrases of two words and more that have shards left at ``step``."""
     def run(batches):
-        table = _table(marks)
+        table = _table(marks, (run_id, step))
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
             for _, at, words, lh in _by_length(b):
-                keep[at] = _open(table[_slots(words[:-1], lh)], table[_slots(words[1:], lh)], step)
+                keep[at] = _open(_marks_of(table, words[:-1], lh), _marks_of(table, words[1:], lh), step)
             yield b.select(names).filter(pa.array(keep))
     return run
 
@@ -243,7 +257,7 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
     slot = F.pmod(F.monotonically_increasing_id(), F.lit(SHARDS)).cast("int")
     texts = cut(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                             F.col("text").cast("string").alias("text"), slot.alias("shard")), "shard")
-    counts = [f"c{s}" for s in range(SHARDS)]
+    counts, run_id = [f"c{s}" for s in range(SHARDS)], uuid.uuid4().hex
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in counts), F.lit(0))
     names = ["lang", "key", "word", *counts, "mark", "first"]
     schema = "lang string, key binary, word string, " + ", ".join(f"{c} long" for c in counts) + ", mark int, first int"
@@ -255,12 +269,12 @@ def frequent(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFr
             break
         now = f"c{step % SHARDS}"
         rows = (texts.where(F.col("shard") == step % SHARDS).select("lang", "text")
-                .mapInArrow(_count(marks, step, seed), "lang string, key binary, n long, word string")
+                .mapInArrow(_count(marks, run_id, step, seed), "lang string, key binary, n long, word string")
                 .select("lang", "key", "word", "n", *[F.lit(None).cast("long").alias(c) for c in counts],
                         F.lit(None).cast("int").alias("mark"), F.lit(step).alias("first")))
         if state is not None:
             seen = F.col("first") > step - SHARDS  # counted for less than a cycle
-            old = state.where(~seen & (F.octet_length("key") > 8)).mapInArrow(_still_open(marks, step, names), schema)
+            old = state.where(~seen & (F.octet_length("key") > 8)).mapInArrow(_still_open(marks, run_id, step, names), schema)
             kept = state.where(seen).unionByName(old)
             rows = rows.unionByName(kept.withColumn("n", F.lit(None).cast("long")))
         rows = rows.groupBy("lang", "key", "word").agg(
