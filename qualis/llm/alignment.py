@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -53,26 +54,21 @@ class _Vocabulary:
 
     def __init__(self, tokens: list[bytes]):
         self.size = np.array([len(t) for t in tokens], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.bytes = np.empty(len(tokens), object)
+        self.bytes[:] = tokens
         self.names = pa.array([str(i) for i in range(len(tokens))])
 
-    def spells(self, rows: list[np.ndarray], raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def spells(self, rows: list[np.ndarray], data: bytes, offsets: np.ndarray) -> np.ndarray:
         """For each text of a slice whether the bytes of its tokens are a space and the text."""
         counts = np.array([len(x) for x in rows])
         ids = np.concatenate(rows)
-        size = self.size[ids]
-        long = T.row_sums(size, np.concatenate([[0], np.cumsum(counts)]))
+        long = T.row_sums(self.size[ids], np.concatenate([[0], np.cumsum(counts)]))
         out = long == np.diff(offsets) + 1
-        keep = np.repeat(out, counts)
-        got = self.data[T.ranges(self.start[ids[keep]], size[keep])]
-        at = np.concatenate([[0], np.cumsum(long[out])])
-        same = np.ones(len(got), bool)
-        first = np.zeros(len(got), bool)
-        first[at[:-1]] = True
-        same[first] = got[first] == 32
-        same[~first] = got[~first] == raw[T.ranges(offsets[:-1][out], np.diff(offsets)[out])]
-        out[out] = T.row_sums(~same, at) == 0
+        got = b"".join(self.bytes[ids if out.all() else ids[np.repeat(out, counts)]].tolist())
+        want = b"".join([b" " + data[i:j] for i, j in zip(offsets[:-1][out].tolist(), offsets[1:][out].tolist(), strict=True)])
+        if got != want:
+            other = np.frombuffer(got, np.uint8) != np.frombuffer(want, np.uint8)
+            out[out] = T.row_sums(other, np.concatenate([[0], np.cumsum(long[out])])) == 0
         return out
 
 
@@ -96,10 +92,10 @@ class Pair:
         data = raw.tobytes()
         b = self.b.encode([data[i:j].decode() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)],
                           num_threads=1)
-        b = [np.array(x, np.uint32) for x in b]
+        b = [np.asarray(array("I", x)) for x in b]
         good = np.diff(offsets) > 0
         for ids, vocab in ((a, self.vocab_a), (b, self.vocab_b)):
-            good &= vocab.spells(ids, raw, offsets)
+            good &= vocab.spells(ids, data, offsets)
         return *(_lists([x if g else x[:0] for x, g in zip(ids, good, strict=True)]) for ids in (a, b)), good
 
 
@@ -144,12 +140,17 @@ def _grouped(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.flatnonzero(out[0]), *groups
 
 
+def _starts(group: np.ndarray, n: int) -> np.ndarray:
+    """Where each of ``n`` groups starts among tokens in the order of their groups, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(np.bincount(group, minlength=n)[:n])])
+
+
 def _text_of(groups: list[tuple[np.ndarray, pa.Array, pa.Array]], docs: np.ndarray, rows: int) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3`` for each document: per side (group of each token, ids, names)."""
     n = len(docs)
     sides = []
     for group, ids, names in groups:
-        off = np.searchsorted(group, np.arange(n + 1))
+        off = _starts(group, n)
         words = pa.LargeListArray.from_arrays(pa.array(off, pa.int64()), pc.take(names, ids).cast(pa.large_string()))
         sides.append(pc.binary_join(words, pa.scalar(",", pa.large_string())))
     both = pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string()))
@@ -160,11 +161,11 @@ def _text_of(groups: list[tuple[np.ndarray, pa.Array, pa.Array]], docs: np.ndarr
 def _links(groups: list[tuple[np.ndarray, pa.Array]], docs: np.ndarray) -> pa.Table:
     """(key, n), sorted: how often each id pair is linked in each document; the key is the
     document's number in the slice above the pair's code."""
-    off = [np.searchsorted(g, np.arange(len(docs) + 1)) for g, _ in groups]
+    off = [_starts(g, len(docs)) for g, _ in groups]
     times = None
     if len(docs) and (np.diff(off[0]) * np.diff(off[1])).max() > WIDE:  # equal ids of a group once, with their number
         groups = [_repeats(*side) for side in groups]
-        off = [np.searchsorted(g, np.arange(len(docs) + 1)) for g, _, _ in groups]
+        off = [_starts(g, len(docs)) for g, _, _ in groups]
         times = [n for _, _, n in groups]
     (ga, ia), (gb, ib) = ((g[0], g[1].to_numpy(zero_copy_only=False).astype(np.int64)) for g in groups)
     partners = np.diff(off[1])[ga]  # for each A id of a group: how many B ids it meets
@@ -242,18 +243,24 @@ def _align(paths: tuple[str, str, str], with_groups: bool):
 def _block(block: int, done: list, id_type: pa.DataType, with_groups: bool):
     """The rows of a block: its documents, whose links name the block's pairs by their place
     among its sorted codes, and its pairs with the number of its documents that have them."""
-    code = pa.chunked_array([pc.bit_wise_and(links["key"], (1 << 32) - 1) for _, links, _ in done], pa.int64())
-    pairs = pa.table({"code": code}).group_by("code", use_threads=False).aggregate([([], "count_all")]).sort_by("code")
-    known = pairs["code"].to_numpy()
+    code = np.concatenate([links["key"].to_numpy() for _, links, _ in done]) & ((1 << 32) - 1)
+    pairs = pa.array(code).dictionary_encode()
+    known, which = pairs.dictionary.to_numpy(), pairs.indices.to_numpy()
+    order = np.argsort(known)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    places, docs, at = rank[which], np.bincount(which, minlength=len(known))[order], 0
     for rows, links, off in done:
-        place = np.searchsorted(known, links["key"].to_numpy() & ((1 << 32) - 1))
-        times = links["n"].to_numpy()
-        held = []
-        for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-            p = place[i:j]  # ascending: the steps are small
-            held.append(None if i == j else _packed(np.concatenate([np.diff(p, prepend=0), times[i:j] & 0xFFFFFFFF, times[i:j] >> 32])))
+        place, times = places[at:at + links.num_rows], links["n"].to_numpy()
+        at += links.num_rows
+        low, high = times & 0xFFFFFFFF, times >> 32
+        steps = np.diff(place, prepend=0)  # ascending in a document: the steps are small
+        starts = off[:-1][np.diff(off) > 0]
+        steps[starts] = place[starts]
+        held = [None if i == j else _packed(np.concatenate([steps[i:j], low[i:j], high[i:j]]))
+                for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
         yield from _out(rows.append_column("links", pa.array(held, pa.binary())), block, id_type, with_groups)
-    yield from _out(pa.table({"code": known, "docs": pairs["count_all"]}), block, id_type, with_groups)
+    yield from _out(pa.table({"code": known[order], "docs": docs}), block, id_type, with_groups)
 
 
 _COLUMNS = [("doc_id", None), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ class ByteIds:
         data = raw.tobytes()
         plain = plain_texts(raw, offsets)
         texts = [prefix + data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        out: list = [np.array(self.fast.encode_ordinary(t), np.uint32) if p else None
+        out: list = [np.asarray(array("I", self.fast.encode_ordinary(t))) if p else None
                      for t, p in zip(texts, plain.tolist(), strict=True)]
         rest = np.flatnonzero(~plain).tolist()
         for i, x in zip(rest, self.tool.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):

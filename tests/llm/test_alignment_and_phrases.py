@@ -109,6 +109,32 @@ def test_alignment_equals_plain_python(spark, frame, have_data):
     assert sorted(got, key=key) == sorted(plain_alignment(rows), key=key)
 
 
+def test_tokens_spell_a_space_and_the_text():
+    vocab = A._Vocabulary([b" a", b"b", b" ", b"xyz", b"\xc3\xa4"])
+    cases = [([0, 1], "ab", True), ([0, 4], "ab", False), ([0, 3], "ab", False), ([], "", False), ([2], "", True),
+             ([2, 4], "\u00e4", True), ([1, 0], "ab", False), ([2, 3, 1], "xyzb", True), ([0, 1], "bb", False)]
+    for some in (cases, [c for c in cases if c[2]], [c for c in cases if not c[2]], [([], "", False)]):
+        data = [t.encode() for _, t, _ in some]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in data])])
+        got = vocab.spells([np.array(ids, np.uint32) for ids, _, _ in some], b"".join(data), off)
+        assert got.tolist() == [good for _, _, good in some]
+
+
+def test_pairs_of_a_block_are_counted_once_a_document():
+    key = [(0, 7), (0, 9), (2, 5), (2, 7), (2, 1 << 31)], [(0, 7)], []
+    done = []
+    for keys, rows in zip(key, (3, 1, 2)):
+        links = pa.table({"key": pa.array([d << 32 | c for d, c in keys], pa.int64()), "n": pa.array([(1 << 33) + 2] * len(keys), pa.int64())})
+        off = np.array([sum(d < k for d, _ in keys) for k in range(rows + 1)])
+        done.append((pa.table({"doc_id": pa.array(range(rows), pa.int64())}), links, off))
+    out = [r for b in A._block(4, done, pa.int64(), False) for r in b.to_pylist()]
+    assert [(r["code"], r["docs"]) for r in out if r["code"] is not None] == [(5, 1), (7, 3), (9, 1), (1 << 31, 1)]
+    held = [r["links"] for r in out if r["code"] is None]
+    assert [h is None for h in held] == [False, True, False, False, True, True]
+    steps, low, high = A._unpacked(held[2]).reshape(3, -1).tolist()
+    assert (steps, low, high) == ([0, 1, 2], [2] * 3, [2] * 3)
+
+
 def test_alignment_of_no_rows(frame):
     assert A.align(frame([], DOCS)).collect() == []
 
