@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualis.llm import decontam, packing, ppm, superminhash, toxicity
+from qualis.llm import decontam, packing, ppm, sieve, superminhash, toxicity
 from qualis.llm.session import cut, read
 
 
@@ -36,11 +36,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mark = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
     named = docs.select(F.coalesce(F.col("doc_id").cast("long"), mark).alias("__id"), F.struct(*docs.columns).alias("__row"))
     linked = superminhash.link(named.select(F.col("__id").alias("doc_id"), "__row.text"))
-    kept = cut(linked.groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-               .where("kept").select("__id", "n"))
-    single = named.join(kept.where("n = 1"), "__id", "left_semi").select("__row")
-    repeated = named.join(kept.where("n > 1"), "__id", "left_semi").groupBy("__id").agg(F.min("__row").alias("__row")).select("__row")
-    return single.unionByName(repeated).select(*(F.col("__row").getField(c).alias(c) for c in docs.columns))
+    found = cut(linked.groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                .where("not kept or n > 1"))
+    # rows of ids that go or repeat meet them in a join, all others stay where they are
+    asked, single = sieve.parted(named, "__id", found.select(F.col("__id").alias("id")))
+    met = (asked.join(found, "__id", "left").where("kept is null or kept")
+           .groupBy("__id").agg(F.min("__row").alias("__row")))
+    return single.unionByName(met).select(*(F.col("__row").getField(c).alias(c) for c in docs.columns))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

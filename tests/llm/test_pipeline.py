@@ -83,3 +83,18 @@ def test_near_dedup_keeps_one_row_of_each_group(spark, frame):
     lone = [t for d, t in left if d is None and t is not None]
     assert sorted(d for d, _ in left if d is not None) == [1, 3, 4, 5, 6] and (None, None) in left
     assert len(lone) == 2 and text[3] in lone and sum(t.startswith(text[1]) for t in lone) == 1
+
+
+def test_near_dedup_moves_only_what_goes_or_repeats(spark, frame, monkeypatch):
+    parts = []
+
+    def spy(*args, real=C.sieve.parted):
+        parts.extend(real(*args))
+        return parts
+    monkeypatch.setattr(C.sieve, "parted", spy)
+    text = lambda k: " ".join(f"w{k}x{n}" for n in range(30))
+    rows = [(k, text(k)) for k in range(300)] + [(900, text(7)), (8, text(8)), (None, text(9))]
+    got = C.near_dedup(spark, frame(rows, "doc_id long, text string").repartition(3), SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(300))
+    asked, single = (df.count() for df in parts)
+    assert asked < 10 and asked + single == len(rows)  # the two that go, the two that repeat
