@@ -3,6 +3,7 @@ import pytest
 from helpers import sale, tables
 from pyspark.sql import functions as F
 
+from qualis.operators import checks as C
 from qualis.operators import inject as IJ
 from qualis.rules import Rules
 from qualis.session import cut, setting
@@ -89,3 +90,11 @@ def test_self_check_shuffles_keys_only(spark):
     assert not any("sale_date" in part.split("HashAggregate")[0] for part in joined[1:])
     assert {r["error_class"]: r["in_data"] for r in got.where("error_class like 'REL%'").collect()} == {
         r["error_class"]: r["n"] for r in IJ.manifest_counts(manifest).where("error_class like 'REL%'").collect()}
+
+
+def test_a_column_meets_one_regex(spark):
+    rules = Rules(audit_date="2024-06-30")
+    aligned, layout = C.align(tables(spark, [sale()]), rules)
+    insts, _ = C.instances(layout, rules, 5.0, 50.0)
+    text = str(C.unremarkable("sales", [c for c in insts["sales"] if c.layer not in (3, 4)], layout, rules, 50.0))
+    assert text.lower().count("rlike(") == 4  # three numbers and a date
