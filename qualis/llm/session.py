@@ -23,7 +23,7 @@ def cut(df: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back; ``by`` names a
     column whose values become folders, so a filter on it reads only these."""
     if by is None:
-        out = S.cut(df)
+        out = S.cut(df, frugal=False)
     else:
         path = f"{S.checkpoint_dir(df.sparkSession).rstrip('/')}/qualis-{uuid.uuid4().hex}"
         df.write.partitionBy(by).parquet(path)
